@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import points
-from touchline.operators.ordered import with_lookback
+from touchline.operators.ordered import DEFAULT_SKEW, Skew, with_lookback
 
 MATCH_ORDER = ("match_date", "fixture_id")
 
@@ -20,7 +20,7 @@ def rolling_form(
     by: Sequence[str] = ("team_id",),
     by_venue: bool = False,
     order: Sequence[str] = MATCH_ORDER,
-    chunk: Column | None = None,
+    skew: Skew | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Results of the last ``n`` played matches of each team.
 
@@ -51,9 +51,7 @@ def rolling_form(
         "form_string": lambda w: F.array_join(over(F.collect_list("outcome"), w), ""),
         "max_source_date": lambda w: over(F.max(order[0]), w),
     }
-    return with_lookback(
-        team_rows, keys, order, n, columns, ["outcome", "goals_for", "goals_against"], chunk
-    )
+    return with_lookback(team_rows, keys, order, n, columns, ["outcome", "goals_for", "goals_against"], skew=skew)
 
 
 def days_since_last(

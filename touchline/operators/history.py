@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.ordered import month_of, with_lookback
+from touchline.operators.ordered import DEFAULT_SKEW, Skew, with_lookback
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
@@ -51,15 +51,14 @@ def scd2_from_log(
     keys: Sequence[str],
     check_cols: Sequence[str],
     order: Sequence[str],
-    chunk: Column | None = None,
+    skew: Skew | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Rebuild the intervals from a full log of observations.
 
     Rows equal to their predecessor are dropped; each remaining row is valid from its own time until
-    the next one. Both passes look one row back or ahead and are chunked, so a hot key is spread.
+    the next one. Both passes look one row back or ahead, so a hot key is spread.
     ``order`` must be total within a key; its first column gives the validity times.
     """
-    chunk = month_of(order[0]) if chunk is None else chunk
     rows = log.withColumn("_state", F.struct(*check_cols))
     marked = with_lookback(
         rows,
@@ -70,11 +69,11 @@ def scd2_from_log(
             "_changed": lambda w: (F.row_number().over(w) == 1) | ~F.lag("_state").over(w).eqNullSafe(F.col("_state")),
         },
         ["_state"],
-        chunk,
+        skew=skew,
     )
     changes = marked.filter("_changed").drop("_changed", "_state")
     bounded = with_lookback(
-        changes, keys, order, 1, {"valid_to": lambda w: F.lag(order[0]).over(w)}, [], chunk, descending=True
+        changes, keys, order, 1, {"valid_to": lambda w: F.lag(order[0]).over(w)}, [], descending=True, skew=skew
     )
     return bounded.withColumns({"valid_from": F.col(order[0]), "is_current": F.col("valid_to").isNull()})
 

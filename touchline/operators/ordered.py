@@ -1,23 +1,118 @@
 """Ordered operators that keep one hot key from landing in one task.
 
-A plain window puts every row of a key into one task. Here the rows of a key are cut into chunks of
-the order column (``month`` by default; any Column that never decreases along the order). Each chunk
-receives, as seed rows, exactly the earlier rows it needs, and the window runs per (key, chunk). The
-seed search itself runs on at most ``n`` rows per key and chunk, picked before the shuffle by the
-planner's window group limit.
+A window puts every row of a key into one task. That is right for almost all keys, so the operators
+first count rows per key (partially aggregated) and look at the largest ones. Without a hot key they
+are a plain window: one shuffle. The rows of a hot key are cut into consecutive chunks of bounded
+size, each chunk receives as seed rows exactly the earlier rows it needs, and the window runs per
+(key, chunk). A key outside the ``most_keys`` largest holds less than 1/``most_keys`` of all rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from touchline.session import stored
 
-def month_of(col: str) -> Column:
-    """Default chunk: the month of a date or timestamp column."""
-    return F.trunc(F.col(col).cast("date"), "month")
+
+@dataclass(frozen=True)
+class Skew:
+    """When a key is hot and how it is cut.
+
+    A key is hot above ``rows_per_chunk`` rows; at most ``most_keys`` of them are cut, the largest
+    first. ``fine_width`` is the range of the second (integer) order column that is never split.
+    """
+
+    rows_per_chunk: int = 4_000_000
+    most_keys: int = 1000
+    fine_width: int = 1 << 20
+
+
+DEFAULT_SKEW = Skew()
+
+
+def _join_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``cols`` that also matches NULL keys."""
+    keyed = right.select(
+        *[F.col(c).alias(f"_j_{c}") for c in cols], *[F.col(c) for c in right.columns if c not in cols]
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_j_{c}")) for c in cols])
+    return left.join(keyed, same, how).drop(*[f"_j_{c}" for c in cols])
+
+
+def hot_keys(df: DataFrame, by: Sequence[str], skew: Skew) -> DataFrame | None:
+    """The hot keys as a broadcast table of at most ``most_keys`` rows, or None."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > skew.rows_per_chunk)
+    rows = sizes.orderBy(F.desc("_n")).limit(skew.most_keys).select(*by).collect()
+    if not rows:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.select(*by).schema))
+
+
+def _before(by: Sequence[str], order: str) -> WindowSpec:
+    return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def hot_days(df: DataFrame, by: Sequence[str], hot: DataFrame, day: str, skew: Skew) -> DataFrame:
+    """Days of hot keys with the first day of their chunk (``_label``), and how many parts a big day needs.
+
+    Consecutive days share a chunk until it holds ``rows_per_chunk`` rows; the day that crosses the
+    bound closes the chunk, so a chunk without a big day stays below twice the bound.
+    """
+    cells = _join_safe(df.select(*by, day), hot, by, "left_semi").groupBy(*by, day).agg(F.count(F.lit(1)).alias("_n"))
+    group = F.floor(F.coalesce(F.sum("_n").over(_before(by, day)), F.lit(0)) / skew.rows_per_chunk)
+    label = F.min(day).over(Window.partitionBy(*by, "_g"))
+    sized = cells.withColumn("_g", group).withColumn("_label", label)
+    parts = F.when(F.col("_n") > skew.rows_per_chunk, F.ceil(F.col("_n") / skew.rows_per_chunk)).otherwise(F.lit(0))
+    return stored(sized.select(*by, day, "_label", parts.cast("bigint").alias("_parts")), "hot-days")
+
+
+def _chunk_of(day: str, sub: Column) -> Column:
+    """Chunk as an orderable struct; NULL for rows of keys that are not hot."""
+    big = F.col("_parts") > 0
+    return F.when(
+        F.col("_parts").isNotNull(),
+        F.struct(
+            F.col("_label").alias("first_day"),
+            F.when(big, F.col(day)).otherwise(F.col("_label")).alias("day"),
+            F.when(big, sub).otherwise(F.lit(0)).cast("bigint").alias("part"),
+        ),
+    )
+
+
+def with_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], skew: Skew) -> DataFrame | None:
+    """Rows with ``_chunk``, or None when no key is hot.
+
+    A day of one key above the bound is cut further: by second when the order column is a timestamp,
+    else by ranges of the second order column when that is an integer.
+    """
+    hot = hot_keys(df, by, skew)
+    if hot is None:
+        return None
+    rows = df.withColumn("_day", F.col(order[0]).cast("date"))
+    rows = _join_safe(rows, hot_days(rows, by, hot, "_day", skew), [*by, "_day"], "left")
+    kinds = [df.schema[c].dataType for c in order[:2]]
+    if isinstance(kinds[0], T.TimestampType | T.TimestampNTZType):
+        fine = F.unix_seconds(F.col(order[0]).cast("timestamp"))
+    elif len(kinds) > 1 and isinstance(kinds[1], T.IntegralType):
+        fine = F.floor(F.col(order[1]) / F.lit(skew.fine_width))
+    else:
+        return rows.withColumn("_chunk", _chunk_of("_day", F.lit(0))).drop("_day", "_label", "_parts")
+    rows = rows.withColumn("_fine", F.when(F.col("_parts") > 0, fine))
+    cells = (
+        rows.filter(F.col("_parts") > 0).groupBy(*by, "_day", "_fine").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    part = F.floor(F.coalesce(F.sum("_n").over(_before([*by, "_day"], "_fine")), F.lit(0)) / skew.rows_per_chunk)
+    cut = stored(cells.select(*by, "_day", "_fine", part.alias("_part")), "hot-parts")
+    rows = _join_safe(rows, cut, [*by, "_day", "_fine"], "left")
+    return rows.withColumn("_chunk", _chunk_of("_day", F.col("_part"))).drop(
+        "_day", "_label", "_parts", "_fine", "_part"
+    )
 
 
 def _directed(cols: Sequence[str], descending: bool) -> list[Column]:
@@ -60,22 +155,24 @@ def with_lookback(
     n: int,
     columns: Mapping[str, Callable[[WindowSpec], Column]],
     needs: Sequence[str],
-    chunk: Column | None = None,
     descending: bool = False,
+    skew: Skew | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add window columns that look at most ``n`` rows back along ``order`` within each key.
 
     ``columns`` maps an output name to a function of the ordered window spec. ``needs`` are the
-    columns those functions read. ``order`` must be total within a key. With ``descending`` the
-    order is reversed, so looking back means looking ahead in time. ``chunk`` defaults to the month
-    of the first order column.
+    columns those functions read. ``order`` must be total within a key and start with a date or
+    timestamp. With ``descending`` the order is reversed, so looking back means looking ahead in time.
     """
-    base = df.withColumn("_chunk", month_of(order[0]) if chunk is None else chunk)
+    base = None if skew is None else with_chunks(df, by, order, skew)
+    if base is None:
+        plain = Window.partitionBy(*by).orderBy(*_directed(order, descending))
+        return df.withColumns({name: make(plain) for name, make in columns.items()})
     fields = [c for c in dict.fromkeys([*order, *needs]) if c not in by]
-
     nearest = Window.partitionBy(*by, "_chunk").orderBy(*_directed(order, not descending))
     tails = (
-        base.withColumn("_rn", F.row_number().over(nearest))
+        base.filter(F.col("_chunk").isNotNull())
+        .withColumn("_rn", F.row_number().over(nearest))
         .filter(F.col("_rn") <= n)
         .select(*by, "_chunk", "_rn", F.struct(*fields).alias("_row"))
     )
@@ -83,7 +180,7 @@ def with_lookback(
     seeds = (
         tails.withColumns(
             {
-                "_first": ~F.lag("_chunk").over(along).eqNullSafe(F.col("_chunk")) | (F.row_number().over(along) == 1),
+                "_first": ~F.lag("_chunk").over(along).eqNullSafe(F.col("_chunk")),
                 "_before": F.collect_list("_row").over(along.rowsBetween(-n, -1)),
             }
         )
@@ -110,55 +207,82 @@ def asof_join(
     tiebreak: Sequence[str] = (),
     strict: bool = True,
     matched_ts: str | None = None,
-    chunk: Callable[[str], Column] = month_of,
+    skew: Skew | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Left rows with the ``values`` of the latest right row of the same key before them.
 
     ``strict`` excludes equal times. Among right rows of one time the largest ``tiebreak`` wins.
-    Union and forward fill; no range self-join. The latest right row of each (key, chunk) is found
-    with a partial aggregate and carried into later chunks, so a hot key is spread over its chunks.
-    ``matched_ts`` names a column for the time of the matched row.
+    Union and forward fill; no range self-join. ``matched_ts`` names a column for the time of the
+    matched row.
     """
     payload = F.struct(F.col(right_ts).alias("_at"), *[F.col(c) for c in values])
     ties = [f"_t{i}" for i in range(len(tiebreak))]
+    left_side, right_side = (0, 1) if strict else (1, 0)
     events = right.filter(F.col(right_ts).isNotNull()).select(
         *by,
-        chunk(right_ts).alias("_chunk"),
         F.col(right_ts).alias("_ts"),
         *[F.col(c).alias(t) for c, t in zip(tiebreak, ties, strict=True)],
         payload.alias("_pay"),
+        F.lit(right_side).alias("_side"),
     )
-    rows = left.select(*by, chunk(left_ts).alias("_chunk"), F.col(left_ts).alias("_ts"), F.struct(*left.columns).alias("_left"))
-
-    last = F.max(F.struct("_ts", *ties, "_pay"))
-    tails = events.groupBy(*by, "_chunk").agg(last.getField("_pay").alias("_pay"))
-    wanted = rows.select(*by, "_chunk").distinct().withColumn("_mark", F.lit(0))
-    along = Window.partitionBy(*by).orderBy("_chunk", "_mark").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        tails.withColumn("_mark", F.lit(1))
-        .unionByName(wanted, allowMissingColumns=True)
-        .withColumn("_carried", F.last("_pay", ignorenulls=True).over(along))
-        .filter((F.col("_mark") == 0) & F.col("_carried").isNotNull())
-        .select(*by, "_chunk", F.col("_carried").alias("_pay"), F.lit(-1).alias("_side"))
-    )
-    left_side, right_side = (0, 1) if strict else (1, 0)
-    merged = (
-        rows.withColumn("_side", F.lit(left_side))
-        .unionByName(events.withColumn("_side", F.lit(right_side)), allowMissingColumns=True)
-        .unionByName(carried, allowMissingColumns=True)
+    rows = left.select(
+        *by, F.col(left_ts).alias("_ts"), F.struct(*left.columns).alias("_left"), F.lit(left_side).alias("_side")
     )
+    merged = rows.unionByName(events, allowMissingColumns=True)
+    hot = None if skew is None else hot_keys(merged, by, skew)
+    keys = [*by]
+    if hot is not None:
+        merged, keys = _asof_chunks(merged, by, hot, ties, strict, skew), [*by, "_chunk"]
     spec = (
-        Window.partitionBy(*by, "_chunk")
+        Window.partitionBy(*keys)
         .orderBy((F.col("_side") >= 0).asc(), F.col("_ts").asc_nulls_first(), "_side", *ties)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    filled = merged.withColumn("_found", F.last("_pay", ignorenulls=True).over(spec)).filter(F.col("_left").isNotNull())
+    filled = merged.withColumn("_found", F.last("_pay", ignorenulls=True).over(spec)).filter(
+        F.col("_left").isNotNull()
+    )
     out = [F.col(f"_found.{c}").alias(c) for c in values]
     if matched_ts is not None:
         out.append(F.col("_found._at").alias(matched_ts))
     return filled.select("_left.*", *out)
 
 
+def _asof_chunks(
+    merged: DataFrame, by: Sequence[str], hot: DataFrame, ties: Sequence[str], strict: bool, skew: Skew
+) -> DataFrame:
+    """Union rows with ``_chunk``, and for each chunk of a hot key the latest right row before it.
+
+    Left rows do not depend on each other, so those of a big day are spread by hash. The right rows of
+    that day form a part of their own after (strict) or before the left rows: only its winner, found by
+    a partial aggregate, goes on to other chunks. With timestamps a big day is cut by second instead.
+    """
+    rows = merged.withColumn("_day", F.col("_ts").cast("date"))
+    rows = _join_safe(rows, hot_days(rows, by, hot, "_day", skew), [*by, "_day"], "left")
+    is_left = F.col("_left").isNotNull()
+    if isinstance(merged.schema["_ts"].dataType, T.DateType):
+        spread = F.pmod(F.xxhash64("_left"), F.greatest(F.col("_parts"), F.lit(1)))
+        sub = F.when(is_left, spread).otherwise(F.col("_parts") if strict else F.lit(-1))
+        carry_only = ~is_left & (F.coalesce(F.col("_parts"), F.lit(0)) > 0)
+    else:
+        sub = F.unix_seconds(F.col("_ts").cast("timestamp"))
+        carry_only = F.lit(False)
+    chunked = rows.withColumns({"_chunk": _chunk_of("_day", sub), "_carry_only": carry_only}).drop(
+        "_day", "_label", "_parts"
+    )
+    latest = F.max(F.struct("_ts", *ties, "_pay")).getField("_pay")
+    in_hot = F.col("_chunk").isNotNull()
+    tails = chunked.filter(in_hot & ~is_left).groupBy(*by, "_chunk").agg(latest.alias("_pay")).withColumn("_mark", F.lit(1))
+    wanted = chunked.filter(in_hot & is_left).select(*by, "_chunk").distinct().withColumn("_mark", F.lit(0))
+    along = Window.partitionBy(*by).orderBy("_chunk", "_mark").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        tails.unionByName(wanted, allowMissingColumns=True)
+        .withColumn("_carried", F.last("_pay", ignorenulls=True).over(along))
+        .filter((F.col("_mark") == 0) & F.col("_carried").isNotNull())
+        .select(*by, "_chunk", F.col("_carried").alias("_pay"), F.lit(-1).alias("_side"))
+    )
+    return chunked.filter(~F.col("_carry_only")).drop("_carry_only").unionByName(carried, allowMissingColumns=True)
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column], bucket: Column, name: str = "row_no") -> DataFrame:
     """Dense 1..N numbering over the whole table without a single-task sort.
 

@@ -96,17 +96,23 @@ def form_inconsistent(form: DataFrame, n: int = 5) -> DataFrame:
 
 
 def schema_drift(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
-    """missing / extra / retyped columns against an expected name -> type map."""
-    spark = df.sparkSession
+    """missing / extra / retyped columns against a name -> type map, and how many rows fill each of them."""
     actual = dict(df.dtypes)
-    have = spark.createDataFrame(list(actual.items()), "column_name STRING, actual_type STRING")
-    want = spark.createDataFrame(list(expected.items()), "column_name STRING, expected_type STRING")
-    kind = (
-        F.when(F.col("actual_type").isNull(), "missing")
-        .when(F.col("expected_type").isNull(), "extra")
-        .when(F.col("actual_type") != F.col("expected_type"), "retyped")
+    drifted = [
+        (name, actual.get(name), expected.get(name), "missing" if name not in actual else "extra" if name not in expected else "retyped")
+        for name in dict.fromkeys([*actual, *expected])
+        if actual.get(name) != expected.get(name)
+    ]
+    schema = "column_name STRING, actual_type STRING, expected_type STRING, drift STRING"
+    report = df.sparkSession.createDataFrame(drifted, schema)
+    present = [name for name, have, _, _ in drifted if have]
+    if not present:
+        return report.withColumn("filled", F.lit(None).cast("bigint"))
+    counts = df.agg(*[F.count(name).alias(name) for name in present])
+    filled = counts.select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).alias("filled")) for n in present]))
     )
-    return have.join(want, "column_name", "full_outer").withColumn("drift", kind).filter(F.col("drift").isNotNull())
+    return report.join(filled, "column_name", "left")
 
 
 def summarise(name: str, violations: DataFrame) -> DataFrame:

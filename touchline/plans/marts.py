@@ -57,7 +57,6 @@ def meeting_features(fixtures: DataFrame, n: int = 10) -> DataFrame:
             **{f"_{c}": total(c) for c in sums},
         },
         sums,
-        chunk=F.trunc("match_date", "year"),
     )
     low, high = pair_key(F.col("home_team_id"), F.col("away_team_id"))
     asked = fixtures.select(
@@ -77,7 +76,6 @@ def meeting_features(fixtures: DataFrame, n: int = 10) -> DataFrame:
         ["_games", *[f"_{c}" for c in sums]],
         ["_meeting"],
         matched_ts="h2h_source_date",
-        chunk=lambda c: F.trunc(c, "year"),
     )
 
     def pick(a: str, b: str) -> Column:
@@ -96,12 +94,15 @@ def meeting_features(fixtures: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def team_state_features(fixtures: DataFrame, rated: DataFrame) -> DataFrame:
-    """Form, rating and rest days of both teams strictly before each fixture."""
-    state = team_form(fixtures, rated).select("team_id", "match_date", F.col("fixture_id").alias("_match"), *FORM, "elo_after")
+def team_state_features(fixtures: DataFrame, state: DataFrame) -> DataFrame:
+    """Form, rating and rest days of both teams strictly before each fixture.
+
+    ``state`` is :func:`team_form` with ratings, one row per team and played match.
+    """
+    known = state.select("team_id", "match_date", F.col("fixture_id").alias("_match"), *FORM, "elo_after")
     asked = to_team_rows(fixtures).select("fixture_id", "team_id", "is_home", "match_date")
     found = asof_join(
-        asked, state, ["team_id"], "match_date", "match_date", [*FORM, "elo_after"], ["_match"], matched_ts="_source"
+        asked, known, ["team_id"], "match_date", "match_date", [*FORM, "elo_after"], ["_match"], matched_ts="_source"
     ).withColumns(
         {
             **{c: F.coalesce(F.col(c), F.lit(0)) for c in FORM if "avg" not in c},
@@ -165,7 +166,7 @@ def match_context(fixtures: DataFrame, derbies: DataFrame, leagues: DataFrame) -
 
 def match_features(
     fixtures: DataFrame,
-    rated: DataFrame,
+    state: DataFrame,
     odds: DataFrame,
     standings: DataFrame,
     injuries: DataFrame,
@@ -193,7 +194,7 @@ def match_features(
     joined = left_join_all(
         base,
         ["fixture_id"],
-        team_state_features(fixtures, rated),
+        team_state_features(fixtures, state),
         venue_features(fixtures),
         meeting_features(fixtures),
         consensus,

@@ -9,6 +9,7 @@ from touchline.operators.ordered import asof_join, latest_snapshot
 from touchline.plans import marts, testbed
 from touchline.plans.catalog import query
 from touchline.plans.sqltext import FX, LINES, PREDS, QUOTES, SEASONS, TEAMS, with_
+from touchline.session import stored
 
 c = F.col
 
@@ -591,11 +592,13 @@ def scd2_strength(spark, sf):
 
 
 def feature_mart(spark, sf):
-    fixtures = testbed.fixtures(spark, sf)
+    """The mart over stored inputs: fixtures and team form are read several times."""
+    fixtures = stored(testbed.fixtures(spark, sf), "fixtures")
+    state = stored(marts.team_form(fixtures, elo.elo_ratings(fixtures)), "team-form")
     key = aggregates.key_players(aggregates.player_impact(testbed.player_stats(spark, sf)))
     return marts.match_features(
         fixtures,
-        elo.elo_ratings(fixtures),
+        state,
         testbed.odds_wide(spark, sf),
         testbed.season_standings(spark, sf),
         testbed.injuries(spark, sf),

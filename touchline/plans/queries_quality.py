@@ -8,12 +8,13 @@ from touchline.operators import elo, form, history, joins, quality
 from touchline.plans import marts, testbed
 from touchline.plans.catalog import query
 from touchline.plans.sqltext import FX, PREDS, QUOTES, TEAMS, with_
+from touchline.session import stored
 
 c = F.col
 
 
 def _as_of():
-    return F.lit("2024-01-30 12:00:00").cast("timestamp")
+    return F.lit("2024-01-31 16:00:00").cast("timestamp")
 
 
 @query("dq_round_counts", with_(FX, body="SELECT league_id, season, round, count(*) AS n_matches, 40 AS expected_matches FROM fx GROUP BY ALL HAVING count(*)<>40"))
@@ -37,17 +38,17 @@ def dq_probability_sum(spark, sf):
     return quality.probability_sum_off(shifted).select("fixture_id", F.round("prob_sum", 6).alias("prob_sum"))
 
 
-@query("dq_freshness", """SELECT 'events' AS table_name, round((epoch(TIMESTAMP '2024-01-30 12:00:00')-floor(epoch(max(ts))))/3600,4) AS age_hours,
-CASE WHEN (epoch(TIMESTAMP '2024-01-30 12:00:00')-floor(epoch(max(ts))))/3600>24 THEN 'error' WHEN (epoch(TIMESTAMP '2024-01-30 12:00:00')-floor(epoch(max(ts))))/3600>12 THEN 'warn' ELSE 'ok' END AS status FROM events""")
+@query("dq_freshness", """SELECT 'events' AS table_name, round((epoch(TIMESTAMP '2024-01-31 16:00:00')-floor(epoch(max(ts))))/3600,4) AS age_hours,
+CASE WHEN (epoch(TIMESTAMP '2024-01-31 16:00:00')-floor(epoch(max(ts))))/3600>24 THEN 'error' WHEN (epoch(TIMESTAMP '2024-01-31 16:00:00')-floor(epoch(max(ts))))/3600>12 THEN 'warn' ELSE 'ok' END AS status FROM events""")
 def dq_freshness(spark, sf):
     rows = testbed.table(spark, sf, "events")
     return quality.freshness(rows, "ts", _as_of(), "events").withColumn("age_hours", F.round("age_hours", 4))
 
 
 @query("dq_source_freshness", """SELECT n AS table_name, CASE WHEN a>24 THEN 'error' WHEN a>12 THEN 'warn' ELSE 'ok' END AS status FROM (
-SELECT 'orders' AS n, (epoch(TIMESTAMP '2024-01-30 12:00:00')-epoch(max(o_orderdate)))/3600 AS a FROM orders
-UNION ALL SELECT 'lineitem', (epoch(TIMESTAMP '2024-01-30 12:00:00')-epoch(max(l_shipdate)))/3600 FROM lineitem
-UNION ALL SELECT 'events', (epoch(TIMESTAMP '2024-01-30 12:00:00')-floor(epoch(max(ts))))/3600 FROM events)""")
+SELECT 'orders' AS n, (epoch(TIMESTAMP '2024-01-31 16:00:00')-epoch(max(o_orderdate)))/3600 AS a FROM orders
+UNION ALL SELECT 'lineitem', (epoch(TIMESTAMP '2024-01-31 16:00:00')-epoch(max(l_shipdate)))/3600 FROM lineitem
+UNION ALL SELECT 'events', (epoch(TIMESTAMP '2024-01-31 16:00:00')-floor(epoch(max(ts))))/3600 FROM events)""")
 def dq_source_freshness(spark, sf):
     out = None
     for name, ts in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts")):
@@ -83,7 +84,8 @@ def dq_leakage(spark, sf):
 def dq_leakage_features(spark, sf):
     """The feature mart must not leak: no rows."""
     fixtures = testbed.fixtures(spark, sf)
-    features = marts.team_state_features(fixtures, elo.elo_ratings(fixtures)).join(
+    state = stored(marts.team_form(fixtures, elo.elo_ratings(fixtures)), "team-form")
+    features = marts.team_state_features(fixtures, state).join(
         fixtures.select("fixture_id", "match_date"), "fixture_id"
     )
     return quality.leaking_rows(features, ["home_form_source_date", "away_form_source_date"]).select("fixture_id")
@@ -120,8 +122,8 @@ def dq_row_counts(spark, sf):
     return out
 
 
-@query("schema_drift", """SELECT * FROM (VALUES ('o_orderpriority','string',NULL,'extra'),('o_clerk',NULL,'string','missing'),
-('o_orderkey','bigint','int','retyped')) t(column_name,actual_type,expected_type,drift) WHERE (SELECT count(*) FROM orders)>=0""")
+@query("schema_drift", """SELECT * FROM (SELECT 'o_orderpriority' AS column_name,'string' AS actual_type,NULL AS expected_type,'extra' AS drift, count(o_orderpriority) AS filled FROM orders
+UNION ALL SELECT 'o_clerk',NULL,'string','missing', NULL UNION ALL SELECT 'o_orderkey','bigint','int','retyped', count(o_orderkey) FROM orders)""")
 def schema_drift(spark, sf):
     expected = {
         "o_orderkey": "int",

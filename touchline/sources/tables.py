@@ -6,10 +6,11 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.session import scratch_path
+from touchline.session import stored
 
 
 def _path(spark: SparkSession, path: str):
@@ -74,9 +75,7 @@ def upsert_table(
     if not table_exists(spark, path):
         _write(source, path, partition_by, "overwrite")
         return
-    staged_source = scratch_path(spark, "upsert-source")
-    source.write.parquet(staged_source)
-    source = spark.read.parquet(staged_source)
+    source = stored(source, "upsert-source")
     target = spark.read.parquet(path).select(*source.columns)
     if not partition_by:
         _replace(spark, upsert(target, source, keys, null_safe), path, ())
@@ -84,35 +83,45 @@ def upsert_table(
     matched = target.alias("t").join(
         source.select(*keys).alias("s"), _same("t", "s", keys, null_safe), "left_semi"
     )
-    touched = matched.select(*partition_by).unionByName(source.select(*partition_by)).distinct()
-    staged_touched = scratch_path(spark, "upsert-touched")
-    touched.write.parquet(staged_touched)
-    touched = spark.read.parquet(staged_touched)
-    t, p = target.alias("t"), touched.alias("p")
-    merged = upsert(t.join(p, _same("t", "p", partition_by), "left_semi"), source, keys, null_safe)
+    # Partition values are as many as the table's directories, which the driver lists anyway; as
+    # literals they prune the scan of the target.
+    touched = _partition_values(matched.select(*partition_by).unionByName(source.select(*partition_by)), partition_by)
+    merged = upsert(target.filter(_one_of(touched, partition_by)), source, keys, null_safe)
     staged = _replace(spark, merged, path, partition_by)
-    left = staged.select(*partition_by).distinct().alias("l")
-    emptied = p.join(left, _same("p", "l", partition_by), "left_anti")
-    drop_partitions(spark, path, emptied, partition_by)
+    drop_partitions(spark, path, touched - _partition_values(staged, partition_by), partition_by)
+
+
+def _partition_values(df: DataFrame, partition_by: Sequence[str]) -> set[tuple]:
+    return {tuple(row) for row in df.select(*partition_by).distinct().toLocalIterator()}
+
+
+def _one_of(values: set[tuple], cols: Sequence[str]) -> Column:
+    """Predicate on partition columns that Spark evaluates while listing files."""
+    known = [v for v in values if None not in v]
+    if len(cols) == 1:
+        out = F.col(cols[0]).isin([v[0] for v in known])
+    else:
+        out = F.lit(False)
+        for value in known:
+            out = out | reduce(lambda a, b: a & b, [F.col(c) == F.lit(x) for c, x in zip(cols, value, strict=True)])
+    for value in values - set(known):
+        out = out | reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(x)) for c, x in zip(cols, value, strict=True)])
+    return out
 
 
 def _replace(spark: SparkSession, rows: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
-    staging = scratch_path(spark, "staged")
-    rows.write.parquet(staging)
-    staged = spark.read.parquet(staging)
+    staged = stored(rows, "upsert-merged")
     _write(staged, path, partition_by, "overwrite")
     return staged
 
 
-def drop_partitions(spark: SparkSession, path: str, values: DataFrame, partition_by: Sequence[str]) -> int:
-    """Delete the directories of the listed partition values; only directory names reach the driver."""
-    named = [
-        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
-        for c in partition_by
-    ]
+def drop_partitions(spark: SparkSession, path: str, values: set[tuple], partition_by: Sequence[str]) -> int:
+    """Delete the directories of the listed partition values (dates, numbers or plain text)."""
     dropped = 0
-    for row in values.select(F.concat_ws("/", *named).alias("d")).distinct().toLocalIterator():
-        fs, location = _path(spark, f"{path}/{row.d}")
+    for value in values:
+        named = ["__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in value]
+        directory = "/".join(f"{c}={v}" for c, v in zip(partition_by, named, strict=True))
+        fs, location = _path(spark, f"{path}/{directory}")
         dropped += bool(fs.delete(location, True))
     return dropped
 
@@ -124,7 +133,7 @@ def expired(df: DataFrame, column: str, days: int, today: dt.date) -> DataFrame:
 
 def expire_partitions(spark: SparkSession, path: str, column: str, days: int, today: dt.date) -> int:
     """Drop whole date partitions older than ``days``; returns how many went. Reads no data columns."""
-    old = expired(spark.read.parquet(path), column, days, today).select(column).distinct()
+    old = _partition_values(expired(spark.read.parquet(path), column, days, today), [column])
     return drop_partitions(spark, path, old, [column])
 
 
@@ -136,49 +145,28 @@ def publish(df: DataFrame, root: str, name: str, keys: Sequence[str]) -> None:
 def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 10, name: str = "_z") -> DataFrame:
     """Add a key that interleaves the bits of each column's quantile bucket (at most four columns).
 
-    The buckets come from ``approx_percentile`` in one aggregate row of 2^bits splits per column.
+    ``QuantileDiscretizer`` finds the 2^bits bucket bounds of all columns in one approximate pass and
+    looks rows up by binary search on the JVM. NULL and NaN share the last bucket.
     """
     if not 1 <= len(cols) <= 4:
         raise ValueError("between one and four clustering columns")
-    buckets = 1 << bits
-    bounds = df.agg(
-        *[
-            F.percentile_approx(F.col(c).cast("double"), [i / buckets for i in range(1, buckets)], buckets * 10).alias(c)
-            for c in cols
-        ]
-    ).first()
-    out = df
-    ranks = {}
-    for c in cols:
-        splits = sorted(set(bounds[c] or []))
-        ranks[c] = F.coalesce(_bucket_of(F.col(c).cast("double"), splits), F.lit(0))
+    numeric = [f"_n_{c}" for c in cols]
+    ranks = [f"_r_{c}" for c in cols]
+    ready = df.withColumns({n: F.col(c).cast("double") for n, c in zip(numeric, cols, strict=True)})
+    discretizer = QuantileDiscretizer(
+        numBuckets=(1 << bits) - 1,
+        inputCols=numeric,
+        outputCols=ranks,
+        relativeError=1.0 / (1 << (bits + 2)),
+        handleInvalid="keep",
+    )
+    ranked = discretizer.fit(ready).transform(ready)
     key = F.lit(0).cast("bigint")
     for bit in range(bits):
-        for i, c in enumerate(cols):
-            one = F.shiftright(ranks[c], bit).bitwiseAND(F.lit(1)).cast("bigint")
+        for i, rank in enumerate(ranks):
+            one = F.shiftright(F.col(rank).cast("int"), bit).bitwiseAND(F.lit(1)).cast("bigint")
             key = key.bitwiseOR(F.shiftleft(one, bit * len(cols) + i))
-    return out.withColumn(name, key)
-
-
-def _bucket_of(col: Column, splits: Sequence[float]) -> Column:
-    """Number of splits not above the value, by halving: log2(n) comparisons per row."""
-    if not splits:
-        return F.when(col.isNotNull(), F.lit(0))
-    array = F.array(*[F.lit(float(s)) for s in splits])
-    low, high = F.lit(0), F.lit(len(splits))
-    state = F.struct(low.alias("lo"), high.alias("hi"))
-    steps = F.sequence(F.lit(1), F.lit(len(splits).bit_length()))
-
-    def halve(acc: Column, _: Column) -> Column:
-        middle = F.shiftright(acc["lo"] + acc["hi"], 1)
-        above = F.element_at(array, middle + 1) <= col
-        open_ = acc["lo"] < acc["hi"]
-        return F.struct(
-            F.when(open_ & above, middle + 1).otherwise(acc["lo"]).alias("lo"),
-            F.when(open_ & ~above, middle).otherwise(acc["hi"]).alias("hi"),
-        )
-
-    return F.when(col.isNotNull(), F.aggregate(steps, state, halve, lambda acc: acc["lo"]))
+    return ranked.withColumn(name, key).drop(*numeric, *ranks)
 
 
 def compact_table(
