@@ -23,6 +23,10 @@ RATINGS = (
     "pool BIGINT, fixture_id BIGINT, match_date DATE, season INT, home_team_id BIGINT, away_team_id BIGINT,"
     " home_before DOUBLE, away_before DOUBLE, home_after DOUBLE, away_after DOUBLE"
 )
+MATCH_COLUMNS = (
+    "pool", "fixture_id", "match_date", "season", "home_team_id", "away_team_id", "goals_home", "goals_away", "k",
+    "is_state", "rating",
+)
 STATE = "pool BIGINT, team_id BIGINT, rating DOUBLE, season INT"
 
 
@@ -54,25 +58,19 @@ def _fold(rule: EloRule, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFra
     ratings: dict[int, tuple[float, int]] = {}
     for batch in batches:
         rated = []
-        for row in batch.itertuples(index=False):
-            if row.pool != pool:
-                pool, ratings = row.pool, {}
-            if row.is_state:
-                ratings[row.home_team_id] = (row.rating, row.season)
+        for row_pool, fixture, day, season, home, away, goals_home, goals_away, k, is_state, stored in zip(
+            *(batch[c].tolist() for c in MATCH_COLUMNS), strict=True
+        ):
+            if row_pool != pool:
+                pool, ratings = row_pool, {}
+            if is_state:
+                ratings[home] = (stored, season)
                 continue
-            before = []
-            for team in (row.home_team_id, row.away_team_id):
-                rating, season = ratings.get(team, (rule.start, row.season))
-                before.append(rule.opening(rating, season, row.season))
-            gain = rule.change(before[0], before[1], row.goals_home, row.goals_away, row.k)
-            ratings[row.home_team_id] = (before[0] + gain, row.season)
-            ratings[row.away_team_id] = (before[1] - gain, row.season)
-            rated.append(
-                (
-                    pool, row.fixture_id, row.match_date, row.season, row.home_team_id, row.away_team_id,
-                    before[0], before[1], before[0] + gain, before[1] - gain,
-                )
-            )
+            before = [rule.opening(*ratings.get(team, (rule.start, season)), season) for team in (home, away)]
+            gain = rule.change(*before, goals_home, goals_away, k)
+            ratings[home] = (before[0] + gain, season)
+            ratings[away] = (before[1] - gain, season)
+            rated.append((pool, fixture, day, season, home, away, *before, before[0] + gain, before[1] - gain))
         yield pd.DataFrame(rated, columns=[part.split()[0] for part in RATINGS.split(",")])
 
 
@@ -112,7 +110,7 @@ def elo_ratings(
             stored.withColumns({"goals_home": F.lit(0), "goals_away": F.lit(0)}), allowMissingColumns=True
         )
     # Filled so that pandas keeps integer columns integer in batches with state rows.
-    rows = rows.fillna({"fixture_id": -1, "away_team_id": -1})
+    rows = rows.fillna({"fixture_id": -1, "away_team_id": -1}).select(*MATCH_COLUMNS)
     ordered = rows.repartition("pool").sortWithinPartitions("pool", F.desc("is_state"), "match_date", "fixture_id")
     return ordered.mapInPandas(lambda batches: _fold(rule, batches), RATINGS)
 

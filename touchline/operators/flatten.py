@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.columns import percent_number, safe_cast
+from touchline.functions.columns import percent_number
 
 Source = str | Column
 
@@ -85,16 +85,17 @@ def pivot_kv(
 ) -> DataFrame:
     """Key/value array to columns: first entry of each key, percent sign stripped, cast without error.
 
-    Row-local, so there is no shuffle. ``mapping`` is key -> (column, type).
+    Row-local, so there is no shuffle; looked up by position rather than by a lambda per key, so it
+    stays inside generated code. ``mapping`` is key -> (column, type).
     """
+    keys, values = F.col(f"{array}.{key}"), F.col(f"{array}.{value}")
 
-    def entry(name: str) -> Column:
-        return F.get(F.filter(F.col(array), lambda s: s[key] == name), F.lit(0))[value]
+    def entry(name: str, type_: str) -> Column:
+        # A missing key has position 0, hence index -1, hence NULL.
+        number = percent_number(F.get(values, F.array_position(keys, name).cast("int") - 1))
+        return number if type_ == "double" else number.try_cast(type_)
 
-    picked = [
-        (percent_number(entry(name)) if type_ == "double" else safe_cast(entry(name), type_)).alias(column)
-        for name, (column, type_) in mapping.items()
-    ]
+    picked = [entry(name, type_).alias(column) for name, (column, type_) in mapping.items()]
     return df.select(*[c for c in df.columns if c != array], *picked)
 
 

@@ -9,6 +9,7 @@ from touchline.plans import marts, model, serving, testbed
 from touchline.plans.catalog import query
 from touchline.plans.queries_marts import feature_mart
 from touchline.plans.sqltext import FX, PREDS, QUOTES, SEASONS, TEAMS, with_
+from touchline.session import scratch_path, stored
 
 c = F.col
 
@@ -81,11 +82,11 @@ def confusion_matrix(spark, sf):
     "round_predictions",
     with_(FX, PREDS, body="""SELECT league_id, season, round, count(*) AS predictions, count(*) FILTER (WHERE predicted_result='H') AS home_picks,
   count(*) FILTER (WHERE predicted_result='D') AS draw_picks, count(*) FILTER (WHERE predicted_result='A') AS away_picks,
-  count(*) FILTER (WHERE confidence='high') AS high_confidence, round(avg(greatest(prob_home_win,prob_draw,prob_away_win)),5) AS avg_top_prob,
+  count(*) FILTER (WHERE confidence='high') AS high_confidence, round(avg(greatest(prob_home_win,prob_draw,prob_away_win)),10) AS avg_top_prob,
   min(match_date) AS first_match, max(match_date) AS last_match FROM p GROUP BY ALL"""),
 )
 def round_predictions(spark, sf):
-    return aggregates.round_predictions(testbed.predictions(spark, sf)).withColumn("avg_top_prob", F.round("avg_top_prob", 5))
+    return aggregates.round_predictions(testbed.predictions(spark, sf)).withColumn("avg_top_prob", F.round("avg_top_prob", 10))
 
 
 @query(
@@ -172,8 +173,6 @@ _SIZES = model.StackSizes(trees=10, tree_depth=5, boost_rounds=3, boost_depth=3,
 
 def _trained(spark, sf):
     """The feature mart is stored once: training reads it many times."""
-    from touchline.session import scratch_path
-
     path = scratch_path(spark, "features")
     feature_mart(spark, sf).write.parquet(path)
     known, unknown = model.split_by_target(model.feature_rows(spark.read.parquet(path)))
@@ -192,6 +191,24 @@ def feature_importance(spark, sf):
     return model.feature_importance(stack)
 
 
+@query("model_evaluation")
+def model_evaluation(spark, sf):
+    """Trained on the older matches, measured on the newest fifth, compared with no incumbent."""
+    path = scratch_path(spark, "features")
+    feature_mart(spark, sf).write.parquet(path)
+    known, _ = model.split_by_target(model.feature_rows(spark.read.parquet(path)))
+    parts = stored(model.time_split(known, 0.2), "split")
+    stack = model.train_stack(parts.filter("part = 'train'").drop("part"), _SIZES)
+    scored = marts.prediction_rows(
+        model.score(stack, parts.filter("part = 'validation'").drop("part")), "v1", F.current_timestamp()
+    )
+    resolved = scored.withColumn("actual_result", c("result")).withColumn(
+        "was_correct", c("predicted_result") == c("actual_result")
+    )
+    measured = metrics.model_performance(resolved)
+    return metrics.compare_models(measured, measured.limit(0))
+
+
 @query(
     "feature_load",
     with_(FX, body="""SELECT fixture_id, CASE result WHEN 'H' THEN CAST(0 AS DOUBLE) WHEN 'D' THEN 1 WHEN 'A' THEN 2 END AS label,

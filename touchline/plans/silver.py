@@ -28,8 +28,11 @@ def request_fixture() -> Column:
     return F.get_json_object("params", "$.fixture").try_cast("bigint")
 
 
-def _latest(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] | None = None) -> DataFrame:
-    return dedup_latest(require_keys(df, keys[:2]), keys, LANDED, tiebreak).drop(*LANDED)
+def _latest(
+    df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] | None = None, required: int | None = None
+) -> DataFrame:
+    """Latest landed row per key; rows with a NULL among the first ``required`` keys (default all) are dropped."""
+    return dedup_latest(require_keys(df, keys[:required]), keys, LANDED, tiebreak).drop(*LANDED)
 
 
 def fixtures(raw: DataFrame, finished: Iterable[str] = ("FT",)) -> DataFrame:
@@ -88,7 +91,8 @@ def events(raw: DataFrame) -> DataFrame:
         F.col("rec.time.extra").alias("time_extra"),
         *LANDED,
     )
-    return _latest(rows, TABLES["match_events"].keys)
+    # Player, extra time and detail may be NULL: they take part in the key null-safely.
+    return _latest(rows, TABLES["match_events"].keys, required=2)
 
 
 def odds_long(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
@@ -146,7 +150,7 @@ def standings(raw: DataFrame) -> DataFrame:
         **{c: c for c in LANDED},
     }
     rows = explode_path(parse_payload(raw, schemas.STANDINGS), [("rec.league.standings", "_row")], keep)
-    return _latest(require_keys(rows, ["team_id"]), TABLES["standings"].keys)
+    return _latest(rows, TABLES["standings"].keys)
 
 
 def injuries(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
@@ -333,7 +337,7 @@ def transfers(raw: DataFrame) -> DataFrame:
         },
         outer=False,
     ).withColumn("transfer_date", local_day(F.col("transfer_date")))
-    return _latest(rows, ("player_id", "transfer_date", "to_team_id"))
+    return _latest(rows, ("player_id", "transfer_date", "to_team_id"), required=1)
 
 
 def api_predictions(raw: DataFrame) -> DataFrame:
