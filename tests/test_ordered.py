@@ -4,6 +4,8 @@ import datetime as dt
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from touchline.operators.form import days_since_last, rolling_form
@@ -117,6 +119,11 @@ def test_scd2_split_equals_plain(spark):
     split = scd2_from_log(log, *args, skew=TINY)
     assert rows_of(split) == rows_of(scd2_from_log(log, *args, skew=None))
     assert split.groupBy("team_id").agg(F.count_if("is_current").alias("n")).filter("n <> 1").isEmpty()
+    by_team = {}
+    for row in split.orderBy("team_id", "match_date", "fixture_id").collect():
+        by_team.setdefault(row.team_id, []).append((row.valid_from, row.valid_to))
+    for spans in by_team.values():
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False)) and spans[-1][1] is None
 
 
 def test_dedup_latest_ties_are_deterministic(spark):
@@ -128,6 +135,14 @@ def test_dedup_latest_ties_are_deterministic(spark):
     assert dedup_latest(df, ["k"], ["ts"]).filter("k = 2").first().v == "w"
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5)), min_size=1, max_size=20))
+def test_dedup_latest_is_the_maximum(spark, rows):
+    df = spark.createDataFrame(rows, "k INT, ts INT")
+    got = {r.k: r.ts for r in dedup_latest(df, ["k"], ["ts"]).collect()}
+    assert got == {k: max(t for j, t in rows if j == k) for k, _ in rows}
+
+
 def test_dedup_and_top_k_use_the_group_limit(spark):
     df = spark.range(100).select((F.col("id") % 5).alias("k"), F.col("id").alias("v"))
     for out in (dedup_latest(df, ["k"], ["v"]), top_k_per_group(df, ["k"], [F.desc("v")], 3)):

@@ -1,0 +1,64 @@
+"""A small league from raw records to marts, loaded in two increments."""
+
+import datetime as dt
+import json
+
+from touchline.plans import pipeline
+from touchline.schemas import RAW
+from touchline.session import scratch_path
+
+
+def raw(spark, records, at):
+    rows = [(json.dumps(p), "/e", json.dumps(params), at.date(), at, "b", "/e") for p, params in records]
+    return spark.createDataFrame(rows, RAW)
+
+
+def fixture(i, day, home, away, score=None):
+    return (
+        {
+            "fixture": {"id": i, "date": f"{day}T20:00:00+00:00", "status": {"short": "FT" if score else "NS"}},
+            "league": {"id": 71, "season": 2025, "round": "1"},
+            "teams": {"home": {"id": home}, "away": {"id": away}},
+            "goals": dict(zip(("home", "away"), score or (None, None), strict=True)),
+        },
+        {},
+    )
+
+
+def card(i, minute, player):
+    return (
+        {"time": {"elapsed": minute}, "team": {"id": 1}, "player": {"id": player}, "type": "Card", "detail": "Yellow Card"},
+        {"fixture": str(i)},
+    )
+
+
+def test_two_increments(spark):
+    root = scratch_path(spark, "e2e")
+    now = dt.datetime.now(dt.UTC).replace(tzinfo=None, microsecond=0)
+    pipeline.land(raw(spark, [fixture(1, "2025-04-01", 1, 2), fixture(2, "2025-04-08", 2, 1)], now), root, "fixtures")
+    pipeline.land(raw(spark, [card(1, 10, 5), card(1, 10, 6), card(1, 10, 5)], now), root, "events")
+    first = pipeline.load_all(spark, root, "r1")
+    assert first["fixtures"] == {"rows_affected": 2, "status": "success"}
+    assert first["match_events"]["rows_affected"] == 2
+
+    later = now + dt.timedelta(seconds=5)
+    pipeline.land(raw(spark, [fixture(1, "2025-04-01", 1, 2, (2, 0)), fixture(2, "2025-04-20", 2, 1)], later), root, "fixtures")
+    for run in ("r2", "r3"):
+        pipeline.load_all(spark, root, run)
+        rows = {r.fixture_id: (r.match_date, r.result) for r in spark.read.parquet(f"{root}/silver/fixtures").collect()}
+        assert rows == {1: (dt.date(2025, 4, 1), "H"), 2: (dt.date(2025, 4, 20), None)}
+    events = spark.read.parquet(f"{root}/silver/match_events").collect()
+    assert {r.match_date for r in events} == {dt.date(2025, 4, 1)} and len(events) == 2
+
+    for _ in range(2):
+        pipeline.build_marts(spark, root, "r3")
+    summary = spark.read.parquet(f"{root}/gold/league_summary").collect()
+    assert [(r.total_matches, r.matches_played, r.home_win_pct) for r in summary] == [(2, 1, 100.0)]
+    form = {r.team_id: (r.form_string, r.elo_rating) for r in spark.read.parquet(f"{root}/gold/team_form").collect()}
+    assert form[1][0] == "W" and form[2][0] == "L" and form[1][1] > 1500 > form[2][1]
+    assert spark.read.parquet(f"{root}/gold/head_to_head").count() == 2
+
+    audit = spark.read.parquet(f"{root}/audit")
+    assert audit.filter("status = 'success'").count() == 6
+    future = pipeline.load_table(spark, root, "fixtures", "r4", since=dt.date(2999, 1, 1))
+    assert future == {"rows_affected": 0, "status": "no_data"}

@@ -1,0 +1,83 @@
+"""The table lifecycle: raw rows since the high-water mark, typed, latest per key, upserted, audited."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from touchline.operators.aggregates import head_to_head, league_summary
+from touchline.operators.elo import elo_ratings
+from touchline.operators.flatten import stamp
+from touchline.plans import marts, silver
+from touchline.schemas import RAW, TABLES
+from touchline.sources.landing import high_water_mark, scan_since
+from touchline.sources.tables import append_table, overwrite_partitions, run_step, table_exists, upsert_table
+
+Transform = Callable[[DataFrame], DataFrame]
+
+# Typed table -> feed and transform. Fixtures come first: the others take their match day from it.
+LOADS: dict[str, tuple[str, Transform]] = {
+    "fixtures": ("fixtures", silver.fixtures),
+    "match_statistics": ("statistics", silver.statistics),
+    "match_events": ("events", silver.events),
+    "odds_long": ("odds", silver.odds_long),
+    "standings": ("standings", silver.standings),
+    "injuries": ("injuries", silver.injuries),
+}
+
+
+def land(rows: DataFrame, root: str, feed: str) -> None:
+    """Append raw rows to the feed's date-partitioned raw table."""
+    append_table(rows, f"{root}/bronze/{feed}", ["_ingestion_date"])
+
+
+def default_since(spark: SparkSession, path: str) -> dt.date | None:
+    """Day of the newest load of the target; None (read everything) for a new table."""
+    if not table_exists(spark, path):
+        return None
+    mark = high_water_mark(spark.read.parquet(path), "_loaded_at")
+    return mark and mark.date()
+
+
+def load_table(
+    spark: SparkSession, root: str, name: str, run_id: str, since: dt.date | None = None, partitioned: bool = True
+) -> dict:
+    """One load of a typed table; returns its rows and status, and appends an audit row."""
+    feed, transform = LOADS[name]
+    spec, path = TABLES[name], f"{root}/silver/{name}"
+    since = since or default_since(spark, path)
+    raw = scan_since(spark.read.schema(RAW).parquet(f"{root}/bronze/{feed}"), since)
+
+    def typed(rows: DataFrame) -> DataFrame:
+        out = transform(rows)
+        if spec.partition_by and "match_date" not in out.columns:
+            out = silver.with_match_date(out, spark.read.parquet(f"{root}/silver/fixtures"))
+        return stamp(out, run_id)
+
+    def write(rows: DataFrame) -> None:
+        upsert_table(rows, path, spec.keys, spec.partition_by if partitioned else ())
+
+    return run_step(spark, f"load_{name}", run_id, raw, typed, write, f"{root}/audit")
+
+
+def load_all(
+    spark: SparkSession, root: str, run_id: str, since: dt.date | None = None, partitioned: bool = True
+) -> dict[str, dict]:
+    """Every typed table whose raw feed has landed, fixtures first."""
+    return {
+        name: load_table(spark, root, name, run_id, since, partitioned)
+        for name, (feed, _) in LOADS.items()
+        if table_exists(spark, f"{root}/bronze/{feed}")
+    }
+
+
+def build_marts(spark: SparkSession, root: str, run_id: str) -> None:
+    """Season marts from the typed fixtures; whole partitions are replaced, so a rerun changes nothing."""
+    fixtures = spark.read.parquet(f"{root}/silver/fixtures")
+    overwrite_partitions(stamp(league_summary(fixtures), run_id), f"{root}/gold/league_summary", ["season"])
+    form = marts.team_form(fixtures, elo_ratings(fixtures))
+    columns = ["fixture_id", "team_id", "league_id", "season", "reference_date", *marts.FORM, "form_string", "elo_rating"]
+    overwrite_partitions(stamp(form.select(*columns), run_id), f"{root}/gold/team_form", ["season"])
+    upsert_table(stamp(head_to_head(fixtures), run_id), f"{root}/gold/head_to_head", TABLES["head_to_head"].keys)

@@ -168,7 +168,7 @@ def expanding_folds(spark, sf):
 
 
 # Small model sizes for the registered runs; the work still covers every match.
-_SIZES = model.StackSizes(trees=10, tree_depth=5, boost_rounds=3, boost_depth=3, second_boost_depth=4, folds=1)
+_SIZES = model.StackSizes(trees=10, tree_depth=5, boost_rounds=2, boost_depth=2, second_boost_depth=3, folds=1)
 
 
 def _trained(spark, sf):

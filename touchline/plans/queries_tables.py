@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from touchline.operators.ordered import dedup_latest
-from touchline.plans import silver, testbed
+from touchline.plans import pipeline, silver, testbed
 from touchline.plans.catalog import query
 from touchline.plans.sqltext import FX, PREDS, QUOTES, TEAMS, with_
 from touchline.schemas import FEEDS
@@ -237,10 +237,10 @@ def expire_partitions(spark, sf):
 @query("publish_predictions", with_(FX, PREDS, body="SELECT fixture_id, predicted_result, model_version FROM p"))
 def publish_predictions(spark, sf):
     root = scratch_path(spark, "serving")
-    rows = testbed.predictions(spark, sf).select("fixture_id", "predicted_result", "model_version")
-    tables.publish(rows.withColumn("predicted_result", F.lit("?")), root, "match_predictions", ["fixture_id"])
-    tables.publish(rows, root, "match_predictions", ["fixture_id"])
-    return spark.read.parquet(f"{root}/match_predictions")
+    rows = testbed.predictions(spark, sf).select("fixture_id", "predicted_result", "model_version", "season")
+    for version in (rows.withColumn("predicted_result", F.lit("?")), rows):
+        tables.publish(version, root, "match_predictions", ["fixture_id"], ["season"])
+    return spark.read.parquet(f"{root}/match_predictions").drop("season")
 
 
 @query("zorder_compact", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL")
@@ -313,6 +313,54 @@ def dedup_tables(spark, sf):
     return out
 
 
+_RAW = {
+    "fixtures": testbed.raw_fixtures,
+    "statistics": testbed.raw_statistics,
+    "events": testbed.raw_events,
+    "odds": testbed.raw_odds,
+    "standings": testbed.raw_standings,
+    "injuries": testbed.raw_injuries,
+}
+
+
+@query(
+    "pipeline_tables",
+    with_(
+        TEAMS,
+        QUOTES,
+        body="""SELECT 'fixtures' AS table_name, count(*) AS n_rows FROM fx
+UNION ALL SELECT 'match_statistics', count(*) FROM pr
+UNION ALL SELECT 'match_events', CAST(sum(fixture_id%4) AS BIGINT) FROM fx WHERE status='FT'
+UNION ALL SELECT 'odds_long', (SELECT count(*) FROM (SELECT DISTINCT fixture_id, bookmaker_id, outcome FROM q))
+  + 2*(SELECT count(*) FROM (SELECT DISTINCT fixture_id, bookmaker_id FROM q))
+UNION ALL SELECT 'standings', count(*) FROM (SELECT DISTINCT league_id, season, team_id FROM pr)
+UNION ALL SELECT 'injuries', count(*) FROM (SELECT DISTINCT fixture_id, CASE WHEN l_linenumber%2=0 THEN home_team_id ELSE away_team_id END, l_partkey%25
+  FROM lineitem JOIN fx ON l_orderkey=fixture_id WHERE l_returnflag='R')
+UNION ALL SELECT 'league_summary', count(*) FROM (SELECT DISTINCT league_id, season FROM fx)
+UNION ALL SELECT 'team_form', count(*) FROM pr
+UNION ALL SELECT 'head_to_head', 2*count(*) FROM (SELECT DISTINCT league_id, least(home_team_id,away_team_id), greatest(home_team_id,away_team_id) FROM fx WHERE result IS NOT NULL)""",
+    ),
+)
+def pipeline_tables(spark, sf):
+    """Raw feeds landed, every typed table loaded, one of them again, marts built; rows per table.
+
+    Unpartitioned here: the test data has a handful of rows for each of 2,400 days.
+    """
+    root = scratch_path(spark, "pipeline")
+    for feed, make in _RAW.items():
+        tables.append_table(make(spark, sf), f"{root}/bronze/{feed}")
+    pipeline.load_all(spark, root, "r1", partitioned=False)
+    pipeline.load_table(spark, root, "match_events", "r2", dt.date(1990, 1, 1), partitioned=False)
+    pipeline.build_marts(spark, root, "r2")
+    out = None
+    for layer, name in [*[("silver", n) for n in pipeline.LOADS], *[("gold", n) for n in ("league_summary", "team_form", "head_to_head")]]:
+        counts = spark.read.parquet(f"{root}/{layer}/{name}").agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")
+        )
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 # --- streams --------------------------------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.operators.flatten import parse_payload
 from touchline.operators.ordered import global_row_number
 from touchline.schemas import FEEDS, MARKETS
 
@@ -29,8 +30,8 @@ def land_raw(
     spec = FEEDS[feed]
     at = F.current_timestamp() if at is None else at
     if shape == "envelope":
-        records = F.from_json(F.get_json_object(body, "$.response"), "array<string>")
-        rows = bodies.select(F.get_json_object(body, "$.parameters").alias("params"), F.explode(records).alias("payload"))
+        parsed = parse_payload(bodies.select(body), "parameters STRING, response ARRAY<STRING>", body)
+        rows = parsed.select(F.col("rec.parameters").alias("params"), F.explode("rec.response").alias("payload"))
     elif shape == "record":
         rows = bodies.select(F.lit(None).cast("string").alias("params"), F.col(body).alias("payload"))
     else:

@@ -137,9 +137,10 @@ def expire_partitions(spark: SparkSession, path: str, column: str, days: int, to
     return drop_partitions(spark, path, old, [column])
 
 
-def publish(df: DataFrame, root: str, name: str, keys: Sequence[str]) -> None:
-    """Upsert into a served table under ``root``."""
-    upsert_table(df, f"{root}/{name}", keys)
+def publish(df: DataFrame, root: str, name: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
+    """Upsert into a served table under ``root``; large ones should be partitioned, so that only touched
+    partitions are rewritten."""
+    upsert_table(df, f"{root}/{name}", keys, partition_by)
 
 
 def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 10, name: str = "_z") -> DataFrame:
@@ -172,11 +173,14 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 10, name: str = "
 def compact_table(
     spark: SparkSession, path: str, out: str, zorder_cols: Sequence[str], target_files: int, bits: int = 10
 ) -> None:
-    """Rewrite a table clustered by the interleaved key into ``target_files`` range-partitioned files."""
-    keyed = zorder_key(spark.read.parquet(path), zorder_cols, bits)
-    keyed.repartitionByRange(target_files, "_z").sortWithinPartitions("_z").drop("_z").write.mode("overwrite").parquet(
-        out
-    )
+    """Rewrite a table clustered by the interleaved key into ``target_files`` range-partitioned files.
+
+    A row hash is the second range column, so rows that share one key can fill several files.
+    """
+    rows = spark.read.parquet(path)
+    keyed = zorder_key(rows, zorder_cols, bits).withColumn("_h", F.xxhash64(*rows.columns))
+    clustered = keyed.repartitionByRange(target_files, "_z", "_h").sortWithinPartitions("_z")
+    clustered.drop("_z", "_h").write.mode("overwrite").parquet(out)
 
 
 def layout_job(
