@@ -82,6 +82,11 @@ def test_resume_gives_the_same(spark, rows):
     assert close(values(first) | values(second), plain(rows)[0])
 
 
+def test_by_period_gives_the_same(spark, rows):
+    path = elo.elo_by_period(spark.createDataFrame(rows, SCHEMA))
+    assert close(values(spark.read.parquet(path)), plain(rows)[0])
+
+
 def test_by_matchday_gives_the_same(spark, rows):
     few = [r for r in rows if r[3] < dt.date(2024, 8, 1) or r[3] > dt.date(2025, 5, 1)]
     path = elo.elo_by_matchday(spark.createDataFrame(few, SCHEMA))

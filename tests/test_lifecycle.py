@@ -3,7 +3,7 @@
 import datetime as dt
 import json
 
-from touchline.plans import pipeline
+from touchline.plans import lifecycle
 from touchline.schemas import RAW
 from touchline.session import scratch_path
 
@@ -35,23 +35,23 @@ def card(i, minute, player):
 def test_two_increments(spark):
     root = scratch_path(spark, "e2e")
     now = dt.datetime.now(dt.UTC).replace(tzinfo=None, microsecond=0)
-    pipeline.land(raw(spark, [fixture(1, "2025-04-01", 1, 2), fixture(2, "2025-04-08", 2, 1)], now), root, "fixtures")
-    pipeline.land(raw(spark, [card(1, 10, 5), card(1, 10, 6), card(1, 10, 5)], now), root, "events")
-    first = pipeline.load_all(spark, root, "r1")
+    lifecycle.land(raw(spark, [fixture(1, "2025-04-01", 1, 2), fixture(2, "2025-04-08", 2, 1)], now), root, "fixtures")
+    lifecycle.land(raw(spark, [card(1, 10, 5), card(1, 10, 6), card(1, 10, 5)], now), root, "events")
+    first = lifecycle.load_all(spark, root, "r1")
     assert first["fixtures"] == {"rows_affected": 2, "status": "success"}
     assert first["match_events"]["rows_affected"] == 2
 
     later = now + dt.timedelta(seconds=5)
-    pipeline.land(raw(spark, [fixture(1, "2025-04-01", 1, 2, (2, 0)), fixture(2, "2025-04-20", 2, 1)], later), root, "fixtures")
+    lifecycle.land(raw(spark, [fixture(1, "2025-04-01", 1, 2, (2, 0)), fixture(2, "2025-04-20", 2, 1)], later), root, "fixtures")
     for run in ("r2", "r3"):
-        pipeline.load_all(spark, root, run)
+        lifecycle.load_all(spark, root, run)
         rows = {r.fixture_id: (r.match_date, r.result) for r in spark.read.parquet(f"{root}/silver/fixtures").collect()}
         assert rows == {1: (dt.date(2025, 4, 1), "H"), 2: (dt.date(2025, 4, 20), None)}
     events = spark.read.parquet(f"{root}/silver/match_events").collect()
     assert {r.match_date for r in events} == {dt.date(2025, 4, 1)} and len(events) == 2
 
     for _ in range(2):
-        pipeline.build_marts(spark, root, "r3")
+        lifecycle.build_marts(spark, root, "r3")
     summary = spark.read.parquet(f"{root}/gold/league_summary").collect()
     assert [(r.total_matches, r.matches_played, r.home_win_pct) for r in summary] == [(2, 1, 100.0)]
     form = {r.team_id: (r.form_string, r.elo_rating) for r in spark.read.parquet(f"{root}/gold/team_form").collect()}
@@ -60,5 +60,16 @@ def test_two_increments(spark):
 
     audit = spark.read.parquet(f"{root}/audit")
     assert audit.filter("status = 'success'").count() == 6
-    future = pipeline.load_table(spark, root, "fixtures", "r4", since=dt.date(2999, 1, 1))
+    future = lifecycle.load_table(spark, root, "fixtures", "r4", since=dt.date(2999, 1, 1))
     assert future == {"rows_affected": 0, "status": "no_data"}
+
+    before = {n: spark.read.parquet(f"{root}/{n}") for n in ("silver/fixtures", "gold/team_form", "gold/head_to_head")}
+    status = {r.table_name: r.status for r in lifecycle.layout_all(spark, root, f"{root}/laid", 2).collect()}
+    assert {status[n.split("/")[1]] for n in before} == {"success"} and status["injuries"] == "skipped"
+    for name, df in before.items():
+        out = spark.read.parquet(f"{root}/laid/{name.split('/')[1]}").select(*df.columns)
+        assert out.exceptAll(df).isEmpty() and out.count() == df.count()
+
+    assert lifecycle.expire_raw(spark, root, now.date()) == {"fixtures": 0, "events": 0}
+    gone = lifecycle.expire_raw(spark, root, now.date() + dt.timedelta(days=40))
+    assert gone["events"] == 1 and gone["fixtures"] >= 1

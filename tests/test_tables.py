@@ -161,6 +161,12 @@ def test_layout_narrows_file_ranges(spark):
         tables.zorder_key(out, ["a"] * 5)
 
 
+def test_layout_of_text_and_dates(spark):
+    df = spark.createDataFrame([(f"v{i % 3}", D[i % 5], None if i % 7 == 0 else i) for i in range(50)], "v STRING, d DATE, n INT")
+    keyed = tables.zorder_key(df, ["v", "d", "n"], bits=3)
+    assert keyed.filter("_z is null").isEmpty() and keyed.select("_z").distinct().count() > 5
+
+
 def test_analyze(spark):
     name = f"t_{uuid.uuid4().hex[:8]}"
     spark.range(10).createOrReplaceTempView(f"{name}_v")

@@ -3,8 +3,9 @@
 A rating depends on both teams' previous ratings in a non-linear way, so a pool is a chain that no
 window or aggregate can express. Pools run in parallel; inside a pool the sorted rows stream through
 Arrow batches and only the ratings of the pool's teams are held in memory. ``init`` resumes from
-stored ratings, so a daily run folds only the new matches. A pool too long for one task goes through
-:func:`elo_by_matchday`, which is a join per match day.
+stored ratings, so a daily run folds only the new matches; :func:`elo_by_period` rebuilds a long history
+period by period in the same way. A pool too wide for one task goes through :func:`elo_by_matchday`,
+which is a distributed join per match day.
 """
 
 from __future__ import annotations
@@ -143,6 +144,35 @@ def current_ratings(rated: DataFrame) -> DataFrame:
     )
 
 
+def elo_by_period(
+    fixtures: DataFrame,
+    pool: str = "league_id",
+    rule: EloRule = EloRule(),
+    k: str | None = None,
+    period: str = "year",
+    path: str | None = None,
+) -> str:
+    """The same ratings folded one calendar period at a time; returns the path of the rated matches.
+
+    Each period's matches and the ratings after it are written tables, so a lost executor costs one
+    period and a task never folds more than that. Only the distinct periods reach the driver.
+    """
+    spark = fixtures.sparkSession
+    path = path or scratch_path(spark, "elo")
+    started = F.trunc("match_date", period)
+    played = fixtures.filter(F.col("result").isNotNull())
+    periods = [row.p for row in played.select(started.alias("p")).distinct().orderBy("p").toLocalIterator()]
+    state = None
+    for first_day in periods:
+        rated = elo_ratings(played.filter(started == F.lit(first_day)), pool, rule, k, state)
+        rated.write.mode("append").parquet(f"{path}/matches/period={first_day}")
+        fresh = current_ratings(spark.read.schema(RATINGS).parquet(f"{path}/matches/period={first_day}"))
+        merged = fresh if state is None else state.join(fresh, ["pool", "team_id"], "left_anti").unionByName(fresh)
+        merged.write.mode("overwrite").parquet(f"{path}/state/{first_day}")
+        state = spark.read.schema(STATE).parquet(f"{path}/state/{first_day}")
+    return f"{path}/matches"
+
+
 def elo_by_matchday(
     fixtures: DataFrame,
     pool: str = "league_id",

@@ -11,9 +11,17 @@ from touchline.operators.aggregates import head_to_head, league_summary
 from touchline.operators.elo import elo_ratings
 from touchline.operators.flatten import stamp
 from touchline.plans import marts, silver
-from touchline.schemas import RAW, TABLES
+from touchline.schemas import FEEDS, RAW, TABLES
 from touchline.sources.landing import high_water_mark, scan_since
-from touchline.sources.tables import append_table, overwrite_partitions, run_step, table_exists, upsert_table
+from touchline.sources.tables import (
+    append_table,
+    expire_partitions,
+    layout_job,
+    overwrite_partitions,
+    run_step,
+    table_exists,
+    upsert_table,
+)
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -81,3 +89,20 @@ def build_marts(spark: SparkSession, root: str, run_id: str) -> None:
     columns = ["fixture_id", "team_id", "league_id", "season", "reference_date", *marts.FORM, "form_string", "elo_rating"]
     overwrite_partitions(stamp(form.select(*columns), run_id), f"{root}/gold/team_form", ["season"])
     upsert_table(stamp(head_to_head(fixtures), run_id), f"{root}/gold/head_to_head", TABLES["head_to_head"].keys)
+
+
+def layout_all(spark: SparkSession, root: str, out_root: str, target_files: int = 8) -> DataFrame:
+    """Cluster every registered table that exists; the list comes from the table specs."""
+    listed = {
+        name: (f"{root}/{spec.layer}/{name}", spec.cluster_by, spec.partition_by) for name, spec in TABLES.items()
+    }
+    return layout_job(spark, listed, out_root, target_files)
+
+
+def expire_raw(spark: SparkSession, root: str, today: dt.date, days: int = 30) -> dict[str, int]:
+    """Drop raw partitions older than ``days`` per landed feed; returns how many went."""
+    return {
+        feed: expire_partitions(spark, f"{root}/bronze/{feed}", "_ingestion_date", days, today)
+        for feed in FEEDS
+        if table_exists(spark, f"{root}/bronze/{feed}")
+    }

@@ -124,22 +124,32 @@ e AS (
       FROM e JOIN n ON n.pool=e.pool AND n.i=e.i+1)))"""
 
 
-@query(
-    "elo_ratings",
-    with_(
-        FX,
-        _ELO,
-        body="""SELECT fixture_id, round(hb,4) AS home_before, round(ab,4) AS away_before, round(hb+g,4) AS home_after,
+_RATED = with_(
+    FX,
+    _ELO,
+    body="""SELECT fixture_id, round(hb,4) AS home_before, round(ab,4) AS away_before, round(hb+g,4) AS home_after,
   round(ab-g,4) AS away_after FROM e WHERE i>0""",
-    ),
 )
-def elo_ratings(spark, sf):
-    rated = elo.elo_ratings(testbed.fixtures(spark, sf))
-    return rated.select(
+
+
+def _rated(rows):
+    return rows.select(
         "fixture_id", *[F.round(n, 4).alias(n) for n in ("home_before", "away_before", "home_after", "away_after")]
     )
 
 
+@query("elo_ratings", _RATED)
+def elo_ratings(spark, sf):
+    return _rated(elo.elo_ratings(testbed.fixtures(spark, sf)))
+
+
+@query("elo_by_period", _RATED)
+def elo_by_period(spark, sf):
+    """Year by year over stored states: the same values."""
+    fixtures = stored(testbed.fixtures(spark, sf), "fixtures")
+    return _rated(spark.read.parquet(elo.elo_by_period(fixtures)))
+
+
 _CURRENT = """
 cr AS (
   SELECT pool*100+x AS team_id, round(r[x+1],4) AS rating FROM (

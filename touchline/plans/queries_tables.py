@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from touchline.operators.ordered import dedup_latest
-from touchline.plans import pipeline, silver, testbed
+from touchline.plans import lifecycle, silver, testbed
 from touchline.plans.catalog import query
 from touchline.plans.sqltext import FX, PREDS, QUOTES, TEAMS, with_
 from touchline.schemas import FEEDS
@@ -324,7 +324,7 @@ _RAW = {
 
 
 @query(
-    "pipeline_tables",
+    "load_and_build_tables",
     with_(
         TEAMS,
         QUOTES,
@@ -341,19 +341,19 @@ UNION ALL SELECT 'team_form', count(*) FROM pr
 UNION ALL SELECT 'head_to_head', 2*count(*) FROM (SELECT DISTINCT league_id, least(home_team_id,away_team_id), greatest(home_team_id,away_team_id) FROM fx WHERE result IS NOT NULL)""",
     ),
 )
-def pipeline_tables(spark, sf):
+def load_and_build_tables(spark, sf):
     """Raw feeds landed, every typed table loaded, one of them again, marts built; rows per table.
 
     Unpartitioned here: the test data has a handful of rows for each of 2,400 days.
     """
-    root = scratch_path(spark, "pipeline")
+    root = scratch_path(spark, "lifecycle")
     for feed, make in _RAW.items():
         tables.append_table(make(spark, sf), f"{root}/bronze/{feed}")
-    pipeline.load_all(spark, root, "r1", partitioned=False)
-    pipeline.load_table(spark, root, "match_events", "r2", dt.date(1990, 1, 1), partitioned=False)
-    pipeline.build_marts(spark, root, "r2")
+    lifecycle.load_all(spark, root, "r1", partitioned=False)
+    lifecycle.load_table(spark, root, "match_events", "r2", dt.date(1990, 1, 1), partitioned=False)
+    lifecycle.build_marts(spark, root, "r2")
     out = None
-    for layer, name in [*[("silver", n) for n in pipeline.LOADS], *[("gold", n) for n in ("league_summary", "team_form", "head_to_head")]]:
+    for layer, name in [*[("silver", n) for n in lifecycle.LOADS], *[("gold", n) for n in ("league_summary", "team_form", "head_to_head")]]:
         counts = spark.read.parquet(f"{root}/{layer}/{name}").agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")
         )

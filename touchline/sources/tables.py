@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.session import stored
 
@@ -143,6 +144,18 @@ def publish(df: DataFrame, root: str, name: str, keys: Sequence[str], partition_
     upsert_table(df, f"{root}/{name}", keys, partition_by)
 
 
+def _as_number(df: DataFrame, name: str) -> Column:
+    """Order-preserving number of a column; text is hashed, which only brings equal values together."""
+    kind, col = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return F.unix_micros(col.cast("timestamp")).cast("double")
+    if isinstance(kind, T.NumericType):
+        return col.cast("double")
+    return F.xxhash64(col).cast("double")
+
+
 def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 10, name: str = "_z") -> DataFrame:
     """Add a key that interleaves the bits of each column's quantile bucket (at most four columns).
 
@@ -153,7 +166,7 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 10, name: str = "
         raise ValueError("between one and four clustering columns")
     numeric = [f"_n_{c}" for c in cols]
     ranks = [f"_r_{c}" for c in cols]
-    ready = df.withColumns({n: F.col(c).cast("double") for n, c in zip(numeric, cols, strict=True)})
+    ready = df.withColumns({n: F.coalesce(_as_number(df, c), F.lit(float("nan"))) for n, c in zip(numeric, cols, strict=True)})
     discretizer = QuantileDiscretizer(
         numBuckets=(1 << bits) - 1,
         inputCols=numeric,
@@ -171,29 +184,44 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 10, name: str = "
 
 
 def compact_table(
-    spark: SparkSession, path: str, out: str, zorder_cols: Sequence[str], target_files: int, bits: int = 10
+    spark: SparkSession,
+    path: str,
+    out: str,
+    zorder_cols: Sequence[str],
+    target_files: int,
+    bits: int = 10,
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Rewrite a table clustered by the interleaved key into ``target_files`` range-partitioned files.
+    """Rewrite a table clustered by the interleaved key into about ``target_files`` range-partitioned files.
 
-    A row hash is the second range column, so rows that share one key can fill several files.
+    A row hash is the last range column, so rows that share one key can fill several files. A partitioned
+    table keeps its partition columns.
     """
     rows = spark.read.parquet(path)
     keyed = zorder_key(rows, zorder_cols, bits).withColumn("_h", F.xxhash64(*rows.columns))
-    clustered = keyed.repartitionByRange(target_files, "_z", "_h").sortWithinPartitions("_z")
-    clustered.drop("_z", "_h").write.mode("overwrite").parquet(out)
+    clustered = keyed.repartitionByRange(target_files, *partition_by, "_z", "_h").sortWithinPartitions(*partition_by, "_z")
+    writer = clustered.drop("_z", "_h").write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(out)
 
 
 def layout_job(
-    spark: SparkSession, tables: dict[str, tuple[str, Sequence[str]]], out_root: str, target_files: int = 8
+    spark: SparkSession,
+    tables: dict[str, tuple],
+    out_root: str,
+    target_files: int = 8,
 ) -> DataFrame:
-    """Compact each listed table; missing ones are skipped. Returns ``table_name, status, message``."""
+    """Compact each listed table (``name -> (path, clustering columns[, partition columns])``).
+
+    Missing tables are skipped. Returns ``table_name, status, message``.
+    """
     report = []
-    for name, (path, cols) in tables.items():
+    for name, (path, cols, *partition_by) in tables.items():
         if not table_exists(spark, path):
             report.append((name, "skipped", "missing"))
             continue
         try:
-            compact_table(spark, path, f"{out_root}/{name}", cols, target_files)
+            partitions = partition_by[0] if partition_by else ()
+            compact_table(spark, path, f"{out_root}/{name}", cols, target_files, partition_by=partitions)
             report.append((name, "success", ""))
         except Exception as error:  # noqa: BLE001  one failing table must not stop the list
             report.append((name, "failed", str(error).splitlines()[0]))
