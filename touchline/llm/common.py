@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from touchline.session import scratch_path
 
@@ -18,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer file; operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows written once under the shared folder and read back, so that later jobs do not run the plan again and a
     lost executor costs only its own tasks."""
@@ -37,14 +43,3 @@ def text_or_empty(name: str = "text") -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value`` with ``value`` computed once per row (a name for an intermediate array)."""
     return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def ship(module) -> None:
-    """Pickle the functions of a module by value, so that Python workers need no copy of the package."""
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(module)
-
-
-def empty_like(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schema)

@@ -6,16 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact_dedup, quality_rules, sharding
-from touchline.llm.common import table
+from touchline.llm import exact_dedup, piece_sampling, quality_rules, sharding, token_counts, token_files
+from touchline.llm.common import table, tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_report(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.sample_pieces(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -24,7 +36,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_sharding, op8_quality_rules, op9_exact_dedup)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op2_token_files, op3_sharding, op4_token_counts, op7_piece_sampling, op8_quality_rules, op9_exact_dedup)
+}
 
 ORACLES: dict[str, str] = {
     "op9_exact_dedup": """
