@@ -1 +1,8 @@
-"""touchline: match-data analytics written directly on the Spark DataFrame API."""
+"""Match-data engine on the PySpark DataFrame API."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
