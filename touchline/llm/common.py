@@ -43,3 +43,10 @@ def text_or_empty(name: str = "text") -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value`` with ``value`` computed once per row (a name for an intermediate array)."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def byte_characters() -> dict[int, str]:
+    """The printable stand-in of each byte in byte-level vocabularies: printable Latin-1 stays, the rest moves up."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    moved = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(moved)}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact_dedup, piece_sampling, quality_rules, sharding, token_counts, token_files
+from touchline.llm import exact_dedup, mixing, ngram_join, piece_sampling, quality_rules, sharding, token_counts, token_files
 from touchline.llm.common import table, tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.sample_pieces(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -36,9 +40,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_token_files, op3_sharding, op4_token_counts, op7_piece_sampling, op8_quality_rules, op9_exact_dedup)
+    for f in (op2_token_files, op3_sharding, op4_token_counts, op6_ngram_join, op7_piece_sampling, op8_quality_rules, op9_exact_dedup, op10_mixing)
 }
 
 ORACLES: dict[str, str] = {
