@@ -1,4 +1,7 @@
-"""Corpus pipeline: documents through the quality, deduplication, mixing and encoding operators, stage by stage."""
+"""Corpus pipeline: documents through the quality, deduplication, mixing and encoding operators, stage by stage.
+
+Each stage works on all rows that its predecessor kept and returns the columns of documents; the last returns ids.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact_dedup, quality_rules
-from touchline.llm.common import staged, table
+from touchline.llm import exact_dedup, mixing, ngram_join, piece_sampling, quality_rules
+from touchline.llm.common import staged, table, tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,9 +25,30 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.distinct_documents(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality), ("exact dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar documents stays."""
+    return ngram_join.one_of_each_group(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeat or go so that the domains' tokens meet their target weights."""
+    return mixing.mix(docs, table(spark, sf_dir, "labels"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every document."""
+    return piece_sampling.sample_pieces(docs, tokenizer("piece_bpe_32k.model"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
+    ("exact dedup", exact),
+    ("n-gram join", near),
+    ("mixing", mixture),
+    ("piece sampling", encode),
+]
 
-#: The stages learn, sample and sort by similarity; SQL cannot express them.
+#: The stages learn, sample and join by similarity; SQL cannot express them.
 ORACLE_SQL: str | None = None
 
 

@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact_dedup, mixing, ngram_join, piece_sampling, quality_rules, sharding, token_counts, token_files
+from touchline.llm import (
+    exact_dedup,
+    line_dedup,
+    mixing,
+    ngram_join,
+    piece_sampling,
+    pii,
+    quality_rules,
+    sharding,
+    token_counts,
+    token_files,
+)
 from touchline.llm.common import table, tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_report(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -24,6 +39,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans_report(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents"))
 
@@ -46,10 +65,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_token_files, op3_sharding, op4_token_counts, op6_ngram_join, op7_piece_sampling, op8_quality_rules, op9_exact_dedup, op10_mixing)
-}
+    for f in (
+        op1_line_dedup, op2_token_files, op3_sharding, op4_token_counts, op5_pii, op6_ngram_join, op7_piece_sampling,
+        op8_quality_rules, op9_exact_dedup, op10_mixing,
+    )
+}
 
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS s, generate_subscripts(ls, 1) AS ln FROM d),
+f AS (SELECT doc_id, s, ln, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS i FROM l WHERE regexp_matches(s, '\\S')),
+w AS (SELECT doc_id, i, s, lead(s) OVER (PARTITION BY doc_id ORDER BY i) AS t FROM f),
+o AS (SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY s, t) AS o FROM w WHERE t IS NOT NULL),
+c AS (SELECT doc_id, i, o FROM o WHERE (doc_id, i) > o UNION ALL SELECT doc_id, i + 1, o FROM o WHERE (doc_id, i) > o),
+r AS (SELECT DISTINCT doc_id, i FROM c WHERE NOT (o[1] = doc_id AND i < o[2] + 2)),
+n AS (SELECT doc_id, count(*) AS n_removed, sum(CAST(p IS DISTINCT FROM i - 1 AS BIGINT)) AS n_runs
+  FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM r) GROUP BY doc_id),
+k AS (SELECT l.doc_id, string_agg(l.s, chr(10) ORDER BY l.ln) AS text FROM l LEFT JOIN f USING (doc_id, ln)
+  LEFT JOIN r ON r.doc_id = f.doc_id AND r.i = f.i WHERE r.i IS NULL GROUP BY l.doc_id)
+SELECT d.doc_id, (SELECT count(*) FROM f WHERE f.doc_id = d.doc_id) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+  CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)""",
     "op9_exact_dedup": """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
