@@ -14,7 +14,8 @@ table is small and becomes part of the plan. Posteriors, totals and rates cover
 Rates become whole copies by seeded hash: the integer part, and one more with the probability of the rest.
 
 Defined cases: a null or empty text has no tokens and the prior as posterior, its rate moves like others; without usable
-labels every posterior is uniform; a domain without any expected tokens cannot be met and is left out of the fit; null
+labels every posterior is uniform; a domain without any expected tokens is left out of the fit, one
+with too few misses its target and leaves the others theirs; null
 labels are ignored, of several labels for one id toxic wins over low over clean; null and repeated ids are documents like
 others, equal rows get equal rates; an empty table gives no rows; extra columns pass through ``mix``.
 """
@@ -168,7 +169,9 @@ def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None,
         return RateFit([], [])
     want = [w * (total or sums["t"]) for w in weights]
     gram = [[sums[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in k] for i in k]
-    scale = [1.0 / gram[i][i] if gram[i][i] > 1e-9 * sums["t"] else 0.0 for i in k]
+    # A domain weighs by its target, or by what moving it takes where that is more: the problem is well scaled, and one that
+    # no document clearly belongs to cannot pull all rates towards a target out of reach.
+    scale = [1.0 / max(gram[i][i], want[i]) if gram[i][i] > 0 and max(gram[i][i], want[i]) > 0 else 0.0 for i in k]
     largest = _largest_eigenvalue([[math.sqrt(scale[i] * scale[j]) * gram[i][j] for j in k] for i in k]) or 1.0
     fit = RateFit([], [])
     for _ in range(most_steps):
@@ -179,7 +182,7 @@ def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None,
         miss = [(got[f"s{i}"] - want[i]) if scale[i] else 0.0 for i in k]
         worst = max(abs(x) for x in miss) / sum(want)
         fit = RateFit(fit.steps, [*fit.residuals, worst])
-        if worst < tolerance:
+        if worst < tolerance or (len(fit.residuals) > 1 and abs(fit.residuals[-2] - worst) < 0.1 * tolerance):
             break
         fit = RateFit([*fit.steps, tuple(scale[i] * miss[i] / largest for i in k)], fit.residuals)
     return fit
