@@ -12,7 +12,7 @@ import struct
 import numpy as np
 
 SAMPLE = 256
-_HEAD = struct.Struct("<QBQQ")  # values, low bits, bytes of the low part, bytes of the high part
+_HEAD = "<QBQQ"  # values, low bits, bytes of the low part, bytes of the high part
 
 
 class EliasFano:
@@ -61,14 +61,14 @@ class EliasFano:
         return high | low
 
     def to_bytes(self) -> bytes:
-        head = _HEAD.pack(self.n, self.low_bits, len(self.low), len(self.high))
+        head = struct.pack(_HEAD, self.n, self.low_bits, len(self.low), len(self.high))
         return head + self.low.tobytes() + self.high.tobytes() + self.samples.tobytes()
 
     @classmethod
     def from_bytes(cls, data: bytes, at: int = 0) -> tuple[EliasFano, int]:
         """The sequence that starts at byte ``at``, and the byte after it."""
-        n, low_bits, n_low, n_high = _HEAD.unpack_from(data, at)
-        at += _HEAD.size
+        n, low_bits, n_low, n_high = struct.unpack_from(_HEAD, data, at)
+        at += struct.calcsize(_HEAD)
         low = np.frombuffer(data, np.uint8, n_low, at)
         high = np.frombuffer(data, np.uint8, n_high, at + n_low)
         at += n_low + n_high

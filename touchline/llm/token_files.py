@@ -7,8 +7,8 @@ a lost executor replaces its files by equal ones. ``read_files`` reads them thro
 come from a running sum over one manifest row per file.
 
 Encoding equals the library's on the whole text: the tokenizer's pattern drops white space and no token crosses it, so
-a text is the concatenation of its chunks between spaces and line ends, and each distinct chunk is encoded by the
-library once per worker (a bounded memo).
+a text is the concatenation of its chunks between spaces and line ends, and the parts of a chunk that its pattern tells
+apart are encoded by the library once per task (bounded memos).
 
 Defined cases: a null text counts as empty and has the end id only; a null ``doc_id`` sorts first; repeated rows are
 separate documents, ordered by text; an empty table writes no file and gives no rows; extra columns are ignored.
@@ -17,6 +17,7 @@ separate documents, ordered by text; an empty table writes no file and gives no
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -27,18 +28,29 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import staged, text_or_empty
+from touchline.llm.common import byte_characters, staged, text_or_empty
 from touchline.llm.elias_fano import EliasFano
 from touchline.session import scratch_path
 
 MAGIC = b"TLTOKEN1"
-_HEAD = struct.Struct("<8sqqqqB")  # magic, documents, documents without id, ids, first document id, bytes per id
+_HEAD = "<8sqqqqB"  # magic, documents, documents without id, ids, first document id, bytes per id
 MANIFEST = "file string, part int, seq int, n_docs long, n_ids long"
 MEMO_ENTRIES, MEMO_CHARS = 400_000, 48
 
 
+#: Printable ASCII and the letters of Latin-1: unchanged by NFC, with one lower case. White space, other scripts, signs
+#: and special strings take the library's full path.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: The tokenizer's own pattern over those characters in lower case.
+PRE_TOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
 class ChunkEncoder:
-    """Ids of whole texts as little-endian 16-bit bytes, by a memo of chunks over the library's encoder."""
+    """Ids of whole texts as little-endian 16-bit bytes: a memo of chunks over the library's encoder.
+
+    A new chunk of plain characters is cut by the tokenizer's pattern and only pre-tokens not met before go to the
+    library's model; any other new chunk goes through the library whole.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -47,17 +59,38 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("this encoder stores 16-bit ids")
-        self.memo: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.stand_in = byte_characters()
+        self.chunks: dict[str, bytes] = {"": b""}
+        self.pre_tokens: dict[str, bytes] = {}
+
+    def _plain(self, chunk: str) -> bytes:
+        known, out = self.pre_tokens, []
+        for piece in PRE_TOKEN.findall(chunk.lower()):
+            found = known.get(piece)
+            if found is None:
+                name = piece if piece.isascii() else "".join([self.stand_in[b] for b in piece.encode()])
+                ids = [t.id for t in self.model.tokenize(name)]
+                found = known[piece] = struct.pack(f"<{len(ids)}H", *ids)
+            out.append(found)
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         chunked = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo = {"": b""}
-        memo = self.memo
-        missing = list(set().union(*chunked).difference(memo))
-        found = [struct.pack(f"<{len(e.ids)}H", *e.ids) for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)]
-        new = dict(zip(missing, found, strict=True))
-        memo.update(new)
+        if len(self.chunks) > MEMO_ENTRIES:
+            self.chunks = {"": b""}
+        if len(self.pre_tokens) > MEMO_ENTRIES:
+            self.pre_tokens = {}
+        memo, odd = self.chunks, []
+        missing = set().union(*chunked).difference(memo)
+        for chunk in missing:
+            if PLAIN.fullmatch(chunk) and not ("<" in chunk and any(s in chunk for s in self.special)):
+                memo[chunk] = self._plain(chunk)
+            else:
+                odd.append(chunk)
+        for chunk, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
+            memo[chunk] = struct.pack(f"<{len(e.ids)}H", *e.ids)
         out = [b"".join(map(memo.__getitem__, chunks)) for chunks in chunked]
         for chunk in missing:
             if len(chunk) > MEMO_CHARS:
@@ -70,7 +103,7 @@ def pack_file(doc_ids: list[int | None], parts: list[bytes]) -> bytes:
     known = np.array([d for d in doc_ids if d is not None], dtype=np.int64)
     first = int(known[0]) if len(known) else 0
     ends = np.cumsum([0, *[len(p) // 2 for p in parts]])
-    head = _HEAD.pack(MAGIC, len(doc_ids), len(doc_ids) - len(known), int(ends[-1]), first, 2)
+    head = struct.pack(_HEAD, MAGIC, len(doc_ids), len(doc_ids) - len(known), int(ends[-1]), first, 2)
     shifted = (known.astype(np.uint64) - np.uint64(first & 0xFFFFFFFFFFFFFFFF)) if len(known) else known
     return b"".join([head, EliasFano.of(ends).to_bytes(), EliasFano.of(shifted).to_bytes(), *parts])
 
@@ -79,10 +112,10 @@ class TokenFile:
     """A file's documents: boundaries and ids by position, without unpacking the rest."""
 
     def __init__(self, data: bytes):
-        magic, self.n_docs, self.n_null, self.n_ids, self.first, width = _HEAD.unpack_from(data)
+        magic, self.n_docs, self.n_null, self.n_ids, self.first, width = struct.unpack_from(_HEAD, data)
         if magic != MAGIC:
             raise ValueError("not a token file")
-        self.bounds, at = EliasFano.from_bytes(data, _HEAD.size)
+        self.bounds, at = EliasFano.from_bytes(data, struct.calcsize(_HEAD))
         self.keys, at = EliasFano.from_bytes(data, at)
         self.ids = np.frombuffer(data, "<u2" if width == 2 else "<u4", self.n_ids, at)
 
