@@ -115,13 +115,12 @@ def fit_domains(
         n = size.get(i, 0)
         surprise = (F.col(f"n{i}") - n * overall) / F.sqrt(n * overall + 0.5)
         share = (F.col(f"n{i}") + 10.0 * overall) / (n + 10.0)  # shrunk towards all documents
-        # Kept are terms that mark a domain: more than chance explains, and by a clear factor. Common words lack here and
-        # there for other reasons (another language), and their absences would add up.
+        # Chosen are terms that mark some domain: more than chance explains, and by a clear factor. Common words lack here
+        # and there for other reasons (another language), and their absences would add up.
         real = (surprise > least_surprise) & (share > least_lift * overall)
-        absent = F.when(real, F.log((1.0 - share) / (1.0 - overall))).otherwise(0.0)
-        weights.append(F.when(real, F.log(share / overall)).otherwise(0.0) - absent)
-        absences.append(absent)
         telling = telling + F.when(real, surprise * surprise).otherwise(0.0)
+        absences.append(F.log((1.0 - share) / (1.0 - overall)))
+        weights.append(F.log(share / overall) - absences[-1])
     chosen = counted.where(" + ".join(f"n{i}" for i in k) + f" >= {least_documents}").select(
         "term", telling.alias("telling"), *[w.alias(f"w{i}") for i, w in enumerate(weights)], *[x.alias(f"a{i}") for i, x in enumerate(absences)]
     ).where("telling > 0").orderBy(F.desc("telling"), "term").limit(n_terms).collect()
