@@ -126,7 +126,8 @@ def _gram_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     same = F.col("doc_id").eqNullSafe(F.col("rep_id"))
-    chosen = texts.join(wanted.select("rep_id", F.col("set_key").alias("want")), same).select("text", "want")
+    # One plan at every size: the texts are shuffled once, whether few or many documents are candidates.
+    chosen = texts.join(wanted.select("rep_id", F.col("set_key").alias("want")).hint("merge"), same).select("text", "want")
     return chosen.mapInArrow(run, "set_key binary, grams array<long>")
 
 
@@ -314,6 +315,7 @@ def one_of_each_group(docs: DataFrame, n: int = 5, threshold: float = 0.8, recal
     )
     ids = staged(ids.where("NOT __rep OR __n > 1"), "removed")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-    once = docs.join(ids, same, "left_anti")
-    repeated = docs.join(ids.where("__rep"), same, "left_semi").dropDuplicates(docs.columns)
-    return once.unionByName(repeated)
+    marked = docs.join(ids.hint("merge"), same, "left")
+    once = marked.where("__rep IS NULL")
+    repeated = marked.where("__rep").dropDuplicates(docs.columns)
+    return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
