@@ -100,7 +100,8 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     """The rows of ``docs`` with the shortened ``text`` and ``removed_lines``, the deleted ordinals (null where none)."""
     removed = staged(repeated_lines(docs, min_lines), "removed-lines")
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__text"))
-    joined = docs.join(removed, same, "left")
+    # One plan at every size: the texts are shuffled once, whether few or many documents lose lines.
+    joined = docs.join(removed.hint("merge"), same, "left")
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(_rest(F.col("text"), F.col("removed")))
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     return joined.select(*others, text.alias("text"), F.col("removed").alias("removed_lines"))
