@@ -60,7 +60,7 @@ def main(names: list[str]) -> int:
 
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = build_session(
-        "oracles", spark__master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        "oracles", spark__master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -132,7 +132,7 @@ def test_date_window():
 
 
 def test_batches_are_full(spark):
-    rows = landing.batch_keys(spark.range(0, 450, 10), "id", width=64).orderBy("batch_no").collect()
+    rows = landing.batch_keys(spark.range(0, 450, 10), "id", seed_rows=8).orderBy("batch_no").collect()
     assert [r.n_keys for r in rows] == [20, 20, 5] and rows[0].ids.startswith("0-10-20-")
 
 
@@ -150,21 +150,33 @@ def test_latest_coverage_of_no_seasons(spark):
 def test_layout_narrows_file_ranges(spark):
     root = scratch_path(spark, "z")
     spark.range(10000).select(F.hash("id").alias("a"), F.hash(F.col("id") + 7).alias("b")).write.parquet(f"{root}/in")
-    report = {r.table_name: r.status for r in tables.layout_job(spark, {"t": (f"{root}/in", ["a", "b"]), "no": (f"{root}/no", ["a"])}, f"{root}/out", 16).collect()}
+    listed = {"t": (f"{root}/in", ["a", "b"]), "no": (f"{root}/no", ["a"])}
+    report = {r.table_name: r.status for r in tables.layout_job(spark, listed, f"{root}/out", 8 << 10).collect()}
     assert report == {"t": "success", "no": "skipped"}
     out = spark.read.parquet(f"{root}/out/t")
     assert out.exceptAll(spark.read.parquet(f"{root}/in")).isEmpty() and out.count() == 10000
-    spans = out.groupBy(F.input_file_name()).agg((F.max("a").cast("double") - F.min("a")).alias("a"), (F.max("b").cast("double") - F.min("b")).alias("b"))
-    mean = spans.agg(F.avg("a"), F.avg("b")).first()
-    assert mean[0] < 0.6 * 2**32 and mean[1] < 0.6 * 2**32
+    spans = out.groupBy(F.input_file_name()).agg((F.max("a").cast("double") - F.min("a")).alias("a"))
+    assert spans.count() > 4 and spans.agg(F.avg("a")).first()[0] < 0.3 * 2**32
     with pytest.raises(ValueError):
-        tables.zorder_key(out, ["a"] * 5)
+        tables.compact_table(spark, f"{root}/in", f"{root}/more", ["a"] * 5)
 
 
-def test_layout_of_text_and_dates(spark):
-    df = spark.createDataFrame([(f"v{i % 3}", D[i % 5], None if i % 7 == 0 else i) for i in range(50)], "v STRING, d DATE, n INT")
-    keyed = tables.zorder_key(df, ["v", "d", "n"], bits=3)
-    assert keyed.filter("_z is null").isEmpty() and keyed.select("_z").distinct().count() > 5
+def test_upsert_text_partitions_leave_no_copies(spark):
+    path, schema = scratch_path(spark, "text"), "k INT, p STRING, q STRING"
+    tables.upsert_table(spark.createDataFrame([(1, "A/1 x", "007"), (2, "A/1 x", "007"), (3, None, "a=b%c:d")], schema), path, ["k"], ["p", "q"])
+    tables.upsert_table(spark.createDataFrame([(1, "B", "008"), (2, "é?*", "008"), (3, None, "x")], schema), path, ["k"], ["p", "q"])
+    rows = {tuple(r) for r in spark.read.schema(schema).parquet(path).select("k", "p", "q").collect()}
+    assert rows == {(1, "B", "008"), (2, "é?*", "008"), (3, None, "x")}
+
+
+def test_upsert_keeps_columns_and_newer_versions(spark):
+    path = scratch_path(spark, "wide")
+    tables.upsert_table(spark.createDataFrame([(1, "a", "x", 5), (2, "b", "y", 2)], "k INT, v STRING, extra STRING, at INT"), path, ["k"])
+    tables.upsert_table(spark.createDataFrame([(1, "A", 4), (2, "B", 2), (3, "C", 1)], "k INT, v STRING, at INT"), path, ["k"], version="at")
+    rows = {tuple(r) for r in spark.read.parquet(path).select("k", "v", "extra", "at").collect()}
+    assert rows == {(1, "a", "x", 5), (2, "B", "y", 2), (3, "C", None, 1)}
+    with pytest.raises(ValueError):
+        tables.upsert_table(spark.createDataFrame([(1, "p", 9), (1, "q", 9)], "k INT, v STRING, at INT"), path, ["k"])
 
 
 def test_analyze(spark):

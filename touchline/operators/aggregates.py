@@ -19,12 +19,11 @@ def _share(label: str) -> Column:
 def odds_consensus(odds_wide: DataFrame, outcomes: Sequence[str] = ("home", "draw", "away")) -> DataFrame:
     """avg / median / max / min per outcome, number of books and implied probabilities per fixture.
 
-    ``odds_wide`` has one row per fixture and bookmaker. Prices go through DECIMAL(6,2), the width of the served columns, so the exact median keeps at most
-    10^6 distinct values however many quotes a fixture has.
+    ``odds_wide`` has one row per fixture and bookmaker, so the exact median holds as many prices as there are books.
     """
     aggs: list[Column] = [F.count("bookmaker_id").alias("bookmakers")]
     for o in outcomes:
-        price = F.col(f"odd_{o}").cast("decimal(6,2)").cast("double")
+        price = F.col(f"odd_{o}")
         aggs += [
             F.avg(price).alias(f"odd_{o}_avg"),
             F.median(price).alias(f"odd_{o}_median"),

@@ -18,11 +18,11 @@ def resolve_predictions(predictions: DataFrame, fixtures: DataFrame) -> DataFram
     )
 
 
-def auc_by_class(resolved: DataFrame) -> DataFrame:
+def auc_by_class(resolved: DataFrame, ranges: int = 1024) -> DataFrame:
     """One-vs-rest AUC per model version and class, ties counted half.
 
-    Scores are taken at four decimals, the precision they are served with. Counts per score value come
-    first, so the ranking window sees at most 10,001 rows per class whatever the number of predictions.
+    Counts per exact score come first. Scores are then ranked inside ``ranges`` equal ranges of [0, 1], with the totals
+    of the ranges below as offsets, so no class is sorted in one task.
     """
     scored = resolved.select(
         "model_version",
@@ -31,7 +31,7 @@ def auc_by_class(resolved: DataFrame) -> DataFrame:
                 *[
                     F.struct(
                         F.lit(label).alias("label"),
-                        F.round(F.col(col), 4).alias("score"),
+                        F.col(col).alias("score"),
                         (F.col("actual_result") == label).cast("long").alias("hit"),
                     )
                     for label, col in PROBS.items()
@@ -42,10 +42,18 @@ def auc_by_class(resolved: DataFrame) -> DataFrame:
     counts = scored.groupBy("model_version", "label", "score").agg(
         F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg")
     )
-    below = (
-        Window.partitionBy("model_version", "label").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = counts.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    place = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))) * ranges)
+    counts = counts.withColumn("range", place)
+    group = ["model_version", "label"]
+
+    def before(*keys: str, order: str):
+        return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    offsets = counts.groupBy(*group, "range").agg(F.sum("neg").alias("n")).select(
+        *group, "range", F.coalesce(F.sum("n").over(before(*group, order="range")), F.lit(0)).alias("offset")
+    )
+    inside = F.coalesce(F.sum("neg").over(before(*group, "range", order="score")), F.lit(0))
+    ranked = counts.withColumn("inside", inside).join(offsets, [*group, "range"]).withColumn("neg_below", F.col("inside") + F.col("offset"))
     return ranked.groupBy("model_version", "label").agg(
         F.try_divide(
             F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)), (F.sum("pos") * F.sum("neg")).cast("double")

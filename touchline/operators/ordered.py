@@ -1,10 +1,11 @@
 """Ordered operators that keep one hot key from landing in one task.
 
-A window puts every row of a key into one task. That is right for almost all keys, so the operators
-first count rows per key (partially aggregated) and look at the largest ones. Without a hot key they
-are a plain window: one shuffle. The rows of a hot key are cut into consecutive chunks of bounded
-size, each chunk receives as seed rows exactly the earlier rows it needs, and the window runs per
-(key, chunk). A key outside the ``most_keys`` largest holds less than 1/``most_keys`` of all rows.
+A window puts every row of a key into one task. With a :class:`Skew` the rows of every hot key are cut
+into consecutive chunks of bounded size, each chunk receives as seed rows exactly the earlier rows it
+needs, and the window runs per (key, chunk). Which keys are hot is a partially aggregated table inside
+the same plan, as long as it needs to be: nothing is counted while the plan is built, nothing is
+collected, and the planner picks the joins. ``skew=None`` is the plain window, for keys that are
+bounded by nature.
 """
 
 from __future__ import annotations
@@ -17,19 +18,16 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.session import stored
-
 
 @dataclass(frozen=True)
 class Skew:
     """When a key is hot and how it is cut.
 
-    A key is hot above ``rows_per_chunk`` rows; at most ``most_keys`` of them are cut, the largest
-    first. ``fine_width`` is the range of the second (integer) order column that is never split.
+    A key is hot above ``rows_per_chunk`` rows. ``fine_width`` is the range of the second (integer) order
+    column that is never split.
     """
 
     rows_per_chunk: int = 4_000_000
-    most_keys: int = 1000
     fine_width: int = 1 << 20
 
 
@@ -45,13 +43,10 @@ def _join_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str)
     return left.join(keyed, same, how).drop(*[f"_j_{c}" for c in cols])
 
 
-def hot_keys(df: DataFrame, by: Sequence[str], skew: Skew) -> DataFrame | None:
-    """The hot keys as a broadcast table of at most ``most_keys`` rows, or None."""
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > skew.rows_per_chunk)
-    rows = sizes.orderBy(F.desc("_n")).limit(skew.most_keys).select(*by).collect()
-    if not rows:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.select(*by).schema))
+def hot_keys(df: DataFrame, by: Sequence[str], skew: Skew) -> DataFrame:
+    """The hot keys as a table."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.filter(F.col("_n") > skew.rows_per_chunk).select(*by)
 
 
 def _before(by: Sequence[str], order: str) -> WindowSpec:
@@ -69,7 +64,7 @@ def hot_days(df: DataFrame, by: Sequence[str], hot: DataFrame, day: str, skew: S
     label = F.min(day).over(Window.partitionBy(*by, "_g"))
     sized = cells.withColumn("_g", group).withColumn("_label", label)
     parts = F.when(F.col("_n") > skew.rows_per_chunk, F.ceil(F.col("_n") / skew.rows_per_chunk)).otherwise(F.lit(0))
-    return stored(sized.select(*by, day, "_label", parts.cast("bigint").alias("_parts")), "hot-days")
+    return sized.select(*by, day, "_label", parts.cast("bigint").alias("_parts"))
 
 
 def _chunk_of(day: str, sub: Column) -> Column:
@@ -85,15 +80,13 @@ def _chunk_of(day: str, sub: Column) -> Column:
     )
 
 
-def with_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], skew: Skew) -> DataFrame | None:
-    """Rows with ``_chunk``, or None when no key is hot.
+def with_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], skew: Skew) -> DataFrame:
+    """Rows with ``_chunk``, NULL for keys that are not hot.
 
     A day of one key above the bound is cut further: by second when the order column is a timestamp,
     else by ranges of the second order column when that is an integer.
     """
     hot = hot_keys(df, by, skew)
-    if hot is None:
-        return None
     rows = df.withColumn("_day", F.col(order[0]).cast("date"))
     rows = _join_safe(rows, hot_days(rows, by, hot, "_day", skew), [*by, "_day"], "left")
     kinds = [df.schema[c].dataType for c in order[:2]]
@@ -108,7 +101,7 @@ def with_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], skew: Sk
         rows.filter(F.col("_parts") > 0).groupBy(*by, "_day", "_fine").agg(F.count(F.lit(1)).alias("_n"))
     )
     part = F.floor(F.coalesce(F.sum("_n").over(_before([*by, "_day"], "_fine")), F.lit(0)) / skew.rows_per_chunk)
-    cut = stored(cells.select(*by, "_day", "_fine", part.alias("_part")), "hot-parts")
+    cut = cells.select(*by, "_day", "_fine", part.alias("_part"))
     rows = _join_safe(rows, cut, [*by, "_day", "_fine"], "left")
     return rows.withColumn("_chunk", _chunk_of("_day", F.col("_part"))).drop(
         "_day", "_label", "_parts", "_fine", "_part"
@@ -164,10 +157,10 @@ def with_lookback(
     columns those functions read. ``order`` must be total within a key and start with a date or
     timestamp. With ``descending`` the order is reversed, so looking back means looking ahead in time.
     """
-    base = None if skew is None else with_chunks(df, by, order, skew)
-    if base is None:
+    if skew is None:
         plain = Window.partitionBy(*by).orderBy(*_directed(order, descending))
         return df.withColumns({name: make(plain) for name, make in columns.items()})
+    base = with_chunks(df, by, order, skew)
     fields = [c for c in dict.fromkeys([*order, *needs]) if c not in by]
     nearest = Window.partitionBy(*by, "_chunk").orderBy(*_directed(order, not descending))
     tails = (
@@ -229,10 +222,9 @@ def asof_join(
         *by, F.col(left_ts).alias("_ts"), F.struct(*left.columns).alias("_left"), F.lit(left_side).alias("_side")
     )
     merged = rows.unionByName(events, allowMissingColumns=True)
-    hot = None if skew is None else hot_keys(merged, by, skew)
     keys = [*by]
-    if hot is not None:
-        merged, keys = _asof_chunks(merged, by, hot, ties, strict, skew), [*by, "_chunk"]
+    if skew is not None:
+        merged, keys = _asof_chunks(merged, by, hot_keys(merged, by, skew), ties, strict, skew), [*by, "_chunk"]
     spec = (
         Window.partitionBy(*keys)
         .orderBy((F.col("_side") >= 0).asc(), F.col("_ts").asc_nulls_first(), "_side", *ties)
@@ -283,11 +275,19 @@ def _asof_chunks(
     return chunked.filter(~F.col("_carry_only")).drop("_carry_only").unionByName(carried, allowMissingColumns=True)
 
 
-def global_row_number(df: DataFrame, order: Sequence[Column], bucket: Column, name: str = "row_no") -> DataFrame:
-    """Dense 1..N numbering over the whole table without a single-task sort.
+def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_no", seed_rows: int = 200_000) -> DataFrame:
+    """Dense 1..N numbering over the whole table, in ``order`` (a total order), without a single-task sort.
 
-    ``bucket`` must never decrease along ``order``. Only the per-bucket counts meet in one task.
+    Rows are dealt into ranges of about ``seed_rows`` rows by quantiles of the first column, whatever its spacing; only
+    the counts per range meet in one task, and their number follows the rows and not the width of the keys.
     """
+    total = df.count()
+    ranges = max(1, -(-total // seed_rows))
+    cuts = df.agg(F.percentile_approx(order[0], [i / ranges for i in range(1, ranges)] or [0.5], 100 * ranges)).first()[0] if ranges > 1 else []
+    bucket = F.lit(0)
+    if cuts:
+        bounds = F.array(*[F.lit(x) for x in sorted(set(cuts))])
+        bucket = F.size(F.filter(bounds, lambda b: b < F.col(order[0])))
     keyed = df.withColumn("_bucket", bucket)
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

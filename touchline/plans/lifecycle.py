@@ -1,4 +1,4 @@
-"""The table lifecycle: raw rows since the high-water mark, typed, latest per key, upserted, audited."""
+"""The table lifecycle: raw batches not loaded yet, typed, latest per key, upserted, audited."""
 
 from __future__ import annotations
 
@@ -6,13 +6,15 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from touchline.operators.aggregates import head_to_head, league_summary
 from touchline.operators.elo import elo_ratings
 from touchline.operators.flatten import stamp
 from touchline.plans import marts, silver
 from touchline.schemas import FEEDS, RAW, TABLES
-from touchline.sources.landing import high_water_mark, scan_since
+from touchline.session import stored
+from touchline.sources.landing import scan_since, split_raw
 from touchline.sources.tables import (
     append_table,
     expire_partitions,
@@ -41,33 +43,57 @@ def land(rows: DataFrame, root: str, feed: str) -> None:
     append_table(rows, f"{root}/bronze/{feed}", ["_ingestion_date"])
 
 
-def default_since(spark: SparkSession, path: str) -> dt.date | None:
-    """Day of the newest load of the target; None (read everything) for a new table."""
-    if not table_exists(spark, path):
-        return None
-    mark = high_water_mark(spark.read.parquet(path), "_loaded_at")
-    return mark and mark.date()
+BATCH = ("_ingestion_date", "_ingestion_ts", "_batch_id")
+BATCHES = "table_name STRING, _ingestion_date DATE, _ingestion_ts TIMESTAMP, _batch_id STRING"
+
+
+def pending(spark: SparkSession, root: str, name: str, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw rows of the batches that a table has not loaded, and those batches (day, landing time and batch id).
+
+    Batches are compared and not clocks, so rows that land late or for an earlier day are read. Only the days of the new
+    batches are scanned; the driver gets as many days as the raw table has directories.
+    """
+    batches = raw.select(*BATCH).distinct()
+    if table_exists(spark, f"{root}/batches"):
+        done = spark.read.schema(BATCHES).parquet(f"{root}/batches").filter(F.col("table_name") == name)
+        batches = batches.join(done.select(*BATCH), [*BATCH], "left_anti")
+    batches = stored(batches, "pending")
+    days = [r[0] for r in batches.select("_ingestion_date").distinct().toLocalIterator()]
+    rows = raw.filter(F.col("_ingestion_date").isin(days))
+    return rows.join(batches, [*BATCH], "left_semi"), batches
 
 
 def load_table(
     spark: SparkSession, root: str, name: str, run_id: str, since: dt.date | None = None, partitioned: bool = True
 ) -> dict:
-    """One load of a typed table; returns its rows and status, and appends an audit row."""
+    """One load of a typed table; returns its rows and status, and appends an audit row.
+
+    Reads the batches not loaded before, or every raw row from ``since`` on. Rows that cannot be used go to
+    ``rejects/<feed>`` with a reason. The batches are noted after the write, so a failed load reads them again.
+    """
     feed, transform = LOADS[name]
     spec, path = TABLES[name], f"{root}/silver/{name}"
-    since = since or default_since(spark, path)
-    raw = scan_since(spark.read.schema(RAW).parquet(f"{root}/bronze/{feed}"), since)
+    raw, batches = spark.read.schema(RAW).parquet(f"{root}/bronze/{feed}"), None
+    if since is None:
+        raw, batches = pending(spark, root, name, raw)
+    else:
+        raw = scan_since(raw, since)
 
     def typed(rows: DataFrame) -> DataFrame:
-        out = transform(rows)
+        good, bad = split_raw(rows, feed)
+        append_table(bad.withColumn("_run_id", F.lit(run_id)), f"{root}/rejects/{feed}")
+        out = transform(good)
         if spec.partition_by and "match_date" not in out.columns:
             out = silver.with_match_date(out, spark.read.parquet(f"{root}/silver/fixtures"))
         return stamp(out, run_id)
 
     def write(rows: DataFrame) -> None:
-        upsert_table(rows, path, spec.keys, spec.partition_by if partitioned else ())
+        upsert_table(rows, path, spec.keys, spec.partition_by if partitioned else (), version="_ingestion_ts")
 
-    return run_step(spark, f"load_{name}", run_id, raw, typed, write, f"{root}/audit")
+    done = run_step(spark, f"load_{name}", run_id, raw, typed, write, f"{root}/audit")
+    if batches is not None:
+        batches.select(F.lit(name).alias("table_name"), *BATCH).write.mode("append").parquet(f"{root}/batches")
+    return done
 
 
 def load_all(
@@ -91,12 +117,12 @@ def build_marts(spark: SparkSession, root: str, run_id: str) -> None:
     upsert_table(stamp(head_to_head(fixtures), run_id), f"{root}/gold/head_to_head", TABLES["head_to_head"].keys)
 
 
-def layout_all(spark: SparkSession, root: str, out_root: str, target_files: int = 8) -> DataFrame:
+def layout_all(spark: SparkSession, root: str, out_root: str, file_bytes: int = 512 << 20) -> DataFrame:
     """Cluster every registered table that exists; the list comes from the table specs."""
     listed = {
         name: (f"{root}/{spec.layer}/{name}", spec.cluster_by, spec.partition_by) for name, spec in TABLES.items()
     }
-    return layout_job(spark, listed, out_root, target_files)
+    return layout_job(spark, listed, out_root, file_bytes)
 
 
 def expire_raw(spark: SparkSession, root: str, today: dt.date, days: int = 30) -> dict[str, int]:

@@ -194,6 +194,21 @@ def odds_consensus(spark, sf):
     return _rounded(rows, *names).select("fixture_id", "bookmakers", "odd_home_max", "odd_home_min", *names)
 
 
+@query(
+    "odds_consensus_any_price",
+    with_(
+        QUOTES,
+        body="""SELECT fixture_id, round(avg(p), 4) AS odd_home_avg, round(median(p), 4) AS odd_home_median, max(p) AS odd_home_max, min(p) AS odd_home_min
+FROM (SELECT fixture_id, odd_home*4321.0987 AS p FROM ow) GROUP BY fixture_id""",
+    ),
+)
+def odds_consensus_any_price(spark, sf):
+    """Prices with many decimals, and of 10,000 and above."""
+    wide = testbed.odds_wide(spark, sf).withColumn("odd_home", c("odd_home") * F.lit(4321.0987))
+    rows = aggregates.odds_consensus(wide).withColumns({n: F.round(n, 4) for n in ("odd_home_avg", "odd_home_median")})
+    return rows.select("fixture_id", "odd_home_avg", "odd_home_median", "odd_home_max", "odd_home_min")
+
+
 @query(
     "implied_probs",
     with_(

@@ -68,6 +68,18 @@ def auc_by_class(spark, sf):
     return metrics.auc_by_class(done).withColumn("auc", F.round("auc", 6))
 
 
+@query(
+    "auc_exact_scores",
+    with_(FX, PREDS, "rq AS (SELECT * REPLACE (prob_home_win*fixture_id/(fixture_id+0.123456789) AS prob_home_win) FROM rp)", _AUC.replace("FROM rp", "FROM rq"),
+          body="SELECT model_version, label, round(auc,9) AS auc FROM au"),
+)
+def auc_exact_scores(spark, sf):
+    """Scores that differ from the fifth decimal on."""
+    done = _resolved(spark, sf).filter(c("actual_result").isNotNull())
+    finer = done.withColumn("prob_home_win", c("prob_home_win") * c("fixture_id") / (c("fixture_id") + F.lit(0.123456789)))
+    return metrics.auc_by_class(finer).withColumn("auc", F.round("auc", 9))
+
+
 @query(
     "confusion_matrix",
     with_(FX, PREDS, body="""SELECT model_version, actual_result, count(*) FILTER (WHERE predicted_result='H') AS predicted_h,

@@ -9,12 +9,22 @@ from touchline.operators import flatten
 from touchline.operators.joins import apply_aliases
 from touchline.operators.ordered import dedup_latest
 from touchline.plans import silver, testbed
-from touchline.plans.catalog import query
+from touchline.plans.catalog import Query, query
 from touchline.plans.sqltext import FX, LINES, PREDS, QUOTES, SEASONS, TEAMS, with_
 from touchline.schemas import FIXTURE, STATISTIC_COLUMNS
 
 c = F.col
 
+
+def typed_query(name: str, sql: str):
+    """Register a query over a whole typed table, without its landing time."""
+
+    def add(fn: Query) -> Query:
+        query(name, sql)(lambda spark, sf: fn(spark, sf).drop("_ingestion_ts"))
+        return fn
+
+    return add
+
 _FIXTURE_SQL = """
 SELECT fixture_id, league_id, 'League ' || league_id AS league_name, season, match_date,
   CAST(epoch(CAST(match_date AS TIMESTAMP)) AS BIGINT) + 95400 AS match_epoch,
@@ -25,7 +35,7 @@ SELECT fixture_id, league_id, 'League ' || league_id AS league_name, season, mat
 FROM mt"""
 
 
-@query("silver_fixtures", with_(FX, body=_FIXTURE_SQL))
+@typed_query("silver_fixtures", with_(FX, body=_FIXTURE_SQL))
 def silver_fixtures(spark, sf):
     typed = silver.fixtures(testbed.raw_fixtures(spark, sf))
     return typed.withColumn("match_epoch", F.unix_timestamp("match_ts")).drop("match_ts")
@@ -177,12 +187,12 @@ def _statistics_sql(zero: bool) -> str:
     return f"SELECT fixture_id, team_id, {', '.join(parts)} FROM pr"
 
 
-@query("stats_pivot_kv", with_(TEAMS, body=_statistics_sql(False)))
+@typed_query("stats_pivot_kv", with_(TEAMS, body=_statistics_sql(False)))
 def stats_pivot_kv(spark, sf):
     return silver.statistics(testbed.raw_statistics(spark, sf))
 
 
-@query("stg_statistics", with_(TEAMS, body=_statistics_sql(True)))
+@typed_query("stg_statistics", with_(TEAMS, body=_statistics_sql(True)))
 def stg_statistics(spark, sf):
     return silver.stg_statistics(silver.statistics(testbed.raw_statistics(spark, sf)))
 
@@ -211,7 +221,7 @@ ev AS (
   FROM mt, (VALUES (1),(2),(3)) t(i) WHERE status='FT' AND i<=fixture_id%4)"""
 
 
-@query("events_explode", with_(FX, _EVENTS, body="SELECT * FROM ev"))
+@typed_query("events_explode", with_(FX, _EVENTS, body="SELECT * FROM ev"))
 def events_explode(spark, sf):
     typed = silver.events(testbed.raw_events(spark, sf)).drop("player_name")
     return silver.with_match_date(typed, testbed.fixtures(spark, sf))
@@ -240,7 +250,10 @@ ol AS (
     outcome, odd, day FROM q
   UNION ALL
   SELECT fixture_id, bookmaker_id, 'Book ' || bookmaker_id, 5, 'Goals Over/Under', o,
-    CAST(l_suppkey%200+110 AS DOUBLE)/CAST(100 AS DOUBLE), day FROM q, (VALUES ('Over 2.5'),('Under 2.5')) t(o)),
+    CAST(l_suppkey%200+110 AS DOUBLE)/CAST(100 AS DOUBLE), day FROM q, (VALUES ('Over 2.5'),('Under 2.5')) t(o)
+  UNION ALL
+  SELECT fixture_id, bookmaker_id, 'Book ' || bookmaker_id, 13, 'First Half Winner', outcome,
+    CAST(l_suppkey%300+1200 AS DOUBLE)/CAST(100 AS DOUBLE), day FROM q),
 od AS (
   SELECT * EXCLUDE (day) FROM ol QUALIFY row_number() OVER (
     PARTITION BY fixture_id, bookmaker_id, bet_id, outcome ORDER BY day DESC, odd DESC)=1)"""
@@ -248,14 +261,14 @@ od AS (
 
 @query("odds_explode_long", with_(QUOTES, _LONG, body="SELECT * FROM od"))
 def odds_explode_long(spark, sf):
-    return silver.odds_long(testbed.raw_odds(spark, sf), ["odd"])
+    return silver.odds_long(testbed.raw_odds(spark, sf), ["odd"]).drop("_ingestion_ts")
 
 
 _WIDE = """
 wd AS (SELECT fixture_id, bookmaker_id, max(bookmaker_name) AS bookmaker_name,
-  max(CASE WHEN outcome='Home' THEN odd END) AS odd_home, max(CASE WHEN outcome='Draw' THEN odd END) AS odd_draw,
-  max(CASE WHEN outcome='Away' THEN odd END) AS odd_away, max(CASE WHEN outcome='Over 2.5' THEN odd END) AS odd_over25,
-  max(CASE WHEN outcome='Under 2.5' THEN odd END) AS odd_under25, CAST(NULL AS DOUBLE) AS odd_btts_yes,
+  max(CASE WHEN bet_id=1 AND outcome='Home' THEN odd END) AS odd_home, max(CASE WHEN bet_id=1 AND outcome='Draw' THEN odd END) AS odd_draw,
+  max(CASE WHEN bet_id=1 AND outcome='Away' THEN odd END) AS odd_away, max(CASE WHEN bet_id=5 AND outcome='Over 2.5' THEN odd END) AS odd_over25,
+  max(CASE WHEN bet_id=5 AND outcome='Under 2.5' THEN odd END) AS odd_under25, CAST(NULL AS DOUBLE) AS odd_btts_yes,
   CAST(NULL AS DOUBLE) AS odd_btts_no FROM od GROUP BY fixture_id, bookmaker_id)"""
 
 
@@ -290,7 +303,7 @@ def stg_odds(spark, sf):
 # --- standings, teams, leagues, players -----------------------------------------------------------
 
 
-@query(
+@typed_query(
     "standings_explode",
     with_(
         TEAMS,
@@ -303,7 +316,7 @@ def standings_explode(spark, sf):
     return silver.standings(testbed.raw_standings(spark, sf)).drop("form", "status", "description")
 
 
-@query(
+@typed_query(
     "silver_injuries",
     with_(
         FX,
@@ -332,7 +345,7 @@ def stg_injuries(spark, sf):
     return active.select("fixture_id", "team_id", "player_id", "match_date")
 
 
-@query(
+@typed_query(
     "silver_lineups",
     with_(
         TEAMS,
@@ -376,7 +389,7 @@ _TEAMS_SQL = """SELECT DISTINCT home_team_id AS team_id, 'Team ' || home_team_id
   CAST(home_team_id*37%80000 AS INTEGER) AS venue_capacity FROM mt"""
 
 
-@query("silver_teams", with_(FX, body=_TEAMS_SQL))
+@typed_query("silver_teams", with_(FX, body=_TEAMS_SQL))
 def silver_teams(spark, sf):
     return silver.teams(testbed.raw_teams(spark, sf))
 
@@ -392,7 +405,7 @@ lg AS (
     false AS has_predictions, (season+league_id)%2=0 AS has_odds FROM ls)"""
 
 
-@query("silver_leagues", with_(FX, _SEASON_ROWS, body="SELECT * FROM lg"))
+@typed_query("silver_leagues", with_(FX, _SEASON_ROWS, body="SELECT * FROM lg"))
 def silver_leagues(spark, sf):
     return silver.leagues(testbed.raw_leagues(spark, sf)).drop("logo_url", "flag_url")
 
@@ -431,17 +444,17 @@ pl AS (
   FROM part, (VALUES (2000),(2001)) t(s))"""
 
 
-@query("silver_players", with_(_PLAYERS, body="SELECT * FROM pl"))
+@typed_query("silver_players", with_(_PLAYERS, body="SELECT * FROM pl"))
 def silver_players(spark, sf):
     return silver.players(testbed.raw_players(spark, sf))
 
 
-@query("stg_players", with_(_PLAYERS, body="SELECT * FROM pl WHERE season=2001"))
+@typed_query("stg_players", with_(_PLAYERS, body="SELECT * FROM pl WHERE season=2001"))
 def stg_players(spark, sf):
     return silver.stg_players(silver.players(testbed.raw_players(spark, sf)), 2001)
 
 
-@query(
+@typed_query(
     "silver_transfers",
     """SELECT DISTINCT o_custkey AS player_id, 'Player ' || o_custkey AS player_name,
   o_custkey%5*100+o_orderkey%20 AS to_team_id, 'Team ' || (o_custkey%5*100+o_orderkey%20) AS to_team_name,

@@ -36,11 +36,19 @@ def high_water_mark(spark, sf):
     return landing.scan_since(rows, mark, "day").agg(F.max("day").alias("mark"), F.count(F.lit(1)).alias("rows_since"))
 
 
-@query("no_data_status", "SELECT 'no_data' AS status, CAST(0 AS BIGINT) AS rows_affected")
+@query(
+    "no_data_status",
+    """SELECT CAST(y AS INTEGER) AS year, CASE WHEN n>0 THEN 'success' ELSE 'no_data' END AS status, n AS rows_affected
+FROM (SELECT y, (SELECT count(*) FROM orders WHERE year(o_orderdate)=y) AS n FROM range(1994, 2004) t(y))""",
+)
 def no_data_status(spark, sf):
-    rows = testbed.table(spark, sf, "orders").filter(c("o_orderkey") < 0)
-    out = tables.run_step(spark, "empty", "r1", rows, lambda d: d, lambda d: d.write.parquet(scratch_path(spark, "none")))
-    return spark.createDataFrame([(out["status"], out["rows_affected"])], "status STRING, rows_affected BIGINT")
+    """One load per year; years without orders end as no_data."""
+    rows, done = testbed.table(spark, sf, "orders"), []
+    for year in range(1994, 2004):
+        mine = rows.filter(F.year("o_orderdate") == year)
+        out = tables.run_step(spark, f"y{year}", "r1", mine, lambda d: d, lambda d: d.write.parquet(scratch_path(spark, "year")))
+        done.append((year, out["status"], out["rows_affected"]))
+    return spark.createDataFrame(done, "year INT, status STRING, rows_affected BIGINT")
 
 
 def _envelopes(spark, sf):
@@ -152,7 +160,17 @@ def plan_requests(spark, sf):
 SELECT fixture_id, (row_number() OVER (ORDER BY fixture_id)-1)//20 AS batch_no FROM fx WHERE status='NS') GROUP BY batch_no"""),
 )
 def batch_keys(spark, sf):
-    return landing.batch_keys(testbed.fixtures(spark, sf).filter(c("status") == "NS"), "fixture_id", width=4096)
+    return landing.batch_keys(testbed.fixtures(spark, sf).filter(c("status") == "NS"), "fixture_id", seed_rows=500)
+
+
+@query(
+    "batch_sparse_keys",
+    with_(FX, body="""SELECT batch_no, count(*) AS n_keys, string_agg(CAST(k AS VARCHAR), '-' ORDER BY k) AS ids FROM (
+SELECT fixture_id*10000019 AS k, (row_number() OVER (ORDER BY fixture_id)-1)//20 AS batch_no FROM fx) GROUP BY batch_no"""),
+)
+def batch_sparse_keys(spark, sf):
+    keys = testbed.fixtures(spark, sf).select((c("fixture_id") * 10000019).alias("k"))
+    return landing.batch_keys(keys, "k", seed_rows=500)
 
 
 @query("date_window", with_(FX, body="SELECT fixture_id, match_date FROM fx WHERE match_date BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'"))
@@ -212,6 +230,70 @@ def upsert_table_moved(spark, sf):
     return spark.read.parquet(path).select("fixture_id", "season", "status")
 
 
+@query(
+    "upsert_text_partition",
+    """SELECT o_orderkey, lpad(CAST((o_custkey+CASE WHEN o_orderkey%7=0 THEN 1 ELSE 0 END)%9 AS VARCHAR), 3, '0') || '/' ||
+  o_orderstatus || ' x' AS code, lpad(CAST(CASE WHEN o_orderkey%7=0 THEN 8 ELSE 7 END AS VARCHAR), 3, '0') AS number FROM orders""",
+)
+def upsert_text_partition(spark, sf):
+    """Rows move between partitions whose names need escaping or look like numbers; no old copy may stay."""
+    path, schema = scratch_path(spark, "text"), "o_orderkey BIGINT, code STRING, number STRING"
+
+    def at(step, number):
+        code = F.concat(F.lpad(((c("o_custkey") + step) % 9).cast("string"), 3, "0"), F.lit("/"), "o_orderstatus", F.lit(" x"))
+        return c("o_orderkey"), code.alias("code"), F.lit(number).alias("number")
+
+    orders = testbed.table(spark, sf, "orders")
+    tables.upsert_table(orders.select(*at(0, "007")), path, ["o_orderkey"], ["number", "code"])
+    tables.upsert_table(orders.filter("o_orderkey % 7 = 0").select(*at(1, "008")), path, ["o_orderkey"], ["number", "code"])
+    return spark.read.schema(schema).parquet(path).select("o_orderkey", "code", "number")
+
+
+@query(
+    "upsert_wider_target",
+    with_(FX, body="""SELECT fixture_id, season, CASE WHEN fixture_id%3=0 THEN 'NEW' ELSE status END AS status, round,
+  CASE WHEN fixture_id%3=0 THEN 'b' END AS added FROM fx
+UNION ALL SELECT fixture_id+1000000000, season, 'NEW', NULL, 'b' FROM fx WHERE fixture_id%3=0"""),
+)
+def upsert_wider_target(spark, sf):
+    """The source lacks a column of the target, which stays, and brings a new one."""
+    path = scratch_path(spark, "wider")
+    target = testbed.fixtures(spark, sf).select("fixture_id", "season", "status", "round")
+    tables.upsert_table(target, path, ["fixture_id"], ["season"])
+    changed = target.filter("fixture_id % 3 = 0").select("fixture_id", "season", F.lit("NEW").alias("status"), F.lit("b").alias("added"))
+    new = changed.withColumn("fixture_id", c("fixture_id") + 1000000000)
+    tables.upsert_table(changed.unionByName(new), path, ["fixture_id"], ["season"])
+    return spark.read.option("mergeSchema", "true").parquet(path).select("fixture_id", "season", "status", "round", "added")
+
+
+@query(
+    "upsert_older_version",
+    with_(FX, body="SELECT fixture_id, CASE WHEN fixture_id%2=0 THEN season ELSE season+1 END AS season, CASE WHEN fixture_id%2=0 THEN 5 ELSE 3 END AS version FROM fx"),
+)
+def upsert_older_version(spark, sf):
+    """Even fixtures are at version 5 and odd ones at 2; a load of version 3 replaces the odd ones only."""
+    path = scratch_path(spark, "older")
+    rows = testbed.fixtures(spark, sf).select("fixture_id", "season", F.when(c("fixture_id") % 2 == 0, 5).otherwise(2).alias("version"))
+    tables.upsert_table(rows, path, ["fixture_id"], ["season"], version="version")
+    late = rows.withColumns({"season": c("season") + 1, "version": F.lit(3)})
+    tables.upsert_table(late, path, ["fixture_id"], ["season"], version="version")
+    return spark.read.parquet(path).select("fixture_id", "season", "version")
+
+
+@query("upsert_duplicate_source", with_(FX, body="SELECT fixture_id, status, true AS rejected FROM fx"))
+def upsert_duplicate_source(spark, sf):
+    """A source with two rows for one key is rejected and the table stays as it was."""
+    path = scratch_path(spark, "twice")
+    rows = testbed.fixtures(spark, sf).select("fixture_id", "status")
+    tables.upsert_table(rows, path, ["fixture_id"])
+    rejected = False
+    try:
+        tables.upsert_table(rows.withColumn("status", F.explode(F.array(F.lit("A"), F.lit("B")))), path, ["fixture_id"])
+    except ValueError:
+        rejected = True
+    return spark.read.parquet(path).select("fixture_id", "status", F.lit(rejected).alias("rejected"))
+
+
 @query(
     "overwrite_partitions",
     with_(FX, body="""SELECT fixture_id, season, CASE WHEN season=1999 THEN 'REDONE' ELSE status END AS status FROM fx WHERE season<>1999 OR fixture_id%2=0"""),
@@ -249,18 +331,28 @@ def zorder_compact(spark, sf):
     path, out = scratch_path(spark, "flat"), scratch_path(spark, "zorder")
     keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     testbed.table(spark, sf, "lineitem").select(*keys).write.parquet(path)
-    tables.compact_table(spark, path, out, ["l_orderkey", "l_partkey"], target_files=8, bits=6)
+    tables.compact_table(spark, path, out, ["l_orderkey", "l_partkey"], file_bytes=128 << 10)
     return spark.read.parquet(out).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("layout_job", "SELECT * FROM (VALUES ('lineitem','success',''),('orders','success',''),('absent','skipped','missing')) t(table_name,status,message)")
+@query(
+    "layout_job",
+    """SELECT 'lineitem' AS table_name, 'success' AS status, count(*) AS n_rows FROM lineitem
+UNION ALL SELECT 'orders', 'success', count(*) FROM orders UNION ALL SELECT 'absent', 'skipped', NULL""",
+)
 def layout_job(spark, sf):
-    listed = {
+    """Listed tables rewritten, with the rows read back from the new files."""
+    out, listed = scratch_path(spark, "layout"), {
         "lineitem": (f"{sf}/lineitem.parquet", ["l_orderkey", "l_suppkey"]),
         "orders": (f"{sf}/orders.parquet", ["o_orderkey"]),
         "absent": (f"{sf}/absent.parquet", ["x"]),
     }
-    return tables.layout_job(spark, listed, scratch_path(spark, "layout"), 4)
+    report = tables.layout_job(spark, listed, out).drop("message")
+    counts = [
+        spark.read.parquet(f"{out}/{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        for name in ("lineitem", "orders")
+    ]
+    return report.join(counts[0].unionByName(counts[1]), "table_name", "left")
 
 
 @query(
@@ -331,7 +423,7 @@ _RAW = {
         body="""SELECT 'fixtures' AS table_name, count(*) AS n_rows FROM fx
 UNION ALL SELECT 'match_statistics', count(*) FROM pr
 UNION ALL SELECT 'match_events', CAST(sum(fixture_id%4) AS BIGINT) FROM fx WHERE status='FT'
-UNION ALL SELECT 'odds_long', (SELECT count(*) FROM (SELECT DISTINCT fixture_id, bookmaker_id, outcome FROM q))
+UNION ALL SELECT 'odds_long', 2*(SELECT count(*) FROM (SELECT DISTINCT fixture_id, bookmaker_id, outcome FROM q))
   + 2*(SELECT count(*) FROM (SELECT DISTINCT fixture_id, bookmaker_id FROM q))
 UNION ALL SELECT 'standings', count(*) FROM (SELECT DISTINCT league_id, season, team_id FROM pr)
 UNION ALL SELECT 'injuries', count(*) FROM (SELECT DISTINCT fixture_id, CASE WHEN l_linenumber%2=0 THEN home_team_id ELSE away_team_id END, l_partkey%25
@@ -361,24 +453,59 @@ def load_and_build_tables(spark, sf):
     return out
 
 
+@query("load_late_rows", with_(FX, body="SELECT fixture_id, status, season FROM fx"))
+def load_late_rows(spark, sf):
+    """Even fixtures land after the odd ones were loaded, for the same days; the next load reads them."""
+    root, raw = scratch_path(spark, "late"), testbed.raw_fixtures(spark, sf)
+    odd = F.get_json_object("payload", "$.fixture.id").cast("bigint") % 2
+    for number, batch in ((1, "b1"), (0, "b2")):
+        tables.append_table(raw.filter(odd == number).withColumn("_batch_id", F.lit(batch)), f"{root}/bronze/fixtures")
+        lifecycle.load_table(spark, root, "fixtures", batch, partitioned=False)
+    return spark.read.parquet(f"{root}/silver/fixtures").select("fixture_id", "status", "season")
+
+
+@query(
+    "load_rejects",
+    with_(FX, body="""SELECT CASE WHEN fixture_id%5=0 THEN 'malformed' WHEN fixture_id%7=0 THEN 'no_fields' ELSE 'null_key' END AS reason,
+  2*count(*) AS n FROM fx WHERE fixture_id%5=0 OR fixture_id%7=0 OR fixture_id%11=0 GROUP BY 1
+UNION ALL SELECT 'loaded', count(*) FROM fx WHERE fixture_id%5<>0 AND fixture_id%7<>0 AND fixture_id%11<>0"""),
+)
+def load_rejects(spark, sf):
+    """Raw rows cut short, of another shape and without an id end in the reject table; the others are loaded."""
+    root, key = scratch_path(spark, "rejects"), F.get_json_object("payload", "$.fixture.id").cast("bigint")
+    raw = testbed.raw_fixtures(spark, sf).withColumn("k", key)
+    broken = (
+        F.when(c("k") % 5 == 0, F.substring("payload", 1, 40))
+        .when(c("k") % 7 == 0, F.lit('{"other": 1}'))
+        .when(c("k") % 11 == 0, F.regexp_replace("payload", '"id":[0-9]+,"date"', '"id":null,"date"'))
+        .otherwise(c("payload"))
+    )
+    tables.append_table(raw.withColumn("payload", broken).drop("k"), f"{root}/bronze/fixtures")
+    lifecycle.load_table(spark, root, "fixtures", "r1", partitioned=False)
+    rejects = spark.read.parquet(f"{root}/rejects/fixtures").groupBy(c("_reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    loaded = spark.read.parquet(f"{root}/silver/fixtures").agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("n"))
+    return rejects.unionByName(loaded)
+
+
 # --- streams --------------------------------------------------------------------------------------
 
 
 @query("stream_upsert", with_(FX, body="SELECT fixture_id, status, result, season FROM fx"))
 def stream_upsert(spark, sf):
-    """Both landings of every fixture arrive as separate files; the final state remains."""
+    """Each landing of every fixture arrives in a micro-batch of its own, the newest first; the final state remains."""
     root = scratch_path(spark, "stream")
     raw = testbed.raw_fixtures(spark, sf)
-    raw.withColumn("landing", F.date_diff("_ingestion_date", F.to_date(F.get_json_object("payload", "$.fixture.date")))).repartition(
-        "landing"
-    ).drop("landing").write.parquet(f"{root}/raw")
+    landing_no = F.date_diff("_ingestion_date", F.to_date(F.get_json_object("payload", "$.fixture.date")))
+    for number in (2, 1):
+        raw.filter(landing_no == number).coalesce(1).write.mode("append").parquet(f"{root}/raw")
 
     def transform(batch):
-        return silver.fixtures(batch).select("fixture_id", "status", "result", "season", "match_ts")
+        return silver.fixtures(batch).select("fixture_id", "status", "result", "season", "match_ts", "_ingestion_ts")
 
     live.stream_upsert(
-        live.raw_stream(spark, f"{root}/raw"), transform, f"{root}/fixtures", ["fixture_id"], f"{root}/checkpoint", ["season"]
-    ).awaitTermination()
+        live.raw_stream(spark, f"{root}/raw", files_per_trigger=1), transform, f"{root}/fixtures", ["fixture_id"],
+        f"{root}/checkpoint", ["season"], "_ingestion_ts",
+    ).awaitTermination()
     return spark.read.parquet(f"{root}/fixtures").select("fixture_id", "status", "result", "season")
 
 

@@ -18,7 +18,7 @@ from touchline.functions.columns import (
 )
 from touchline.operators.flatten import explode_path, flatten_json, parse_payload, pivot_kv, pivot_static, require_keys
 from touchline.operators.ordered import dedup_latest
-from touchline.schemas import EXTRA_OUTCOME_COLUMNS, OUTCOME_COLUMNS, STATISTIC_COLUMNS, TABLES
+from touchline.schemas import EXTRA_OUTCOME_COLUMNS, OUTCOME_COLUMNS, OUTCOME_MARKETS, STATISTIC_COLUMNS, TABLES
 
 LANDED = ("_ingestion_ts", "_batch_id")
 
@@ -31,8 +31,11 @@ def request_fixture() -> Column:
 def _latest(
     df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] | None = None, required: int | None = None
 ) -> DataFrame:
-    """Latest landed row per key; rows with a NULL among the first ``required`` keys (default all) are dropped."""
-    return dedup_latest(require_keys(df, keys[:required]), keys, LANDED, tiebreak).drop(*LANDED)
+    """Latest landed row per key; rows with a NULL among the first ``required`` keys (default all) are dropped.
+
+    The landing time stays, so that a later load of an older version can be told from a newer one.
+    """
+    return dedup_latest(require_keys(df, keys[:required]), keys, LANDED, tiebreak).drop("_batch_id")
 
 
 def fixtures(raw: DataFrame, finished: Iterable[str] = ("FT",)) -> DataFrame:
@@ -116,11 +119,16 @@ def odds_long(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFram
 
 
 def odds_wide(long: DataFrame) -> DataFrame:
-    """One row per fixture and bookmaker with the match-winner, over/under and both-score prices."""
+    """One row per fixture and bookmaker with the match-winner, over/under and both-score prices.
+
+    Outcomes count in their own market only: others use the same names.
+    """
+    own = F.struct("bet_id", "outcome")
+    rows = long.withColumn("_price_of", F.when(own.isin(*[F.struct(F.lit(b).cast("bigint"), F.lit(o)) for b, o in OUTCOME_MARKETS]), F.col("outcome")))
     return pivot_static(
-        long,
+        rows,
         ["fixture_id", "bookmaker_id"],
-        "outcome",
+        "_price_of",
         {**OUTCOME_COLUMNS, **EXTRA_OUTCOME_COLUMNS},
         "odd",
         [F.max("bookmaker_name").alias("bookmaker_name")],

@@ -65,12 +65,6 @@ def _landed(payload: Column, feed: str, day: Column, params: Column | None = Non
     ]
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Rows spread over the cores when the tables have fewer files than that (small test data only)."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
-
-
 def _for_fixture() -> Column:
     return F.to_json(F.struct(c("fixture_id").cast("string").alias("fixture")))
 
@@ -103,7 +97,7 @@ def fixture_record(goals_home: Column, goals_away: Column, status: Column) -> Co
 
 def raw_fixtures(spark: SparkSession, sf: str) -> DataFrame:
     """Every fixture landed twice: announced, then with its final state."""
-    rows = _spread(matches(spark, sf)).withColumn("version", F.explode(F.array(F.lit(1), F.lit(2))))
+    rows = matches(spark, sf).withColumn("version", F.explode(F.array(F.lit(1), F.lit(2))))
     final = c("version") == 2
     record = fixture_record(
         F.when(final, c("goals_home")), F.when(final, c("goals_away")), F.when(final, c("status")).otherwise("NS")
@@ -126,7 +120,7 @@ def statistic_value(j: int) -> Column:
 
 def raw_statistics(spark: SparkSession, sf: str) -> DataFrame:
     """One record per finished match and team; ``Offsides`` is missing in every fifth match."""
-    rows = to_team_rows(_spread(fixtures(spark, sf).filter(c("status") == "FT")))
+    rows = to_team_rows(fixtures(spark, sf).filter(c("status") == "FT"))
     entries = F.array(
         *[
             F.struct(F.lit(name).alias("type"), statistic_value(j).alias("value"))
@@ -142,7 +136,7 @@ def raw_events(spark: SparkSession, sf: str) -> DataFrame:
     """Up to three events per finished match; every second match landed twice."""
     key = c("fixture_id")
     rows = (
-        _spread(matches(spark, sf))
+        matches(spark, sf)
         .filter((c("status") == "FT") & (key % 4 > 0))
         .withColumn("i", F.explode(F.sequence(F.lit(1), (key % 4).cast("int"))))
         .withColumn("copy", F.explode(F.sequence(F.lit(1), (key % 2 + 1).cast("int"))))
@@ -182,11 +176,14 @@ def quotes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_odds(spark: SparkSession, sf: str) -> DataFrame:
-    """One four-level record per line item: its match-winner price and an over/under pair."""
-    rows = _spread(quotes(spark, sf))
+    """One four-level record per line item: its match-winner price, an over/under pair, and a first-half price under the
+    match-winner's outcome names."""
+    rows = quotes(spark, sf)
     text = c("odd").cast("decimal(6,2)").cast("string")
     other = ((c("l_suppkey") % 200 + 110) / F.lit(100.0)).cast("decimal(6,2)").cast("string")
 
+    half = ((c("l_suppkey") % 300 + 1200) / F.lit(100.0)).cast("decimal(6,2)").cast("string")
+
     def price(value: Column, odd: Column) -> Column:
         return F.struct(value.alias("value"), odd.alias("odd"))
 
@@ -199,6 +196,11 @@ def raw_odds(spark: SparkSession, sf: str) -> DataFrame:
             F.lit("Goals Over/Under").alias("name"),
             F.array(price(F.lit("Over 2.5"), other), price(F.lit("Under 2.5"), other)).alias("values"),
         ),
+        F.struct(
+            F.lit(13).cast("bigint").alias("id"),
+            F.lit("First Half Winner").alias("name"),
+            F.array(price(c("outcome"), half)).alias("values"),
+        ),
     )
     book = F.struct(
         c("bookmaker_id").alias("id"), F.concat(F.lit("Book "), c("bookmaker_id")).alias("name"), bets.alias("bets")
@@ -284,7 +286,7 @@ def player_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_player_stats(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _spread(_line_rows(spark, sf))
+    rows = _line_rows(spark, sf)
     statistics = F.struct(
         F.struct((c("quantity") + 40).alias("minutes"), ((c("l_suppkey") % 50 + 50) / F.lit(10.0)).cast("string").alias("rating")).alias(
             "games"
@@ -318,7 +320,7 @@ def injuries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_injuries(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _spread(_line_rows(spark, sf).filter(c("l_returnflag") == "R"))
+    rows = _line_rows(spark, sf).filter(c("l_returnflag") == "R")
     record = F.struct(
         F.struct(
             c("player_id").alias("id"),
@@ -337,7 +339,7 @@ def raw_injuries(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_lineups(spark: SparkSession, sf: str) -> DataFrame:
     """Eleven starters and three substitutes per team of a finished match."""
-    rows = to_team_rows(_spread(fixtures(spark, sf).filter(c("status") == "FT")))
+    rows = to_team_rows(fixtures(spark, sf).filter(c("status") == "FT"))
 
     def player(i: Column) -> Column:
         key = c("team_id") * 100 + (c("fixture_id") + i) % 25
@@ -374,7 +376,7 @@ def raw_teams(spark: SparkSession, sf: str) -> DataFrame:
             (key * 37 % 80000).cast("int").alias("capacity"),
         ).alias("venue"),
     )
-    return _spread(matches(spark, sf)).select(*_landed(F.to_json(record), "/teams", c("match_date")))
+    return matches(spark, sf).select(*_landed(F.to_json(record), "/teams", c("match_date")))
 
 
 def raw_leagues(spark: SparkSession, sf: str) -> DataFrame:
@@ -408,7 +410,7 @@ def raw_leagues(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.concat(F.lit("Country "), league).alias("name"), F.concat(F.lit("C"), league).alias("code")).alias("country"),
         F.array(entry(season - 1), entry(season)).alias("seasons"),
     )
-    return _spread(matches(spark, sf)).select(*_landed(F.to_json(record), "/leagues", c("match_date")))
+    return matches(spark, sf).select(*_landed(F.to_json(record), "/leagues", c("match_date")))
 
 
 def league_types(spark: SparkSession, sf: str) -> DataFrame:
@@ -479,7 +481,7 @@ def raw_api_predictions(spark: SparkSession, sf: str) -> DataFrame:
             F.struct(text("home"), text("draw"), text("away")).alias("percent"),
         ).alias("predictions")
     )
-    return _spread(matches(spark, sf)).select(*_landed(F.to_json(record), "/predictions", c("match_date"), _for_fixture()))
+    return matches(spark, sf).select(*_landed(F.to_json(record), "/predictions", c("match_date"), _for_fixture()))
 
 
 def api_predictions(spark: SparkSession, sf: str) -> DataFrame:

@@ -109,6 +109,9 @@ EXTRA_OUTCOME_COLUMNS = {
     "No": "odd_btts_no",
 }
 
+# The market that each outcome belongs to.
+OUTCOME_MARKETS = [(1, "Home"), (1, "Draw"), (1, "Away"), (5, "Over 2.5"), (5, "Under 2.5"), (8, "Yes"), (8, "No")]
+
 # The model's input columns.
 FEATURES = [
     "home_wins_last_5", "home_draws_last_5", "home_losses_last_5",
@@ -151,6 +154,17 @@ FEEDS = {
 }
 
 
+# Where a record of the feed has its id. The other feeds take theirs from the request.
+RECORD_IDS = {
+    "leagues": "$.league.id",
+    "fixtures": "$.fixture.id",
+    "injuries": "$.player.id",
+    "teams": "$.team.id",
+    "players": "$.player.id",
+    "transfers": "$.player.id",
+}
+
+
 @dataclass(frozen=True)
 class Table:
     """Keys, partition column and clustering columns of a typed table."""

@@ -33,7 +33,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.split("[")[0] == "local":
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="touchline-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -50,3 +50,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Delete the files of a frame that :func:`stored` made, when nothing reads it any more."""
+    spark, files = df.sparkSession, df.inputFiles()
+    for uri in {f.rsplit("/", 1)[0] for f in files}:
+        location = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.flatten import parse_payload
 from touchline.operators.ordered import global_row_number
-from touchline.schemas import FEEDS, MARKETS
+from touchline.schemas import FEEDS, MARKETS, RECORD_IDS
 
 
 def land_raw(
@@ -31,7 +31,9 @@ def land_raw(
     at = F.current_timestamp() if at is None else at
     if shape == "envelope":
         parsed = parse_payload(bodies.select(body), "parameters STRING, response ARRAY<STRING>", body)
-        rows = parsed.select(F.col("rec.parameters").alias("params"), F.explode("rec.response").alias("payload"))
+        # A body without a response list is kept as it came, so that the load can reject it with a reason.
+        records = F.coalesce(F.col("rec.response"), F.array(F.col(body)))
+        rows = parsed.select(F.col("rec.parameters").alias("params"), F.explode(records).alias("payload"))
     elif shape == "record":
         rows = bodies.select(F.lit(None).cast("string").alias("params"), F.col(body).alias("payload"))
     else:
@@ -47,6 +49,22 @@ def land_raw(
     )
 
 
+def split_raw(raw: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
+    """Raw rows that a load can use, and the others with ``_reject_reason``: malformed JSON, a record with none of the
+    feed's fields, or one without the feed's id."""
+    spec = FEEDS[feed]
+    parsed = raw.withColumn("_rec", F.explode(F.array(F.from_json("payload", spec.schema))))
+    id_path = RECORD_IDS.get(feed)
+    missing = F.get_json_object("payload", id_path).isNull() if id_path else F.lit(False)
+    reason = (
+        F.when(F.get_json_object("payload", "$").isNull(), "malformed")
+        .when(F.to_json("_rec") == "{}", "no_fields")
+        .when(missing, "null_key")
+    )
+    marked = parsed.withColumn("_reject_reason", reason).drop("_rec")
+    return marked.filter("_reject_reason IS NULL").drop("_reject_reason"), marked.filter("_reject_reason IS NOT NULL")
+
+
 def read_bodies(spark: SparkSession, path: str, format: str = "json", schema: str | None = None) -> DataFrame:
     """Landed files as a ``body`` column.
 
@@ -115,15 +133,16 @@ def plan_requests(
     return wanted if already is None else wanted.join(already, ["fixture_id", "bet_id"], "left_anti")
 
 
-def batch_keys(df: DataFrame, key: str, size: int = 20, sep: str = "-", width: int = 1 << 20) -> DataFrame:
+def batch_keys(df: DataFrame, key: str, size: int = 20, sep: str = "-", seed_rows: int = 200_000) -> DataFrame:
     """Distinct integer keys packed into full batches of ``size``: ``batch_no, n_keys, ids``.
 
-    Numbered over ranges of ``width`` keys, so neither the sort nor a batch grows with the table.
+    Numbered over ranges of about ``seed_rows`` keys, so neither the sort nor a batch grows with the table, and sparse
+    keys make no more ranges than dense ones.
     """
     keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    numbered = global_row_number(keys, [F.col(key)], F.floor(F.col(key) / F.lit(width)))
     return (
-        numbered.groupBy(F.floor((F.col("row_no") - 1) / F.lit(size)).cast("bigint").alias("batch_no"))
+        global_row_number(keys, [key], "row_no", seed_rows)
+        .groupBy(F.floor((F.col("row_no") - 1) / F.lit(size)).cast("bigint").alias("batch_no"))
         .agg(F.count(F.lit(1)).alias("n_keys"), F.sort_array(F.collect_list(key)).alias("_ids"))
         .select("batch_no", "n_keys", F.array_join("_ids", sep).alias("ids"))
     )

@@ -6,12 +6,11 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.session import stored
+from touchline.session import drop_stored, stored
 
 
 def _path(spark: SparkSession, path: str):
@@ -59,37 +58,94 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe:
     return t.join(s, _same("t", "s", keys, null_safe), "left_anti").unionByName(source)
 
 
+def reject_duplicates(source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise when two rows share a key: which of them should win is not defined."""
+    twice = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys).take(1)
+    if twice:
+        raise ValueError(f"the source has several rows for key {twice[0].asDict()}")
+
+
+def _read_as(path: str, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The target with the source's partition types (no guessing from directory names) and the columns of both."""
+    spark = source.sparkSession
+    known = spark.read.parquet(path).schema
+    kinds = {f.name: source.schema[f.name].dataType if f.name in partition_by else f.dataType for f in known}
+    kinds |= {f.name: f.dataType for f in source.schema if f.name not in kinds}
+    return spark.read.schema(T.StructType([T.StructField(n, k) for n, k in kinds.items()])).parquet(path)
+
+
 def upsert_table(
     source: DataFrame,
     path: str,
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     null_safe: bool = True,
+    version: str | None = None,
+    within: Column | None = None,
 ) -> None:
     """Upsert into a parquet table; the first load creates it.
 
-    Only the touched partitions are rewritten: those of the source rows and those where matched rows
-    live now, so a row whose partition value changes leaves no old copy. The merged rows are staged in
-    the shared folder before anything is replaced, and running the same source again gives the same table.
+    Only the touched partitions are rewritten: those of the source rows and those where matched rows live now, so a row
+    whose partition value changes leaves no old copy. Two source rows with one key are rejected. Columns that only the
+    target has keep their values in updated rows and are NULL in new ones; columns that only the source has are added.
+    ``version`` names a column by which an older source row never replaces a newer target row. ``within`` is a predicate
+    on partition columns that bounds where the source's keys can live; without it the keys of the whole target are read.
+
+    The merged rows are staged in the shared folder before anything is replaced, and running the same source again gives
+    the same table. Spark writes an empty text as a NULL partition. A table without partitions is replaced as a whole:
+    should that write fail, the staged copy is what to restore.
     """
     spark = source.sparkSession
+    source = stored(source, "upsert-source")
+    reject_duplicates(source, keys)
     if not table_exists(spark, path):
         _write(source, path, partition_by, "overwrite")
+        drop_stored(source)
         return
-    source = stored(source, "upsert-source")
-    target = spark.read.parquet(path).select(*source.columns)
-    if not partition_by:
-        _replace(spark, upsert(target, source, keys, null_safe), path, ())
-        return
-    matched = target.alias("t").join(
-        source.select(*keys).alias("s"), _same("t", "s", keys, null_safe), "left_semi"
+    target = _read_as(path, source, partition_by)
+    near = target if within is None else target.filter(within)
+    kept = [c for c in target.columns if c not in source.columns]
+    old = near.withColumn("_file", F.col("_metadata.file_path")).alias("t")
+    old = old.join(source.select(*keys).alias("s"), _same("t", "s", keys, null_safe), "left_semi")
+    wanted = dict.fromkeys([*keys, *partition_by, *kept, *([version] if version else []), "_file"])
+    old = stored(old.select(*wanted), "upsert-matched")
+    rows = source.alias("s").join(
+        old.select(*keys, *kept, *([F.col(version).alias("_version")] if version else [])).alias("o"),
+        _same("s", "o", keys, null_safe), "left",
+    )
+    if version:
+        rows = rows.filter(F.col("_version").isNull() | (F.col(f"s.{version}") >= F.col("_version")))
+    fresh = rows.select(
+        *[(F.col(f"o.{c}") if c in kept else F.col(f"s.{c}")).cast(target.schema[c].dataType).alias(c) for c in target.columns]
     )
-    # Partition values are as many as the table's directories, which the driver lists anyway; as
-    # literals they prune the scan of the target.
-    touched = _partition_values(matched.select(*partition_by).unionByName(source.select(*partition_by)), partition_by)
-    merged = upsert(target.filter(_one_of(touched, partition_by)), source, keys, null_safe)
-    staged = _replace(spark, merged, path, partition_by)
-    drop_partitions(spark, path, touched - _partition_values(staged, partition_by), partition_by)
+    if not partition_by:
+        done = [_replace(spark, upsert(target, fresh, keys, null_safe), path, ())]
+    else:
+        # Partition values are as many as the table's directories, which the driver lists anyway; as
+        # literals they prune the scan of the target.
+        touched = _partition_values(old.select(*partition_by).unionByName(source.select(*partition_by)), partition_by)
+        merged = upsert(target.filter(_one_of(touched, partition_by)), fresh, keys, null_safe)
+        left = _directories(old, partition_by)
+        done = [_replace(spark, merged, path, partition_by)]
+        filled = _partition_values(done[0], partition_by)
+        _delete(spark, [d for value, d in left if value not in filled])
+    for copy in (source, old, *done):
+        drop_stored(copy)
+
+
+def _directories(rows: DataFrame, partition_by: Sequence[str]) -> list[tuple[tuple, str]]:
+    """Partition values and the directories that hold them, as the files say (``_file``)."""
+    folder = F.regexp_replace("_file", "/[^/]*$", "").alias("_dir")
+    return [(tuple(r)[:-1], r["_dir"]) for r in rows.select(*partition_by, folder).distinct().toLocalIterator()]
+
+
+def _delete(spark: SparkSession, directories: Sequence[str]) -> int:
+    """Delete directories given as URIs; returns how many went."""
+    gone = 0
+    for uri in directories:
+        location = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+        gone += bool(location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True))
+    return gone
 
 
 def _partition_values(df: DataFrame, partition_by: Sequence[str]) -> set[tuple]:
@@ -116,17 +172,6 @@ def _replace(spark: SparkSession, rows: DataFrame, path: str, partition_by: Sequ
     return staged
 
 
-def drop_partitions(spark: SparkSession, path: str, values: set[tuple], partition_by: Sequence[str]) -> int:
-    """Delete the directories of the listed partition values (dates, numbers or plain text)."""
-    dropped = 0
-    for value in values:
-        named = ["__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in value]
-        directory = "/".join(f"{c}={v}" for c, v in zip(partition_by, named, strict=True))
-        fs, location = _path(spark, f"{path}/{directory}")
-        dropped += bool(fs.delete(location, True))
-    return dropped
-
-
 def expired(df: DataFrame, column: str, days: int, today: dt.date) -> DataFrame:
     """Rows older than ``days``."""
     return df.filter(F.col(column) < F.lit(today - dt.timedelta(days=days)))
@@ -134,8 +179,9 @@ def expired(df: DataFrame, column: str, days: int, today: dt.date) -> DataFrame:
 
 def expire_partitions(spark: SparkSession, path: str, column: str, days: int, today: dt.date) -> int:
     """Drop whole date partitions older than ``days``; returns how many went. Reads no data columns."""
-    old = _partition_values(expired(spark.read.parquet(path), column, days, today), [column])
-    return drop_partitions(spark, path, old, [column])
+    table = spark.read.parquet(path)
+    old = expired(table.withColumn("_file", F.col("_metadata.file_path")), column, days, today)
+    return _delete(spark, [directory for _, directory in _directories(old, [column])])
 
 
 def publish(df: DataFrame, root: str, name: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
@@ -144,72 +190,31 @@ def publish(df: DataFrame, root: str, name: str, keys: Sequence[str], partition_
     upsert_table(df, f"{root}/{name}", keys, partition_by)
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    """Order-preserving number of a column; text is hashed, which only brings equal values together."""
-    kind, col = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
-    if isinstance(kind, T.NumericType):
-        return col.cast("double")
-    return F.xxhash64(col).cast("double")
-
-
-def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 10, name: str = "_z") -> DataFrame:
-    """Add a key that interleaves the bits of each column's quantile bucket (at most four columns).
-
-    ``QuantileDiscretizer`` finds the 2^bits bucket bounds of all columns in one approximate pass and
-    looks rows up by binary search on the JVM. NULL and NaN share the last bucket.
-    """
-    if not 1 <= len(cols) <= 4:
-        raise ValueError("between one and four clustering columns")
-    numeric = [f"_n_{c}" for c in cols]
-    ranks = [f"_r_{c}" for c in cols]
-    ready = df.withColumns({n: F.coalesce(_as_number(df, c), F.lit(float("nan"))) for n, c in zip(numeric, cols, strict=True)})
-    discretizer = QuantileDiscretizer(
-        numBuckets=(1 << bits) - 1,
-        inputCols=numeric,
-        outputCols=ranks,
-        relativeError=1.0 / (1 << (bits + 2)),
-        handleInvalid="keep",
-    )
-    ranked = discretizer.fit(ready).transform(ready)
-    key = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for i, rank in enumerate(ranks):
-            one = F.shiftright(F.col(rank).cast("int"), bit).bitwiseAND(F.lit(1)).cast("bigint")
-            key = key.bitwiseOR(F.shiftleft(one, bit * len(cols) + i))
-    return ranked.withColumn(name, key).drop(*numeric, *ranks)
-
-
 def compact_table(
     spark: SparkSession,
     path: str,
     out: str,
-    zorder_cols: Sequence[str],
-    target_files: int,
-    bits: int = 10,
+    cluster_by: Sequence[str],
     partition_by: Sequence[str] = (),
+    file_bytes: int = 512 << 20,
 ) -> None:
-    """Rewrite a table clustered by the interleaved key into about ``target_files`` range-partitioned files.
+    """Rewrite a table range-partitioned and sorted by ``cluster_by`` (at most four columns) into files of about
+    ``file_bytes``, so that file and row-group statistics skip. A partitioned table keeps its partition columns.
 
-    A row hash is the last range column, so rows that share one key can fill several files. A partitioned
-    table keeps its partition columns.
+    A row hash is the last range column, so rows that share one key can fill several files.
     """
+    if not 1 <= len(cluster_by) <= 4:
+        raise ValueError("between one and four clustering columns")
+    fs, location = _path(spark, path)
+    files = max(1, -(-fs.getContentSummary(location).getLength() // file_bytes))
     rows = spark.read.parquet(path)
-    keyed = zorder_key(rows, zorder_cols, bits).withColumn("_h", F.xxhash64(*rows.columns))
-    clustered = keyed.repartitionByRange(target_files, *partition_by, "_z", "_h").sortWithinPartitions(*partition_by, "_z")
-    writer = clustered.drop("_z", "_h").write.mode("overwrite")
+    order = [*partition_by, *cluster_by]
+    spread = rows.withColumn("_h", F.xxhash64(*rows.columns)).repartitionByRange(files, *order, "_h")
+    writer = spread.sortWithinPartitions(*order).drop("_h").write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(out)
 
 
-def layout_job(
-    spark: SparkSession,
-    tables: dict[str, tuple],
-    out_root: str,
-    target_files: int = 8,
-) -> DataFrame:
+def layout_job(spark: SparkSession, tables: dict[str, tuple], out_root: str, file_bytes: int = 512 << 20) -> DataFrame:
     """Compact each listed table (``name -> (path, clustering columns[, partition columns])``).
 
     Missing tables are skipped. Returns ``table_name, status, message``.
@@ -220,8 +225,7 @@ def layout_job(
             report.append((name, "skipped", "missing"))
             continue
         try:
-            partitions = partition_by[0] if partition_by else ()
-            compact_table(spark, path, f"{out_root}/{name}", cols, target_files, partition_by=partitions)
+            compact_table(spark, path, f"{out_root}/{name}", cols, partition_by[0] if partition_by else (), file_bytes)
             report.append((name, "success", ""))
         except Exception as error:  # noqa: BLE001  one failing table must not stop the list
             report.append((name, "failed", str(error).splitlines()[0]))
@@ -230,7 +234,11 @@ def layout_job(
 
 def analyze_table(spark: SparkSession, name: str, cols: Sequence[str]) -> None:
     """Refresh table and column statistics of a catalog table."""
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(cols)}")
+    def quoted(part: str) -> str:
+        return "`" + part.replace("`", "``") + "`"
+
+    table = ".".join(map(quoted, name.split(".")))
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(map(quoted, cols))}")
 
 
 AUDIT = (

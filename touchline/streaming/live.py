@@ -28,15 +28,16 @@ def stream_upsert(
     keys: Sequence[str],
     checkpoint: str,
     partition_by: Sequence[str] = (),
+    version: str | None = None,
 ) -> StreamingQuery:
     """Load all available raw rows batch by batch into an upserted table.
 
     ``transform`` must leave one row per key. A replayed batch writes the same rows, so the table is
-    the same after a restart.
+    the same after a restart. ``version`` names a column by which an older row never replaces a newer one.
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        upsert_table(transform(batch), path, keys, partition_by)
+        upsert_table(transform(batch), path, keys, partition_by, version=version)
 
     return (
         stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
