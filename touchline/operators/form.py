@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import points
-from touchline.operators.ordered import DEFAULT_SKEW, Skew, with_lookback
+from touchline.operators.ordered import Skew, with_lookback
 
 MATCH_ORDER = ("match_date", "fixture_id")
 
@@ -20,7 +20,7 @@ def rolling_form(
     by: Sequence[str] = ("team_id",),
     by_venue: bool = False,
     order: Sequence[str] = MATCH_ORDER,
-    skew: Skew | None = DEFAULT_SKEW,
+    skew: Skew | None = None,
 ) -> DataFrame:
     """Results of the last ``n`` played matches of each team.
 
@@ -59,10 +59,11 @@ def days_since_last(
     by: Sequence[str] = ("team_id",),
     order: Sequence[str] = MATCH_ORDER,
     name: str = "rest_days",
+    skew: Skew | None = None,
 ) -> DataFrame:
     """Days since the key's previous row; NULL for its first."""
     return with_lookback(
-        team_rows, by, order, 1, {name: lambda w: F.date_diff(F.col(order[0]), F.lag(order[0]).over(w))}, []
+        team_rows, by, order, 1, {name: lambda w: F.date_diff(F.col(order[0]), F.lag(order[0]).over(w))}, [], skew=skew
     )
 
 
@@ -71,12 +72,13 @@ def odds_movement(
     by: Sequence[str] = ("fixture_id", "bookmaker_id", "outcome"),
     order: Sequence[str] = ("ts", "quote_id"),
     price: str = "odd",
+    skew: Skew | None = None,
 ) -> DataFrame:
     """Previous price and change of each quote, and the opening price of its series.
 
     The opening price is a per-key minimum by order, so it comes from a partial aggregate.
     """
-    moved = with_lookback(quotes, by, order, 1, {"previous_odd": lambda w: F.lag(price).over(w)}, [price])
+    moved = with_lookback(quotes, by, order, 1, {"previous_odd": lambda w: F.lag(price).over(w)}, [price], skew=skew)
     bounds = quotes.groupBy(*by).agg(
         F.min(F.struct(*order, price)).getField(price).alias("opening_odd"),
         F.max(F.struct(*order, price)).getField(price).alias("closing_odd"),

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.ordered import DEFAULT_SKEW, Skew, with_lookback
+from touchline.operators.ordered import Skew, join_safe, with_lookback
+from touchline.session import stored
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
@@ -17,13 +18,13 @@ def scd2_apply(
 ) -> DataFrame:
     """Apply one key-unique snapshot to a history: close changed rows, open new ones.
 
-    Keys missing from the snapshot stay open. Only the current rows take part in the join, which has
+    Keys missing from the snapshot stay open; NULL keys are equal. Only the current rows take part in the join, which has
     at most one match per key on either side.
     """
     current = history.filter("is_current")
     closed = history.filter(~F.col("is_current"))
     fresh = snapshot.select(*keys, F.struct(*check_cols).alias("_new"))
-    compared = current.join(fresh, [*keys], "left").withColumn(
+    compared = join_safe(current, fresh, keys, "left").withColumn(
         "_changed", F.col("_new").isNotNull() & ~F.struct(*check_cols).eqNullSafe(F.col("_new"))
     )
     kept = compared.withColumns(
@@ -34,7 +35,7 @@ def scd2_apply(
     ).select(*history.columns)
     same = current.select(*keys, F.struct(*check_cols).alias("_old"))
     opened = (
-        snapshot.join(same, [*keys], "left")
+        join_safe(snapshot, same, keys, "left")
         .filter(F.col("_old").isNull() | ~F.struct(*check_cols).eqNullSafe(F.col("_old")))
         .select(
             *[c for c in history.columns if c not in VALIDITY],
@@ -51,7 +52,7 @@ def scd2_from_log(
     keys: Sequence[str],
     check_cols: Sequence[str],
     order: Sequence[str],
-    skew: Skew | None = DEFAULT_SKEW,
+    skew: Skew | None = None,
 ) -> DataFrame:
     """Rebuild the intervals from a full log of observations.
 
@@ -72,6 +73,8 @@ def scd2_from_log(
         skew=skew,
     )
     changes = marked.filter("_changed").drop("_changed", "_state")
+    if skew is not None:
+        changes = stored(changes, "changes")  # the second pass would repeat the first one's counts
     bounded = with_lookback(
         changes, keys, order, 1, {"valid_to": lambda w: F.lag(order[0]).over(w)}, [], descending=True, skew=skew
     )

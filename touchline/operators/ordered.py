@@ -4,8 +4,9 @@ A window puts every row of a key into one task. With a :class:`Skew` the rows of
 into consecutive chunks of bounded size, each chunk receives as seed rows exactly the earlier rows it
 needs, and the window runs per (key, chunk). Which keys are hot is a partially aggregated table inside
 the same plan, as long as it needs to be: nothing is counted while the plan is built, nothing is
-collected, and the planner picks the joins. ``skew=None`` is the plain window, for keys that are
-bounded by nature.
+collected, and the planner picks the joins. Without one they are a plain window: one shuffle. That is
+the default, for keys that are bounded by nature: a team plays once a day at most, so its rows follow the
+calendar and not the size of the table.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ class Skew:
 DEFAULT_SKEW = Skew()
 
 
-def _join_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+def join_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
     """Equi-join on ``cols`` that also matches NULL keys."""
     keyed = right.select(
         *[F.col(c).alias(f"_j_{c}") for c in cols], *[F.col(c) for c in right.columns if c not in cols]
@@ -59,7 +60,7 @@ def hot_days(df: DataFrame, by: Sequence[str], hot: DataFrame, day: str, skew: S
     Consecutive days share a chunk until it holds ``rows_per_chunk`` rows; the day that crosses the
     bound closes the chunk, so a chunk without a big day stays below twice the bound.
     """
-    cells = _join_safe(df.select(*by, day), hot, by, "left_semi").groupBy(*by, day).agg(F.count(F.lit(1)).alias("_n"))
+    cells = join_safe(df.select(*by, day), hot, by, "left_semi").groupBy(*by, day).agg(F.count(F.lit(1)).alias("_n"))
     group = F.floor(F.coalesce(F.sum("_n").over(_before(by, day)), F.lit(0)) / skew.rows_per_chunk)
     label = F.min(day).over(Window.partitionBy(*by, "_g"))
     sized = cells.withColumn("_g", group).withColumn("_label", label)
@@ -88,7 +89,7 @@ def with_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], skew: Sk
     """
     hot = hot_keys(df, by, skew)
     rows = df.withColumn("_day", F.col(order[0]).cast("date"))
-    rows = _join_safe(rows, hot_days(rows, by, hot, "_day", skew), [*by, "_day"], "left")
+    rows = join_safe(rows, hot_days(rows, by, hot, "_day", skew), [*by, "_day"], "left")
     kinds = [df.schema[c].dataType for c in order[:2]]
     if isinstance(kinds[0], T.TimestampType | T.TimestampNTZType):
         fine = F.unix_seconds(F.col(order[0]).cast("timestamp"))
@@ -102,7 +103,7 @@ def with_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], skew: Sk
     )
     part = F.floor(F.coalesce(F.sum("_n").over(_before([*by, "_day"], "_fine")), F.lit(0)) / skew.rows_per_chunk)
     cut = cells.select(*by, "_day", "_fine", part.alias("_part"))
-    rows = _join_safe(rows, cut, [*by, "_day", "_fine"], "left")
+    rows = join_safe(rows, cut, [*by, "_day", "_fine"], "left")
     return rows.withColumn("_chunk", _chunk_of("_day", F.col("_part"))).drop(
         "_day", "_label", "_parts", "_fine", "_part"
     )
@@ -149,7 +150,7 @@ def with_lookback(
     columns: Mapping[str, Callable[[WindowSpec], Column]],
     needs: Sequence[str],
     descending: bool = False,
-    skew: Skew | None = DEFAULT_SKEW,
+    skew: Skew | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``n`` rows back along ``order`` within each key.
 
@@ -200,7 +201,7 @@ def asof_join(
     tiebreak: Sequence[str] = (),
     strict: bool = True,
     matched_ts: str | None = None,
-    skew: Skew | None = DEFAULT_SKEW,
+    skew: Skew | None = None,
 ) -> DataFrame:
     """Left rows with the ``values`` of the latest right row of the same key before them.
 
@@ -249,7 +250,7 @@ def _asof_chunks(
     a partial aggregate, goes on to other chunks. With timestamps a big day is cut by second instead.
     """
     rows = merged.withColumn("_day", F.col("_ts").cast("date"))
-    rows = _join_safe(rows, hot_days(rows, by, hot, "_day", skew), [*by, "_day"], "left")
+    rows = join_safe(rows, hot_days(rows, by, hot, "_day", skew), [*by, "_day"], "left")
     is_left = F.col("_left").isNotNull()
     if isinstance(merged.schema["_ts"].dataType, T.DateType):
         spread = F.pmod(F.xxhash64("_left"), F.greatest(F.col("_parts"), F.lit(1)))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.operators.ordered import dedup_latest
+
 
 def outside(df: DataFrame, columns: Sequence[str], low: float, high: float) -> DataFrame:
     """Rows with any of ``columns`` outside [low, high]; NULL passes."""
@@ -131,3 +134,20 @@ def run_checks(checks: Mapping[str, DataFrame]) -> DataFrame:
     for row in rows[1:]:
         out = out.unionByName(row)
     return out
+
+
+def dedup_tables(tables: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The latest row per key of each listed table (``name -> (rows, keys, order)``), and a report with ``table_name``,
+    ``kept`` and ``removed`` rows."""
+    kept, reports = {}, []
+    for name, (rows, keys, order) in tables.items():
+        kept[name] = dedup_latest(rows, keys, order)
+        # Counted by key, so that no row but its key is shuffled a second time.
+        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        reports.append(
+            sizes.agg(
+                F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("kept"),
+                F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("removed"),
+            )
+        )
+    return kept, reduce(DataFrame.unionByName, reports)

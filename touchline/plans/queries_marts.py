@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.operators import aggregates, elo, flatten, form, history, joins
-from touchline.operators.ordered import asof_join, latest_snapshot
+from touchline.operators.ordered import DEFAULT_SKEW, asof_join, latest_snapshot
 from touchline.plans import marts, testbed
 from touchline.plans.catalog import query
 from touchline.plans.sqltext import FX, LINES, PREDS, QUOTES, SEASONS, TEAMS, with_
@@ -35,13 +35,13 @@ FORM_OUT = ["fixture_id", "team_id", *marts.FORM]
 
 @query("team_form", with_(TEAMS, body=f"SELECT fixture_id, team_id, {_form_columns(WINDOW_AFTER)} FROM pr"))
 def team_form(spark, sf):
-    rows = form.rolling_form(marts.played_rows(testbed.fixtures(spark, sf)), 5, "after")
+    rows = form.rolling_form(marts.played_rows(testbed.fixtures(spark, sf)), 5, "after", skew=DEFAULT_SKEW)
     return _rounded(rows, "goals_scored_avg_5", "goals_conceded_avg_5").select(*FORM_OUT)
 
 
 @query("team_form_before", with_(TEAMS, body=f"SELECT fixture_id, team_id, {_form_columns(WINDOW_BEFORE)} FROM pr"))
 def team_form_before(spark, sf):
-    rows = form.rolling_form(marts.played_rows(testbed.fixtures(spark, sf)), 5, "before")
+    rows = form.rolling_form(marts.played_rows(testbed.fixtures(spark, sf)), 5, "before", skew=DEFAULT_SKEW)
     return _rounded(rows, "goals_scored_avg_5", "goals_conceded_avg_5").select(*FORM_OUT)
 
 
@@ -75,7 +75,7 @@ def venue_form(spark, sf):
     ),
 )
 def rest_days(spark, sf):
-    rows = form.days_since_last(marts.played_rows(testbed.fixtures(spark, sf)))
+    rows = form.days_since_last(marts.played_rows(testbed.fixtures(spark, sf)), skew=DEFAULT_SKEW)
     return rows.select("fixture_id", "team_id", "rest_days")
 
 
@@ -97,7 +97,7 @@ def odds_movement(spark, sf):
     rows = testbed.quotes(spark, sf).select(
         "fixture_id", "bookmaker_id", "outcome", "odd", c("day").alias("ts"), quote_id.alias("quote_id")
     )
-    return form.odds_movement(rows).drop("ts").withColumn("odd_change", F.round("odd_change", 6))
+    return form.odds_movement(rows, skew=DEFAULT_SKEW).drop("ts").withColumn("odd_change", F.round("odd_change", 6))
 
 
 # --- ratings --------------------------------------------------------------------------------------
@@ -428,7 +428,8 @@ def asof_non_strict(spark, sf):
     played = marts.played_rows(fixtures).select("team_id", "match_date", c("fixture_id").alias("source_fixture"))
     asked = flatten.to_team_rows(fixtures).select("fixture_id", "team_id", "match_date")
     return asof_join(
-        asked, played, ["team_id"], "match_date", "match_date", ["source_fixture"], ["source_fixture"], strict=False
+        asked, played, ["team_id"], "match_date", "match_date", ["source_fixture"], ["source_fixture"], strict=False,
+        skew=DEFAULT_SKEW,
     ).drop("match_date")
 
 
@@ -533,7 +534,7 @@ FROM lo WHERE rn=1 OR po IS DISTINCT FROM outcome""",
 )
 def scd2_from_log(spark, sf):
     log = marts.played_rows(testbed.fixtures(spark, sf)).select("team_id", "match_date", "fixture_id", "outcome")
-    return history.scd2_from_log(log, ["team_id"], ["outcome"], ["match_date", "fixture_id"]).drop("match_date")
+    return history.scd2_from_log(log, ["team_id"], ["outcome"], ["match_date", "fixture_id"], DEFAULT_SKEW).drop("match_date")
 
 
 @query(
@@ -566,27 +567,26 @@ def _season_end(season: int):
         TEAMS,
         SEASONS,
         """
-a AS (SELECT team_id, position, points FROM st WHERE season=1999),
-b AS (SELECT team_id, position, points FROM st WHERE season=2000),
-ch AS (SELECT b.* FROM b LEFT JOIN a USING (team_id) WHERE a.team_id IS NULL OR a.position<>b.position OR a.points<>b.points)""",
-        body="""SELECT team_id, position, points, DATE '1999-12-31' AS valid_from,
-  CASE WHEN team_id IN (SELECT team_id FROM ch) THEN DATE '2000-12-31' END AS valid_to,
-  team_id NOT IN (SELECT team_id FROM ch) AS is_current FROM a
-UNION ALL SELECT team_id, position, points, DATE '2000-12-31', NULL, true FROM ch""",
+sn AS (SELECT team_id, season, position, points, lag((position, points)) OVER (PARTITION BY team_id ORDER BY season) AS old FROM st),
+ch AS (SELECT team_id, season, position, points FROM sn WHERE old IS NULL OR old <> (position, points))""",
+        body="""SELECT team_id, position, points, make_date(season, 12, 31) AS valid_from,
+  make_date(lead(season) OVER w, 12, 31) AS valid_to, lead(season) OVER w IS NULL AS is_current
+FROM ch WINDOW w AS (PARTITION BY team_id ORDER BY season)""",
     ),
 )
 def scd2_apply(spark, sf):
-    table = testbed.season_standings(spark, sf)
-    start = table.filter(c("season") == 1999).select(
-        "team_id",
-        "position",
-        "points",
-        _season_end(1999).alias("valid_from"),
-        F.lit(None).cast("date").alias("valid_to"),
-        F.lit(True).alias("is_current"),
-    )
-    snapshot = table.filter(c("season") == 2000).select("team_id", "position", "points")
-    return history.scd2_apply(start, snapshot, ["team_id"], ["position", "points"], _season_end(2000))
+    """The standings of every season applied in order to a stored history."""
+    table = stored(testbed.season_standings(spark, sf).select("season", "team_id", "position", "points"), "standings")
+    kept = None
+    for season in sorted(r.season for r in table.select("season").distinct().collect()):
+        snapshot = table.filter(c("season") == season).drop("season")
+        if kept is None:
+            day = _season_end(season).alias("valid_from")
+            kept = snapshot.select("*", day, F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
+        else:
+            kept = history.scd2_apply(kept, snapshot, ["team_id"], ["position", "points"], _season_end(season))
+        kept = stored(kept, "standings-history")
+    return kept
 
 
 @query(

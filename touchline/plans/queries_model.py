@@ -261,11 +261,11 @@ def serve_today(spark, sf):
 
 @query(
     "upcoming_fixtures",
-    with_(FX, QUOTES, body=f"""SELECT fixture_id, match_date, status, fixture_id IN (SELECT fixture_id FROM q WHERE outcome='Home') AS has_prediction
+    with_(FX, PREDS, body=f"""SELECT fixture_id, match_date, status, fixture_id IN (SELECT fixture_id FROM p WHERE confidence<>'low') AS has_prediction
 FROM fx WHERE match_date>={_DAY} AND result IS NULL"""),
 )
 def upcoming_fixtures(spark, sf):
-    known = testbed.quotes(spark, sf).filter(c("outcome") == "Home")
+    known = testbed.predictions(spark, sf).filter(c("confidence") != "low")
     rows = serving.upcoming(testbed.fixtures(spark, sf), known, _day())
     return rows.select("fixture_id", "match_date", "status", "has_prediction")
 
@@ -286,8 +286,9 @@ def serve_standings(spark, sf):
 ORDER BY match_date DESC, fixture_id DESC LIMIT 1"""),
 )
 def serve_team_form(spark, sf):
-    form = marts.team_form(testbed.fixtures(spark, sf))
-    return serving.team_form(form, 105).select("team_id", "fixture_id", "match_date", "form_string")
+    # Only the team's own matches are read into the windows.
+    mine = testbed.fixtures(spark, sf).filter((c("home_team_id") == 105) | (c("away_team_id") == 105))
+    return serving.team_form(marts.team_form(mine), 105).select("team_id", "fixture_id", "match_date", "form_string")
 
 
 @query("serve_model_metrics", with_(FX, PREDS, _AUC, _METRICS, body="SELECT model_version, log_loss, accuracy, roc_auc, total_predictions FROM mp"))
@@ -303,6 +304,19 @@ def serve_history(spark, sf):
     return serving.history(_resolved(spark, sf))
 
 
+@query("serve_latest_predictions", with_(FX, PREDS, body=f"SELECT {_COLS} FROM p ORDER BY match_date DESC, fixture_id DESC LIMIT 25"))
+def serve_latest_predictions(spark, sf):
+    return _served(serving.latest_predictions(testbed.predictions(spark, sf), 25))
+
+
+@query(
+    "serve_next_matches",
+    with_(FX, body=f"SELECT fixture_id, match_date, status FROM fx WHERE match_date>={_DAY} AND result IS NULL ORDER BY match_date, fixture_id LIMIT 10"),
+)
+def serve_next_matches(spark, sf):
+    return serving.next_matches(testbed.fixtures(spark, sf), _day(), 10).select("fixture_id", "match_date", "status")
+
+
 _DOCUMENT = """
 fs AS (SELECT team_id, match_date, fixture_id, string_agg(outcome, '') OVER (PARTITION BY team_id ORDER BY match_date, fixture_id
     ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS form FROM pr),

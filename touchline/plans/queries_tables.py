@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from touchline.operators.ordered import dedup_latest
+from touchline.operators import quality
 from touchline.plans import lifecycle, silver, testbed
 from touchline.plans.catalog import query
 from touchline.plans.sqltext import FX, PREDS, QUOTES, TEAMS, with_
@@ -389,20 +389,19 @@ def run_step_audit(spark, sf):
 
 @query(
     "dedup_tables",
-    with_(QUOTES, body="""SELECT 'odds' AS table_name, count(*) AS kept FROM (SELECT DISTINCT fixture_id, bookmaker_id, outcome FROM q)
-UNION ALL SELECT 'injuries', count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)"""),
+    with_(QUOTES, body="""SELECT 'odds' AS table_name, count(*) AS kept, CAST(sum(n)-count(*) AS BIGINT) AS removed
+  FROM (SELECT count(*) AS n FROM q GROUP BY fixture_id, bookmaker_id, outcome)
+UNION ALL SELECT 'injuries', count(*), CAST(sum(n)-count(*) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey)"""),
 )
 def dedup_tables(spark, sf):
     """Each listed table keeps its latest row per key by load time."""
-    specs = {
-        "odds": (testbed.quotes(spark, sf).withColumnRenamed("day", "_loaded_at"), ["fixture_id", "bookmaker_id", "outcome"]),
-        "injuries": (testbed.table(spark, sf, "lineitem").withColumnRenamed("l_shipdate", "_loaded_at"), ["l_orderkey", "l_partkey"]),
-    }
-    out = None
-    for name, (rows, keys) in specs.items():
-        kept = dedup_latest(rows, keys, ["_loaded_at"]).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("kept"))
-        out = kept if out is None else out.unionByName(kept)
-    return out
+    lines = testbed.table(spark, sf, "lineitem").withColumnRenamed("l_shipdate", "_loaded_at")
+    kept, report = quality.dedup_tables({
+        "odds": (testbed.quotes(spark, sf).withColumnRenamed("day", "_loaded_at"), ["fixture_id", "bookmaker_id", "outcome"], ["_loaded_at"]),
+        "injuries": (lines, ["l_orderkey", "l_partkey"], ["_loaded_at"]),
+    })
+    counts = [rows.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("kept")) for n, rows in kept.items()]
+    return report.drop("kept").join(counts[0].unionByName(counts[1]), "table_name")
 
 
 _RAW = {

@@ -44,13 +44,25 @@ def team_form(form: DataFrame, team_id: int) -> DataFrame:
     return rows.agg(last.alias("m")).filter(F.col("m").isNotNull()).select("m.row.*")
 
 
-def history(resolved: DataFrame) -> DataFrame:
-    """Past predictions with the actual result, newest first."""
-    return (
+def latest_predictions(predictions: DataFrame, n: int) -> DataFrame:
+    """The ``n`` predictions of the latest match days: every task keeps n rows before they meet."""
+    return predictions.orderBy(F.desc("match_date"), F.desc("fixture_id")).limit(n)
+
+
+def next_matches(fixtures: DataFrame, as_of: Column, n: int) -> DataFrame:
+    """The next ``n`` open matches from ``as_of`` on."""
+    ahead = fixtures.filter((F.col("match_date") >= as_of) & F.col("result").isNull())
+    return ahead.orderBy("match_date", "fixture_id").limit(n)
+
+
+def history(resolved: DataFrame, n: int | None = None) -> DataFrame:
+    """Past predictions with the actual result, newest first; the newest ``n`` if given."""
+    rows = (
         resolved.filter(F.col("actual_result").isNotNull())
         .select("fixture_id", "match_date", "model_version", "predicted_result", "actual_result", "was_correct")
         .orderBy(F.desc("match_date"), F.desc("fixture_id"))
     )
+    return rows if n is None else rows.limit(n)
 
 
 def prediction_document(rows: DataFrame) -> DataFrame:
