@@ -36,22 +36,28 @@ WORD_BREAK = r"[^\p{L}\p{N}']+"
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != "")
+    """Words in lower case; an empty one may stand at either end and is no term."""
+    return F.split(F.lower(text), WORD_BREAK)
 
 
-def _marks(text: Column, words: Column) -> Column:
+def _marks(text: Column, words: Column, distinct: Column) -> Column:
     """Marks of shape that count as terms (no word starts with ``#``)."""
-    n = F.greatest(F.size(words), F.lit(1))
+    n = F.size(words)
     marks = (
         ("#symbols", F.regexp_count(text, F.lit(r"[#*$%&|<>!=_~^]")) > 0.2 * n),
-        ("#capitals", F.regexp_count(text, F.lit(r"\p{Lu}")) > 0.5 * F.regexp_count(text, F.lit(r"\p{L}"))),
-        ("#repeats", F.size(F.array_distinct(words)) < 0.3 * n),
+        ("#capitals", F.regexp_count(text, F.lit(r"\p{Lu}")) > 0.4 * F.char_length(text)),
+        ("#repeats", F.size(distinct) < 0.3 * n),
     )
     return F.filter(F.array(*[F.when(test, F.lit(name)) for name, test in marks]), lambda x: x.isNotNull())
 
 
 def _terms(text: Column) -> Column:
-    return let(_words(text), lambda w: F.concat(F.array_distinct(w), _marks(text, w)))
+    """The distinct words and marks of a text."""
+
+    def of(words: Column) -> Column:
+        return let(F.array_distinct(words), lambda d: F.concat(d, _marks(text, words, d)))
+
+    return F.filter(let(_words(text), of), lambda t: t != "")
 
 
 @dataclass(frozen=True)
@@ -71,8 +77,7 @@ class DomainModel:
             known = F.array(*[F.lit(t) for t in names])
             weights = F.array(*[F.array(*[F.lit(float(x)) for x in self.terms[t]]) for t in names])
             table = F.map_from_arrays(known, weights)
-            present = let(_words(text), lambda w: F.concat(F.array_intersect(w, known), F.array_intersect(_marks(text, w), known)))
-            scores = F.aggregate(present, start, lambda a, t: F.zip_with(a, F.element_at(table, t), lambda x, y: x + y))
+            scores = F.aggregate(F.array_intersect(_terms(text), known), start, lambda a, t: F.zip_with(a, F.element_at(table, t), lambda x, y: x + y))
 
         def softmax(s: Column) -> Column:
             top = F.array_max(s)
@@ -157,7 +162,10 @@ def _largest_eigenvalue(matrix: list[list[float]]) -> float:
 
 
 def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None, most_steps: int = 40, tolerance: float = 1e-4) -> RateFit:
-    """``rows``: ``n_tokens`` and ``posteriors``. ``total``: tokens wanted in all (as many as there are, if not given)."""
+    """``rows``: ``n_tokens`` and ``posteriors``. ``total``: tokens wanted in all (as many as there are, if not given).
+
+    Ends when the largest miss is below ``tolerance`` of all tokens, or when a step changes it by less than that.
+    """
     k = range(len(weights))
     p = [F.get("posteriors", F.lit(i)) for i in k]
     sums = rows.agg(
@@ -181,7 +189,7 @@ def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None,
         miss = [(got[f"s{i}"] - want[i]) if scale[i] else 0.0 for i in k]
         worst = max(abs(x) for x in miss) / sum(want)
         fit = RateFit(fit.steps, [*fit.residuals, worst])
-        if worst < tolerance or (len(fit.residuals) > 1 and abs(fit.residuals[-2] - worst) < 0.1 * tolerance):
+        if worst < tolerance or (len(fit.residuals) > 1 and abs(fit.residuals[-2] - worst) < tolerance):
             break
         fit = RateFit([*fit.steps, tuple(scale[i] * miss[i] / largest for i in k)], fit.residuals)
     return fit
@@ -190,7 +198,7 @@ def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None,
 def _columns(docs: DataFrame, labels: DataFrame) -> tuple[DomainModel, Column, Column]:
     """The classifier, a column of tokens (white-space words) and one of posteriors."""
     model, text = fit_domains(docs, labels), text_or_empty()
-    return model, F.size(F.filter(F.split(text, r"\s+"), lambda w: w != "")).cast("long"), model.posteriors(text)
+    return model, F.regexp_count(text, F.lit(r"\S+")).cast("long"), model.posteriors(text)
 
 
 def _key(seed: int) -> Column:
