@@ -154,17 +154,19 @@ def elo_by_period(
 ) -> str:
     """The same ratings folded one calendar period at a time; returns the path of the rated matches.
 
-    Each period's matches and the ratings after it are written tables, so a lost executor costs one
+    The played matches are stored once, partitioned by period, so each step reads its own folder. Each
+    period's matches and the ratings after it are written tables, so a lost executor costs one
     period and a task never folds more than that. Only the distinct periods reach the driver.
     """
     spark = fixtures.sparkSession
     path = path or scratch_path(spark, "elo")
-    started = F.trunc("match_date", period)
-    played = fixtures.filter(F.col("result").isNotNull())
-    periods = [row.p for row in played.select(started.alias("p")).distinct().orderBy("p").toLocalIterator()]
+    played = fixtures.filter(F.col("result").isNotNull()).withColumn("_period", F.trunc("match_date", period))
+    played.write.partitionBy("_period").parquet(f"{path}/played")
+    played = spark.read.schema(played.schema).parquet(f"{path}/played")
+    periods = [row[0] for row in played.select("_period").distinct().orderBy("_period").toLocalIterator()]
     state = None
     for first_day in periods:
-        rated = elo_ratings(played.filter(started == F.lit(first_day)), pool, rule, k, state)
+        rated = elo_ratings(played.filter(F.col("_period") == F.lit(first_day)), pool, rule, k, state)
         rated.write.mode("append").parquet(f"{path}/matches/period={first_day}")
         fresh = current_ratings(spark.read.schema(RATINGS).parquet(f"{path}/matches/period={first_day}"))
         merged = fresh if state is None else state.join(fresh, ["pool", "team_id"], "left_anti").unionByName(fresh)
@@ -193,6 +195,8 @@ def elo_by_matchday(
     twice = teams.groupBy("pool", "match_date", "team_id").count().filter("count > 1")
     if not twice.isEmpty():
         raise ValueError("a team plays twice on one day; use elo_ratings")
+    matches.write.partitionBy("match_date").parquet(f"{path}/played")
+    matches = spark.read.schema(matches.schema).parquet(f"{path}/played")
     days = [row.match_date for row in matches.select("match_date").distinct().orderBy("match_date").toLocalIterator()]
     state = spark.createDataFrame([], STATE)
     for day in days:

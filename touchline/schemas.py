@@ -12,6 +12,7 @@ RAW = (
     "_batch_id STRING, _source_endpoint STRING"
 )
 
+# The payloads of the feeds, field by field as they come.
 FIXTURE = (
     "fixture STRUCT<id: BIGINT, date: STRING, referee: STRING, status: STRUCT<short: STRING>,"
     " venue: STRUCT<name: STRING>>,"
