@@ -228,6 +228,8 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS,
     model, tokens, posteriors = _columns(docs, labels)
     rows = staged(docs.select(tokens.alias("n_tokens"), posteriors.alias("posteriors")), "posteriors")
     fit = fit_rates(rows, [weights[d] for d in model.domains], total)
-    rated = docs.withColumn("__p", posteriors).withColumn("__rate", fit.rate(F.col("__p")))
+    # The rate is bound by name and sits in a one-element explode: else the optimiser would put the posteriors into every
+    # step of the fold, and the rate a second time into the filter on it.
+    rated = docs.select("*", F.explode(F.array(let(posteriors, fit.rate))).alias("__rate"))
     copies = rated.withColumn("__copies", _copies("__rate", _key(seed))).where("__copies > 0")
     return copies.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
