@@ -71,7 +71,8 @@ def repeated_windows(docs: DataFrame, min_lines: int) -> DataFrame:
 def repeated_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     """Per document with deletions: ``__doc``, ``__text`` and ``removed``, the ordered numbers of its deleted lines."""
     windows = repeated_windows(docs, min_lines)
-    first = windows.groupBy("rank").agg(F.min(F.struct(*POSITION)).alias("first"))
+    # Written, so that the join below shuffles both sides for itself and the planner can split a rank that many share.
+    first = staged(windows.groupBy("rank").agg(F.min(F.struct(*POSITION)).alias("first")), "first-copies")
     later = windows.join(first, "rank").where(F.struct(*POSITION) > F.col("first"))
     covered = later.select(
         "__doc", "__text", "first", F.explode(F.sequence(F.col("__line"), F.col("__line") + (min_lines - 1))).alias("line")

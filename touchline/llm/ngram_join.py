@@ -246,7 +246,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     mark = None
     for _ in range(most_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Written, so that the join shuffles both sides for itself and the planner can split a node with many neighbours.
+        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         far = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         far = staged(far.where("u <> v").distinct(), "edges")
         least = far.groupBy("u").agg(F.min("v").alias("m"))
