@@ -321,6 +321,16 @@ def test_disclosing_terms(make):
     assert "Zebulon" not in clean[0] and "zeb@" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == texts[10]
 
 
+def test_terms_of_an_entity_in_one_text(make):
+    texts = ["the parcel went to Zebulon at zeb@example.org on monday"] + [f"the parcel of client c{i} went out on monday" for i in range(150)]
+    texts += [f"the parcel went to client c{i} at p{i}@example.org on monday" for i in range(50)]
+    rows = {r.doc_id: r for r in pii.spans_report(make(texts)).collect()}
+    a = texts[0].index("Zebulon")
+    assert f"term:{a}:{a + 7}" in rows[0].spans.split(",") and rows[0].spans.count("term") == 1
+    assert not any("term" in rows[i].spans for i in range(1, 201))
+    assert "Zebulon" not in {r.doc_id: r.text for r in pii.sanitise(make(texts)).collect()}[0]
+
+
 def test_pii_edges(odd, no_docs):
     rows = pii.spans_report(odd).collect()
     assert len(rows) == odd.count()

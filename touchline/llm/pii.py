@@ -3,9 +3,9 @@
 Base spans (email, ip, card, phone) are found by pattern. Every value found is a protected entity. The corpus tells which
 terms disclose it: with N documents, p(e) the share that hold e, p(t) the share that hold term t and p(t, e) the share in
 which t stands within ``window`` words of e, the information that t gives about e is PMI(t, e) = log p(t, e) / (p(t) p(e)),
-and what there is to know is IC(e) = -log p(e). A term discloses e when PMI(t, e) >= ``disclosed`` x IC(e) and at least
-``least_texts`` different texts show them together, so that copies of one text prove nothing. Its occurrences beside e
-become spans of kind ``term``. ``sanitise`` replaces identifiers by their kind, generalises disclosing terms to their shape
+and what there is to know is IC(e) = -log p(e). A term discloses e when PMI(t, e) >= ``disclosed`` x IC(e), at any support:
+personal data mostly stands in one text only. p(t) is smoothed by ``smoothing`` documents more than were seen, so a term
+met once tells a little less than one that stands with e many times. Its occurrences beside e become spans of kind ``term``. ``sanitise`` replaces identifiers by their kind, generalises disclosing terms to their shape
 and removes those from ``removed`` x IC(e) on.
 
 Term counts cover all words of all documents; they are aggregated by word hash before they are shuffled and only then
@@ -132,19 +132,18 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(hashed).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_term"))
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, disclosed: float = 0.9, removed: float = 0.98, least_texts: int = 2) -> DataFrame:
+def disclosing_terms(docs: DataFrame, found: DataFrame, disclosed: float = 0.9, removed: float = 0.98, smoothing: float = 0.1) -> DataFrame:
     """``entity``, ``term`` and ``drop`` (remove rather than generalise) of the pairs above the disclosure threshold."""
     beside = found.select("doc_id", "text_key", F.explode("terms").alias("t")).select("doc_id", "text_key", "t.entity", "t.term").distinct()
     total = found.count()
     held = beside.groupBy("entity", "text_key").agg(F.countDistinct("doc_id").alias("n"))
     held = held.groupBy("entity").agg(F.sum("n").alias("n_entity"))
-    pairs = beside.groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts"))
-    pairs = staged(pairs.where(F.col("n_texts") >= least_texts).withColumn("word", F.xxhash64("term")), "term-pairs")
+    pairs = beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    pairs = staged(pairs.withColumn("word", F.xxhash64("term")), "term-pairs")
     joined = pairs.join(_word_counts(docs), "word", "left").join(held, "entity")
     n_term = F.greatest(F.coalesce("n_term", "n_both"), F.col("n_both"))
     known = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    told = F.log(F.col("n_both") / n_term) + known
+    told = F.log(F.col("n_both") / (n_term + smoothing)) + known
     return joined.where(known > 0).where(told >= disclosed * known).select("entity", "term", (told >= removed * known).alias("drop"))
 
 
