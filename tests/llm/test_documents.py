@@ -331,6 +331,19 @@ def test_terms_of_an_entity_in_one_text(make):
     assert "Zebulon" not in {r.doc_id: r.text for r in pii.sanitise(make(texts)).collect()}[0]
 
 
+def test_terms_are_marked_wherever_they_stand(make):
+    filler = "the parcel of the office went out on a monday and the client was told so in the evening"
+    far = f"Li Zebulon wrote first. {filler}. {filler}. The answer is at zeb@example.org now. Zebulon agreed."
+    texts = [far] + [f"{filler}. Dear Zebulon, the answer is late"] * 1
+    texts += [f"{filler}. the answer of client{i} is at p{i % 900}@example.org now, and agreed first wrote {i}" for i in range(2000)]
+    rows = {r.doc_id: r for r in pii.spans_report(make(texts)).collect()}
+    marked = {i: [texts[i][int(a):int(b)] for k, a, b in (s.split(":") for s in rows[i].spans.split(",") if s) if k == "term"] for i in (0, 1)}
+    assert marked[0] == ["Li", "Zebulon", "Zebulon"]  # of two characters, from another sentence, and again
+    assert marked[1] == ["Zebulon"] and rows[1].spans.startswith("term")  # in a text without an identifier
+    clean = {r.doc_id: r.text for r in pii.sanitise(make(texts)).where("doc_id < 2").collect()}
+    assert "Zebulon" not in clean[0] + clean[1] and "Li " not in clean[0] and "the answer is late" in clean[1]
+
+
 def test_pii_edges(odd, no_docs):
     rows = pii.spans_report(odd).collect()
     assert len(rows) == odd.count()
