@@ -20,6 +20,12 @@ def test_every_oracle_has_a_query():
     assert set(catalog.QUERIES) <= set(entry.queries())
 
 
+def test_models_have_the_planned_sizes():
+    from touchline.plans import model, queries_model
+
+    assert queries_model._SIZES == model.StackSizes(500, 12, 500, 6, 8, 0.05, 3)
+
+
 @needs_data
 def test_entry(spark):
     assert sorted(entry.entry(spark).columns) == ["n", "result"]

@@ -179,8 +179,8 @@ def expanding_folds(spark, sf):
     return model.with_fold(known, 3).groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.min("match_date").alias("first_day"))
 
 
-# Small model sizes for the registered runs; the work still covers every match.
-_SIZES = model.StackSizes(trees=10, tree_depth=5, boost_rounds=2, boost_depth=2, second_boost_depth=3, folds=1)
+# The planned full-size run: all base models, trees and rounds, three expanding folds.
+_SIZES = model.StackSizes()
 
 
 def _trained(spark, sf):
