@@ -41,6 +41,24 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@needs_data
+def test_all_statistics_are_returned(spark):
+    from touchline.schemas import STATISTIC_COLUMNS
+
+    rows = entry.queries()["silver_statistics_all"](spark, SF)
+    assert {column for column, _ in STATISTIC_COLUMNS.values()} < set(rows.columns)
+    assert compare(rows, duck(SF), entry.oracle_sql()["silver_statistics_all"]) == ""
+
+
+@needs_data
+def test_all_features_are_loaded(spark):
+    from touchline.schemas import FEATURES
+
+    rows = entry.queries()["feature_load_all"](spark, SF)
+    assert len(FEATURES) == 30 and set(FEATURES) < set(rows.columns)
+    assert compare(rows, duck(SF), entry.oracle_sql()["feature_load_all"]) == ""
+
+
 @needs_data
 @pytest.mark.parametrize("name", ["team_form", "head_to_head", "odds_consensus", "silver_fixtures", "asof_form", "stats_pivot_kv"])
 def test_no_python_in_plans(spark, name):

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from touchline.operators import aggregates, metrics
 from touchline.plans import marts, model, serving, testbed
 from touchline.plans.catalog import query
+from touchline.plans.queries_marts import _FEATURES_SQL as FEATURES_SQL
+from touchline.plans.queries_marts import _rounded as rounded
 from touchline.plans.queries_marts import feature_mart
 from touchline.plans.sqltext import FX, PREDS, QUOTES, SEASONS, TEAMS, with_
+from touchline.schemas import FEATURES
 from touchline.session import scratch_path, stored
 
 c = F.col
@@ -231,6 +234,18 @@ def feature_load(spark, sf):
     return rows.select("fixture_id", "label", c("result").isNotNull().alias("is_train"))
 
 
+@query(
+    "feature_load_all",
+    f"""SELECT fixture_id, CASE result WHEN 'H' THEN CAST(0 AS DOUBLE) WHEN 'D' THEN 1 WHEN 'A' THEN 2 END AS label,
+  result IS NOT NULL AS is_train, {", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in FEATURES)} FROM ({FEATURES_SQL})""",
+)
+def feature_load_all(spark, sf):
+    """All features of the stored mart."""
+    rows = model.feature_rows(stored(feature_mart(spark, sf), "features"))
+    averages = [n for n in FEATURES if n.endswith(("_avg", "_avg_5"))]
+    return rounded(rows, *averages).select("fixture_id", "label", c("result").isNotNull().alias("is_train"), *FEATURES)
+
+
 # --- served tables --------------------------------------------------------------------------------
 
 _COLS = "fixture_id, league_id, season, round, match_date, predicted_result, confidence, model_version"

@@ -206,6 +206,16 @@ def silver_statistics(spark, sf):
     return typed.select("fixture_id", "team_id", "match_date", "shots_on_goal")
 
 
+@query(
+    "silver_statistics_all",
+    with_(TEAMS, body=f"SELECT s.*, pr.match_date FROM ({_statistics_sql(False)}) s JOIN pr USING (fixture_id, team_id)"),
+)
+def silver_statistics_all(spark, sf):
+    """All statistics of the table, with the match date."""
+    typed = silver.with_match_date(silver.statistics(testbed.raw_statistics(spark, sf)), testbed.fixtures(spark, sf))
+    return typed.select("fixture_id", "team_id", "match_date", *[column for column, _ in STATISTIC_COLUMNS.values()])
+
+
 # --- events ---------------------------------------------------------------------------------------
 
 _EVENTS = """
