@@ -17,6 +17,7 @@ from touchline.llm import (
     sharding,
     token_counts,
     token_files,
+    tree_bpe,
 )
 from touchline.llm.common import table, tokenizer
 
@@ -63,11 +64,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_bpe.tree_report(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_token_files, op3_sharding, op4_token_counts, op5_pii, op6_ngram_join, op7_piece_sampling,
-        op8_quality_rules, op9_exact_dedup, op10_mixing,
+        op8_quality_rules, op9_exact_dedup, op10_mixing, op12_tree_bpe,
     )
 }
 
