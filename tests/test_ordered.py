@@ -152,10 +152,19 @@ def test_dedup_and_top_k_use_the_group_limit(spark):
 
 def test_global_row_number(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 5003).alias("k"))
-    numbered = global_row_number(df, ["k"], seed_rows=90).orderBy("k").collect()
+    numbered = global_row_number(df, ["k"]).orderBy("k").collect()
     assert [r.row_no for r in numbered] == list(range(1, 1001))
 
 
+@pytest.mark.parametrize("hot", [0.0, 0.9, 1.0])
+def test_global_row_number_with_one_hot_first_key(spark, hot):
+    df = spark.range(2000).select(F.when(F.col("id") % 100 < hot * 100, 7).otherwise(F.col("id") % 11).alias("k"), "id")
+    df = df.withColumn("id", F.when(F.col("id") != 5, F.col("id")))
+    rows = global_row_number(df.repartition(5), ["k", "id"]).orderBy("row_no").collect()
+    assert [r.row_no for r in rows] == list(range(1, 2001))
+    assert [(r.k, r.id) for r in rows] == sorted(((r.k, r.id) for r in rows), key=lambda x: (x[0], x[1] is not None, x[1] or 0))
+
+
 def test_latest_snapshot_keeps_all_rows(spark):
     df = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (1, 2, 7), (2, 1, 8)], "k INT, ts INT, v INT")
     assert sorted(r.v for r in latest_snapshot(df, ["k"], "ts").collect()) == [6, 7, 8]

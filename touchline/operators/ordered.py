@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.session import stored
+
 
 @dataclass(frozen=True)
 class Skew:
@@ -276,27 +278,22 @@ def _asof_chunks(
     return chunked.filter(~F.col("_carry_only")).drop("_carry_only").unionByName(carried, allowMissingColumns=True)
 
 
-def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_no", seed_rows: int = 200_000) -> DataFrame:
+def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
     """Dense 1..N numbering over the whole table, in ``order`` (a total order), without a single-task sort.
 
-    Rows are dealt into ranges of about ``seed_rows`` rows by quantiles of the first column, whatever its spacing; only
-    the counts per range meet in one task, and their number follows the rows and not the width of the keys.
+    Rows are range-partitioned on the full order, so a first column with few values or one hot value is cut by the next
+    ones. Each task sorts its range and stores every row with its range and its place in it; only the counts per range
+    meet in one task.
     """
-    total = df.count()
-    ranges = max(1, -(-total // seed_rows))
-    cuts = df.agg(F.percentile_approx(order[0], [i / ranges for i in range(1, ranges)] or [0.5], 100 * ranges)).first()[0] if ranges > 1 else []
-    bucket = F.lit(0)
-    if cuts:
-        bounds = F.array(*[F.lit(x) for x in sorted(set(cuts))])
-        bucket = F.size(F.filter(bounds, lambda b: b < F.col(order[0])))
-    keyed = df.withColumn("_bucket", bucket)
-    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_bucket").orderBy(*order)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stored(ranged.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    # The identifier holds the partition above bit 33 and the row's place in it below.
+    placed = placed.withColumns({"_range": F.shiftright("_place", 33), "_place": F.col("_place").bitwiseAND((1 << 33) - 1)})
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (
-        keyed.withColumn("_rn", F.row_number().over(inside))
-        .join(offsets, "_bucket")
-        .withColumn(name, F.col("_offset") + F.col("_rn"))
-        .drop("_bucket", "_rn", "_offset")
+        placed.join(offsets, "_range")
+        .withColumn(name, F.col("_offset") + F.col("_place") + 1)
+        .drop("_range", "_place", "_offset")
     )

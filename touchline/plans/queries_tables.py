@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from touchline.operators import quality
+from touchline.operators import ordered, quality
 from touchline.plans import lifecycle, silver, testbed
 from touchline.plans.catalog import query
 from touchline.plans.sqltext import FX, PREDS, QUOTES, TEAMS, with_
@@ -160,7 +160,7 @@ def plan_requests(spark, sf):
 SELECT fixture_id, (row_number() OVER (ORDER BY fixture_id)-1)//20 AS batch_no FROM fx WHERE status='NS') GROUP BY batch_no"""),
 )
 def batch_keys(spark, sf):
-    return landing.batch_keys(testbed.fixtures(spark, sf).filter(c("status") == "NS"), "fixture_id", seed_rows=500)
+    return landing.batch_keys(testbed.fixtures(spark, sf).filter(c("status") == "NS"), "fixture_id")
 
 
 @query(
@@ -170,7 +170,14 @@ SELECT fixture_id*10000019 AS k, (row_number() OVER (ORDER BY fixture_id)-1)//20
 )
 def batch_sparse_keys(spark, sf):
     keys = testbed.fixtures(spark, sf).select((c("fixture_id") * 10000019).alias("k"))
-    return landing.batch_keys(keys, "k", seed_rows=500)
+    return landing.batch_keys(keys, "k")
+
+
+@query("number_rows", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderstatus, o_orderkey) AS row_no FROM orders")
+def number_rows(spark, sf):
+    """A first order column of few values, each of which holds a large part of all rows."""
+    rows = testbed.table(spark, sf, "orders").select("o_orderstatus", "o_orderkey")
+    return ordered.global_row_number(rows, ["o_orderstatus", "o_orderkey"]).drop("o_orderstatus")
 
 
 @query("date_window", with_(FX, body="SELECT fixture_id, match_date FROM fx WHERE match_date BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'"))

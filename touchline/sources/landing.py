@@ -133,15 +133,15 @@ def plan_requests(
     return wanted if already is None else wanted.join(already, ["fixture_id", "bet_id"], "left_anti")
 
 
-def batch_keys(df: DataFrame, key: str, size: int = 20, sep: str = "-", seed_rows: int = 200_000) -> DataFrame:
+def batch_keys(df: DataFrame, key: str, size: int = 20, sep: str = "-") -> DataFrame:
     """Distinct integer keys packed into full batches of ``size``: ``batch_no, n_keys, ids``.
 
-    Numbered over ranges of about ``seed_rows`` keys, so neither the sort nor a batch grows with the table, and sparse
-    keys make no more ranges than dense ones.
+    Numbered over range partitions, so neither the sort nor a batch grows with the table, and sparse keys make no more
+    ranges than dense ones.
     """
     keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
     return (
-        global_row_number(keys, [key], "row_no", seed_rows)
+        global_row_number(keys, [key])
         .groupBy(F.floor((F.col("row_no") - 1) / F.lit(size)).cast("bigint").alias("batch_no"))
         .agg(F.count(F.lit(1)).alias("n_keys"), F.sort_array(F.collect_list(key)).alias("_ids"))
         .select("batch_no", "n_keys", F.array_join("_ids", sep).alias("ids"))
