@@ -36,11 +36,18 @@ def test_joins_at_any_cut_equal_the_library(segment):
         while max(map(len, parts)) > segment:
             parts = [x for p in parts for x in (p[: len(p) // 2], p[len(p) // 2 :])]
         want = whole.encode(text, add_special_tokens=False).ids
-        assert encoder.encode([text])[0].tolist() == want
-        assert encoder.join_all(encoder.encode(parts)).tolist() == want
+        assert encoder.encode(text).tolist() == want
+        assert encoder.join_all([encoder.encode(p) for p in parts]).tolist() == want
         assert encoder.decode(np.array(want, np.int32)) == whole.decode(want, skip_special_tokens=False)
 
 
+def test_every_character_falls_into_the_same_class():
+    encoder, whole = tree_bpe.TreeEncoder(tokenizer(BYTES)), library()
+    for start in range(0, 0x110000, 0x400):
+        text = "".join(f"a{chr(c)}1 {chr(c)}b {chr(c)}!" for c in range(start, start + 0x400) if not 0xD800 <= c < 0xE000)
+        assert encoder.encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids, hex(start)
+
+
 def digest(text):
     return hashlib.sha256(text.encode()).hexdigest()
 

@@ -8,12 +8,11 @@ encoding of its bytes if every two neighbours are the encoding of theirs, and th
 
 Windows begin and end where the tokenizer's pattern cannot change its mind: between a word and white space after it, or
 inside a word but not before an apostrophe (contractions look ahead). They reach at least as far as the longest added
-token on either side, so a special string that was cut is found again. Below the cuts a text is encoded by units, white
-space with the word after it, whose boundaries the pattern always keeps; the library encodes a unit once per task
-(bounded memo). Equal long texts are cut and encoded once.
+token on either side, so a special string that was cut is found again. Equal long texts are cut and encoded once.
 
-Only tokenizers of this kind are accepted: a byte-level pre-tokenizer with its pattern and no prefix space, no
-normaliser, no post-processing of a single text, no dropout, special strings without white space.
+Parts are encoded by a byte-pair library from the vocabulary of the tokenizer's file. Accepted are files with a byte-level
+pre-tokenizer with its pattern and no prefix space, no normaliser, no dropout, merges in the order of their ids and special
+strings without white space; any other file is refused. Padding, truncation and added special tokens play no part.
 
 Defined cases: a null text counts as empty and has no ids; special strings inside a text are single ids, as by the
 library's default; rows with null or repeated ids are encoded like others; an empty table gives no rows; extra columns
@@ -23,8 +22,6 @@ are ignored.
 from __future__ import annotations
 
 import json
-import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,57 +34,42 @@ from touchline.llm.common import byte_characters, text_or_empty
 
 #: Characters that the tokenizer's pattern takes as white space (Unicode White_Space).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-MEMO_ENTRIES, MEMO_CHARS, BLOCK_CHARS = 400_000, 48, 1 << 20
-SEGMENT = 16_384
+#: The standard pattern of byte-level tokenizers.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+BLOCK_CHARS = 1 << 20
+#: Code points of a part: less than a tenth of a second of work, below which dealing parts out costs more than it saves.
+SEGMENT = 65_536
 LEAST_WINDOW = 16
 
 
 class TreeEncoder:
-    """Ids of texts: units by the library, cuts by growing windows."""
+    """Ids of texts, and of neighbouring texts together by growing windows."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        import tiktoken
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pattern = spec.get("pre_tokenizer") or {}
-        added = [t["content"] for t in spec.get("added_tokens") or []]
-        plain = spec.get("normalizer") is None and not spec["model"].get("dropout")
+        model, pattern = spec["model"], spec.get("pre_tokenizer") or {}
+        added = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
+        plain = model["type"] == "BPE" and not (spec.get("normalizer") or model.get("dropout") or model.get("ignore_merges"))
         if not (plain and pattern.get("type") == "ByteLevel" and pattern.get("use_regex", True) and not pattern.get("add_prefix_space")):
             raise ValueError("not a byte-level tokenizer with the standard pattern")
         if any(set(s) & set(SPACE) for s in added):
-            raise ValueError("a special string with white space can cross units")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.least = max(LEAST_WINDOW, *(len(s.encode()) + 3 for s in added)) if added else LEAST_WINDOW
+            raise ValueError("a special string must not hold white space")
+        merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        if merged != sorted(set(merged)):
+            raise ValueError("merges must be in the order of their ids")
         value = {c: b for b, c in byte_characters().items()}
-        self.bytes_of = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
-        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
-            self.bytes_of[i] = bytes(value[c] for c in token)
-        for i, token in self.tokenizer.get_added_tokens_decoder().items():
-            self.bytes_of[i] = token.content.encode()
-        self.memo: dict[str, np.ndarray] = {}
-
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts by their units."""
-        split = [UNIT.findall(t) for t in texts]
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo = {}
-        memo = self.memo
-        missing = list(set().union(*split).difference(memo))
-        for unit, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            memo[unit] = np.array(e.ids, np.int32).tobytes()
-        out = [np.frombuffer(b"".join(map(memo.__getitem__, units)), np.int32) for units in split]
-        for unit in missing:
-            if len(unit) > MEMO_CHARS:
-                del memo[unit]
-        return out
+        ranks = {bytes(value[c] for c in token): i for token, i in model["vocab"].items()}
+        self.encoding = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+        self.least = max([LEAST_WINDOW, *(len(s.encode()) + 3 for s in added)])
+        self.bytes_of = [b""] * (max([*ranks.values(), *added.values()]) + 1)
+        for b, i in [*ranks.items(), *((s.encode(), i) for s, i in added.items())]:
+            self.bytes_of[i] = b
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, allowed_special="all").astype(np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -137,10 +119,10 @@ class TreeEncoder:
         size = self.least
         while True:
             (i, tail), (j, head) = self._left(left, size), self._right(right, size)
-            middle = self.whole((tail + head).decode())
+            middle = self.encode((tail + head).decode())
             agree = (i == 0 or middle[0] == left[i]) and (j == len(right) or middle[-1] == right[j - 1])
             if agree:
-                return np.concatenate([left[:i], np.array(middle, np.int32), right[j:]])
+                return np.concatenate([left[:i], middle, right[j:]])
             size *= 2
 
     def join_all(self, parts: list[np.ndarray]) -> np.ndarray:
@@ -150,6 +132,17 @@ class TreeEncoder:
         return parts[0] if parts else np.empty(0, np.int32)
 
 
+_ENCODERS: dict[str, TreeEncoder] = {}
+
+
+def _encoder(path: str) -> TreeEncoder:
+    """One encoder per worker process and file."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = TreeEncoder(path)
+    return _ENCODERS[path]
+
+
 def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive blocks of about a megabyte of text."""
     start = 0
@@ -172,12 +165,12 @@ def _encoded(rows: DataFrame, tokenizer: str) -> DataFrame:
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "ids array<int>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TreeEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in _blocks(texts):
                 columns = [batch.column(f.name).slice(a, b - a) for f in kept]
-                yield pa.RecordBatch.from_arrays([*columns, _lists(encoder.encode(texts[a:b]))], names=[*(f.name for f in kept), "ids"])
+                yield pa.RecordBatch.from_arrays([*columns, _lists([encoder.encode(t) for t in texts[a:b]])], names=[*(f.name for f in kept), "ids"])
 
     return rows.mapInArrow(run, schema)
 
@@ -210,22 +203,11 @@ def encode(docs: DataFrame, tokenizer: str, segment: int = SEGMENT) -> DataFrame
     return short.unionByName(long.select("doc_id", "a", "b", "c").join(trees, ["a", "b", "c"]).select("doc_id", "ids"))
 
 
-_ENCODERS: dict[str, TreeEncoder] = {}
-
-
-def _encoder(path: str) -> TreeEncoder:
-    """One encoder per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = TreeEncoder(path)
-    return _ENCODERS[path]
-
-
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id``, ``ids`` and ``text``, the decoded ids (special tokens included); null ids give a null text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TreeEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in batches:
             ids = batch.column("ids")
             values, bounds = ids.values.to_numpy(), ids.offsets.to_numpy()
