@@ -1,4 +1,4 @@
-"""Ratings against a plain fold, resumed runs, and the per-day variant."""
+"""Ratings against a plain fold, resumed runs, slabs, and levels of a day."""
 
 import datetime as dt
 import math
@@ -87,16 +87,35 @@ def test_by_period_gives_the_same(spark, rows):
     assert close(values(spark.read.parquet(path)), plain(rows)[0])
 
 
-def test_by_matchday_gives_the_same(spark, rows):
-    few = [r for r in rows if r[3] < dt.date(2024, 8, 1) or r[3] > dt.date(2025, 5, 1)]
-    path = elo.elo_by_matchday(spark.createDataFrame(few, SCHEMA))
+@pytest.mark.parametrize("rows_per_task", [1, 37, 100_000])
+def test_slabs_of_any_size_give_the_same(spark, rows, rows_per_task):
+    few = rows if rows_per_task > 1 else rows[:24]
+    rated = elo.elo_ratings(spark.createDataFrame(few, SCHEMA), rows_per_task=rows_per_task)
+    assert close(values(rated), plain(few)[0])
+    most = len({r.rsplit("/", 2)[1] for r in rated.inputFiles()})
+    played = [sum(r[1] == pool and r[8] is not None for r in few) for pool in range(3)]
+    assert most == -(-max(played) // rows_per_task)
+
+
+def test_no_matches(spark):
+    assert elo.elo_ratings(spark.createDataFrame([], SCHEMA)).isEmpty()
+
+
+def test_by_level_gives_the_same(spark, rows):
+    """Days on which teams play several times, pools mixed."""
+    few = [(*r[:3], dt.date(2024, 6, 1 + i // 30), *r[4:]) for i, r in enumerate(rows[:90])]
+    path = elo.elo_by_level(spark.createDataFrame(few, SCHEMA))
     assert close(values(spark.read.parquet(path)), plain(few)[0])
 
 
-def test_by_matchday_rejects_two_matches_a_day(spark, rows):
-    twice = [rows[0], (999, *rows[0][1:])]
-    with pytest.raises(ValueError):
-        elo.elo_by_matchday(spark.createDataFrame([(*r[:8], "H", r[9]) for r in twice], SCHEMA))
+def test_levels_are_the_longest_chains(spark, rows):
+    few = [(*r[:3], dt.date(2024, 6, 1), *r[4:]) for r in rows[:80]]
+    matches = spark.createDataFrame(few, SCHEMA).withColumn("pool", F.col("league_id"))
+    got = {r.fixture_id: r.level for r in elo.day_levels(matches).collect()}
+    last, want = {}, {}
+    for fixture, _, _, _, home, away, *_ in sorted(few):
+        want[fixture] = last[home] = last[away] = 1 + max(last.get(home, 0), last.get(away, 0))
+    assert got == want and max(want.values()) > 5
 
 
 def test_draw_moves_nothing_unless_a_minimum_margin_is_set(spark):

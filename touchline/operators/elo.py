@@ -1,24 +1,31 @@
 """Match ratings: an ordered fold with state shared by all teams of a pool.
 
-A rating depends on both teams' previous ratings in a non-linear way, so a pool is a chain that no
-window or aggregate can express. Pools run in parallel; inside a pool the sorted rows stream through
-Arrow batches and only the ratings of the pool's teams are held in memory. ``init`` resumes from
-stored ratings, so a daily run folds only the new matches; :func:`elo_by_period` rebuilds a long history
-period by period in the same way. A pool too wide for one task goes through :func:`elo_by_matchday`,
-which is a distributed join per match day.
+A rating depends on both teams' previous ratings in a non-linear way, so the matches of a few teams are a chain that no
+window or aggregate can express. What can be bounded is the part of the chain in one task, and what can run side by side
+is everything that shares no team:
+
+* :func:`elo_ratings` cuts every pool into slabs of at most ``rows_per_task`` consecutive matches. All pools run in
+  parallel within a slab; the ratings after it are a written table that the next slab starts from. A task holds one slab of
+  one pool however long the history is, the number of tasks grows with the rows, and a lost executor costs its slabs only.
+* :func:`elo_by_level` rates all matches of one day and level in one distributed join, over all pools and inside them. A
+  match's level is the longest chain of that day's matches before it through its two teams. It is for pools with so many
+  teams that one task should not even hold a slab of them.
+* ``init`` resumes from stored ratings, so a daily run folds only the new matches; :func:`elo_by_period` takes calendar
+  periods for slabs.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.session import scratch_path
+from touchline.operators.ordered import global_row_number
+from touchline.session import scratch_path, stored
 
 RATINGS = (
     "pool BIGINT, fixture_id BIGINT, match_date DATE, season INT, home_team_id BIGINT, away_team_id BIGINT,"
@@ -89,31 +96,73 @@ def _matches(fixtures: DataFrame, pool: str, rule: EloRule, k: str | None) -> Da
     )
 
 
+def _fold_slab(matches: DataFrame, rule: EloRule, init: DataFrame | None) -> DataFrame:
+    """Rated matches of one slab, a task per pool."""
+    rows = matches.withColumns({"is_state": F.lit(False), "rating": F.lit(None).cast("double")})
+    if init is not None:
+        known = init.select(
+            "pool", F.col("team_id").alias("home_team_id"), "rating", "season", F.lit(True).alias("is_state")
+        )
+        rows = rows.unionByName(
+            known.withColumns({"goals_home": F.lit(0), "goals_away": F.lit(0)}), allowMissingColumns=True
+        )
+    # Filled so that pandas keeps integer columns integer in batches with state rows.
+    rows = rows.fillna({"fixture_id": -1, "away_team_id": -1}).select(*MATCH_COLUMNS)
+    ordered = rows.repartition("pool").sortWithinPartitions("pool", F.desc("is_state"), "match_date", "fixture_id")
+    return ordered.mapInPandas(lambda batches: _fold(rule, batches), RATINGS)
+
+
+def _fold_slabs(matches: DataFrame, rule: EloRule, init: DataFrame | None, path: str) -> str:
+    """Rate ``matches`` slab by slab (column ``_slab``, ordered like the matches); the path of the rated ones.
+
+    Matches are stored once by slab, so a step reads its own folder. A slab's matches and the ratings after it are written
+    tables; ratings before a slab hold only the pools that go on. Only the numbers of the slabs reach the driver.
+    """
+    spark = matches.sparkSession
+    matches.write.partitionBy("_slab").parquet(f"{path}/played")
+    matches = spark.read.schema(matches.schema).parquet(f"{path}/played")
+    slabs = [row[0] for row in matches.select("_slab").distinct().orderBy("_slab").toLocalIterator()]
+    state = init
+    for number, slab in enumerate(slabs):
+        part = matches.filter(F.col("_slab") == F.lit(slab)).drop("_slab")
+        rated = _fold_slab(part, rule, state if state is None else state.join(part.select("pool").distinct(), "pool", "left_semi"))
+        rated.write.parquet(f"{path}/matches/slab={number}")
+        if number + 1 < len(slabs):
+            state = _after(state, spark.read.schema(RATINGS).parquet(f"{path}/matches/slab={number}"), f"{path}/state/{number}")
+    if not slabs:
+        spark.createDataFrame([], RATINGS).write.parquet(f"{path}/matches/slab=0")
+    return f"{path}/matches"
+
+
+def _after(state: DataFrame | None, rated: DataFrame, path: str) -> DataFrame:
+    """Ratings per team after ``rated``, written to ``path``."""
+    fresh = current_ratings(rated)
+    merged = fresh if state is None else state.join(fresh, ["pool", "team_id"], "left_anti").unionByName(fresh)
+    merged.write.parquet(path)
+    return rated.sparkSession.read.schema(STATE).parquet(path)
+
+
 def elo_ratings(
     fixtures: DataFrame,
     pool: str = "league_id",
     rule: EloRule = EloRule(),
     k: str | None = None,
     init: DataFrame | None = None,
+    rows_per_task: int = 100_000,
 ) -> DataFrame:
     """Ratings before and after each finished match, in (match_date, fixture_id) order per pool.
 
-    ``k`` names a column with the per-match K factor. ``init`` holds ``pool, team_id, rating, season``.
+    ``k`` names a column with the per-match K factor. ``init`` holds ``pool, team_id, rating, season``. A task folds at
+    most ``rows_per_task`` matches, numbered over range partitions.
     """
-    rows = _matches(fixtures, pool, rule, k).withColumns(
-        {"is_state": F.lit(False), "rating": F.lit(None).cast("double")}
-    )
-    if init is not None:
-        stored = init.select(
-            "pool", F.col("team_id").alias("home_team_id"), "rating", "season", F.lit(True).alias("is_state")
-        )
-        rows = rows.unionByName(
-            stored.withColumns({"goals_home": F.lit(0), "goals_away": F.lit(0)}), allowMissingColumns=True
-        )
-    # Filled so that pandas keeps integer columns integer in batches with state rows.
-    rows = rows.fillna({"fixture_id": -1, "away_team_id": -1}).select(*MATCH_COLUMNS)
-    ordered = rows.repartition("pool").sortWithinPartitions("pool", F.desc("is_state"), "match_date", "fixture_id")
-    return ordered.mapInPandas(lambda batches: _fold(rule, batches), RATINGS)
+    numbered = global_row_number(_matches(fixtures, pool, rule, k), ["pool", "match_date", "fixture_id"], "_no")
+    first = numbered.groupBy("pool").agg(F.min("_no").alias("_first"))
+    slab = F.floor((F.col("_no") - F.col("_first")) / F.lit(rows_per_task))
+    # Null-safe, as matches without a pool are a pool.
+    numbered = numbered.join(first.withColumnRenamed("pool", "_pool"), F.col("pool").eqNullSafe(F.col("_pool")))
+    cut = numbered.withColumn("_slab", slab).drop("_no", "_first", "_pool")
+    path = _fold_slabs(cut, rule, init, scratch_path(fixtures.sparkSession, "elo"))
+    return fixtures.sparkSession.read.schema(RATINGS).parquet(path)
 
 
 def team_ratings(rated: DataFrame) -> DataFrame:
@@ -152,56 +201,56 @@ def elo_by_period(
     period: str = "year",
     path: str | None = None,
 ) -> str:
-    """The same ratings folded one calendar period at a time; returns the path of the rated matches.
+    """The same ratings with calendar periods for slabs; the path of the rated matches."""
+    matches = _matches(fixtures, pool, rule, k).withColumn("_slab", F.trunc("match_date", period))
+    return _fold_slabs(matches, rule, None, path or scratch_path(fixtures.sparkSession, "elo"))
 
-    The played matches are stored once, partitioned by period, so each step reads its own folder. Each
-    period's matches and the ratings after it are written tables, so a lost executor costs one
-    period and a task never folds more than that. Only the distinct periods reach the driver.
+
+def day_levels(matches: DataFrame, order: Sequence[str] = ("fixture_id",)) -> DataFrame:
+    """Add ``level``: one more than the longest chain of the same day's earlier matches that share a team.
+
+    A team's n-th match of a day has level n at least. Levels then rise until every match stands above the ones before it;
+    the number of rounds follows the most matches of a team in one day.
     """
-    spark = fixtures.sparkSession
-    path = path or scratch_path(spark, "elo")
-    played = fixtures.filter(F.col("result").isNotNull()).withColumn("_period", F.trunc("match_date", period))
-    played.write.partitionBy("_period").parquet(f"{path}/played")
-    played = spark.read.schema(played.schema).parquet(f"{path}/played")
-    periods = [row[0] for row in played.select("_period").distinct().orderBy("_period").toLocalIterator()]
-    state = None
-    for first_day in periods:
-        rated = elo_ratings(played.filter(F.col("_period") == F.lit(first_day)), pool, rule, k, state)
-        rated.write.mode("append").parquet(f"{path}/matches/period={first_day}")
-        fresh = current_ratings(spark.read.schema(RATINGS).parquet(f"{path}/matches/period={first_day}"))
-        merged = fresh if state is None else state.join(fresh, ["pool", "team_id"], "left_anti").unionByName(fresh)
-        merged.write.mode("overwrite").parquet(f"{path}/state/{first_day}")
-        state = spark.read.schema(STATE).parquet(f"{path}/state/{first_day}")
-    return f"{path}/matches"
+    sides = matches.select("pool", "match_date", *order, F.explode(F.array("home_team_id", "away_team_id")).alias("team"))
+    along = Window.partitionBy("pool", "match_date", "team").orderBy(*order)
+    seen = sides.withColumns({"n": F.row_number().over(along), "before": F.lag(order[-1]).over(along)})
+    per_match = seen.groupBy("pool", "match_date", *order).agg(F.max("n").alias("level"), F.collect_set("before").alias("before"))
+    levels = stored(per_match, "levels")
+    while True:
+        asked = levels.filter(F.size("before") > 0).select("pool", "match_date", *order, F.explode("before").alias("_b"))
+        known = levels.select("pool", "match_date", F.col(order[-1]).alias("_b"), F.col("level").alias("_l"))
+        least = asked.join(known, ["pool", "match_date", "_b"]).groupBy("pool", "match_date", *order).agg((F.max("_l") + 1).alias("_least"))
+        raised = levels.join(least, ["pool", "match_date", *order], "left")
+        if raised.filter(F.col("_least") > F.col("level")).isEmpty():
+            break
+        higher = F.greatest("level", F.coalesce("_least", F.lit(0)))
+        levels = stored(raised.withColumn("level", higher).drop("_least"), "levels")
+    return matches.join(levels.drop("before"), ["pool", "match_date", *order])
 
 
-def elo_by_matchday(
+def elo_by_level(
     fixtures: DataFrame,
     pool: str = "league_id",
     rule: EloRule = EloRule(),
     k: str | None = None,
     path: str | None = None,
 ) -> str:
-    """The same ratings for pools too long for one task: one distributed join per match day.
+    """The same ratings with one distributed join per match day and level; the path of the rated matches.
 
-    Needs at most one match per team and day (checked). Each day's rated matches are appended to the
-    returned table path, and the team states go to a fresh folder per day under it, so a lost executor
-    costs one day at most. The only rows on the driver are the distinct days.
+    Matches of one level share no team, so they are rated side by side, whatever their pool. Rated matches are appended to
+    the returned table path and the team states go to a fresh folder per step, so a lost executor costs one step at
+    most. The only rows on the driver are the distinct days and levels.
     """
     spark = fixtures.sparkSession
     path = path or scratch_path(spark, "elo")
-    matches = _matches(fixtures, pool, rule, k)
-    teams = matches.select("pool", "match_date", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
-    twice = teams.groupBy("pool", "match_date", "team_id").count().filter("count > 1")
-    if not twice.isEmpty():
-        raise ValueError("a team plays twice on one day; use elo_ratings")
-    matches.write.partitionBy("match_date").parquet(f"{path}/played")
+    matches = day_levels(stored(_matches(fixtures, pool, rule, k).filter("match_date IS NOT NULL"), "matches"))
+    matches.write.partitionBy("match_date", "level").parquet(f"{path}/played")
     matches = spark.read.schema(matches.schema).parquet(f"{path}/played")
-    days = [row.match_date for row in matches.select("match_date").distinct().orderBy("match_date").toLocalIterator()]
+    steps = matches.select("match_date", "level").distinct().orderBy("match_date", "level").toLocalIterator()
     state = spark.createDataFrame([], STATE)
-    for day in days:
-        today = matches.filter(F.col("match_date") == F.lit(day))
-        rated = today
+    for number, (day, level) in enumerate(tuple(row) for row in steps):
+        rated = matches.filter((F.col("match_date") == F.lit(day)) & (F.col("level") == level))
         for side in ("home", "away"):
             known = state.select(
                 "pool",
@@ -210,24 +259,10 @@ def elo_by_matchday(
                 F.col("season").alias(f"_{side}_season"),
             )
             rated = rated.join(known, ["pool", f"{side}_team_id"], "left").withColumn(
-                f"{side}_before",
-                F.coalesce(
-                    rule.start
-                    + (F.col(f"_{side}") - rule.start)
-                    * F.pow(F.lit(rule.carry_over), F.greatest(F.col("season") - F.col(f"_{side}_season"), F.lit(0))),
-                    F.lit(rule.start),
-                ),
+                f"{side}_before", _opening(rule, F.col(f"_{side}"), F.col(f"_{side}_season"))
             )
-        gap = F.col("away_before") - F.col("home_before") - rule.home_advantage
-        expected = 1.0 / (1.0 + F.pow(F.lit(10.0), gap / rule.scale))
-        actual = F.when(F.col("result") == "H", 1.0).when(F.col("result") == "D", 0.5).otherwise(0.0)
-        margin = F.greatest(F.abs(F.col("goals_home") - F.col("goals_away")), F.lit(rule.min_margin))
         rated = (
-            rated.withColumn(
-                "result", F.when(F.col("goals_home") > F.col("goals_away"), "H").when(
-                    F.col("goals_home") == F.col("goals_away"), "D").otherwise("A"),
-            )
-            .withColumn("_gain", F.col("k") * (actual - expected) * F.ln(margin + 1.0))
+            rated.withColumn("_gain", _change(rule))
             .withColumns(
                 {
                     "home_after": F.col("home_before") + F.col("_gain"),
@@ -236,15 +271,27 @@ def elo_by_matchday(
             )
             .select(*[part.split()[0] for part in RATINGS.split(",")])
         )
-        rated.write.mode("append").parquet(f"{path}/matches")
-        done = spark.read.schema(RATINGS).parquet(f"{path}/matches").filter(F.col("match_date") == F.lit(day))
-        played = team_ratings(done).select("pool", "team_id", F.col("elo_after").alias("rating"), "season")
-        merged = state.join(played, ["pool", "team_id"], "left_anti").unionByName(played)
-        merged.write.mode("overwrite").parquet(f"{path}/state/{day}")
-        state = spark.read.schema(STATE).parquet(f"{path}/state/{day}")
+        rated.write.parquet(f"{path}/matches/step={number}")
+        state = _after(state, spark.read.schema(RATINGS).parquet(f"{path}/matches/step={number}"), f"{path}/state/{number}")
     return f"{path}/matches"
 
 
+def _opening(rule: EloRule, rating: Column, last_season: Column) -> Column:
+    """:meth:`EloRule.opening` as an expression; the start value for a team without a rating."""
+    begun = F.greatest(F.col("season") - last_season, F.lit(0))
+    return F.coalesce(rule.start + (rating - rule.start) * F.pow(F.lit(rule.carry_over), begun), F.lit(rule.start))
+
+
+def _change(rule: EloRule) -> Column:
+    """:meth:`EloRule.change` as an expression over the columns of a match."""
+    gap = F.col("away_before") - F.col("home_before") - rule.home_advantage
+    expected = 1.0 / (1.0 + F.pow(F.lit(10.0), gap / rule.scale))
+    goals = F.col("goals_home") - F.col("goals_away")
+    actual = F.when(goals > 0, 1.0).when(goals == 0, 0.5).otherwise(0.0)
+    margin = F.greatest(F.abs(goals), F.lit(rule.min_margin))
+    return F.col("k") * (actual - expected) * F.ln(margin + 1.0)
+
+
 def elo_violations(rated: DataFrame, rule: EloRule = EloRule(), low: float = 800.0, high: float = 2200.0) -> DataFrame:
     """Rated matches outside the plausible range, not zero-sum, or with a new team off the start value."""
     first = Window.partitionBy("pool", "team_id").orderBy("match_date", "fixture_id")

@@ -103,7 +103,7 @@ def odds_movement(spark, sf):
 # --- ratings --------------------------------------------------------------------------------------
 
 _ELO = """
-n AS (
+n AS MATERIALIZED (
   SELECT league_id AS pool, row_number() OVER (PARTITION BY league_id ORDER BY match_date, fixture_id) AS i, fixture_id,
     season, home_team_id%100 AS h, away_team_id%100 AS a, goals_home, goals_away FROM fx WHERE result IS NOT NULL),
 e AS (
@@ -150,6 +150,12 @@ def elo_by_period(spark, sf):
     return _rated(spark.read.parquet(elo.elo_by_period(fixtures)))
 
 
+@query("elo_by_rows", _RATED)
+def elo_by_rows(spark, sf):
+    """Tasks of at most 500 matches of a pool, so that their number grows with the table: the same values."""
+    return _rated(elo.elo_ratings(testbed.fixtures(spark, sf), rows_per_task=500))
+
+
 _CURRENT = """
 cr AS (
   SELECT pool*100+x AS team_id, round(r[x+1],4) AS rating FROM (

@@ -91,9 +91,24 @@ def dq_leakage_features(spark, sf):
     return quality.leaking_rows(features, ["home_form_source_date", "away_form_source_date"]).select("fixture_id")
 
 
-@query("dq_elo_range", with_(FX, body="SELECT CAST(NULL AS BIGINT) AS fixture_id, '' AS reason FROM fx WHERE false"))
+@query(
+    "dq_elo_range",
+    with_(
+        TEAMS,
+        body="""SELECT fixture_id, CASE fixture_id%7 WHEN 0 THEN 'out_of_range' ELSE 'not_zero_sum' END AS reason FROM fx
+  WHERE result IS NOT NULL AND fixture_id%7 IN (0, 1) UNION ALL
+SELECT fixture_id, 'debut_rating' FROM (SELECT * FROM pr QUALIFY row_number() OVER (PARTITION BY league_id, team_id
+  ORDER BY match_date, fixture_id)=1) WHERE fixture_id%7=2""",
+    ),
+)
 def dq_elo_range(spark, sf):
-    return elo.elo_violations(elo.elo_ratings(testbed.fixtures(spark, sf)))
+    """Planted by the match's number: a rating out of range, a gain that the other side does not lose, a new team off the
+    start value (its ratings after the match move along, so nothing else is wrong)."""
+    rated = stored(elo.elo_ratings(testbed.fixtures(spark, sf)), "rated")
+    kind, shift = c("fixture_id") % 7, F.when(c("fixture_id") % 7 == 2, 10.0).otherwise(0.0)
+    home = F.when(kind == 0, 2500.0).when(kind == 1, c("home_after") + 1.0).otherwise(c("home_after") + shift)
+    moved = {n: c(n) + shift for n in ("home_before", "away_before", "away_after")}
+    return elo.elo_violations(rated.withColumns({**moved, "home_after": home}))
 
 
 @query("dq_orphans", with_(FX, QUOTES, body="SELECT fixture_id, bookmaker_id, outcome, odd, day FROM q ANTI JOIN (SELECT * FROM fx WHERE status='FT') f USING (fixture_id)"))
