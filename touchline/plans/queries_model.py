@@ -224,23 +224,14 @@ def model_evaluation(spark, sf):
     return metrics.compare_models(measured, measured.limit(0))
 
 
-@query(
-    "feature_load",
-    with_(FX, body="""SELECT fixture_id, CASE result WHEN 'H' THEN CAST(0 AS DOUBLE) WHEN 'D' THEN 1 WHEN 'A' THEN 2 END AS label,
-  result IS NOT NULL AS is_train FROM fx"""),
-)
-def feature_load(spark, sf):
-    rows = model.feature_rows(testbed.fixtures(spark, sf), ["goals_home"])
-    return rows.select("fixture_id", "label", c("result").isNotNull().alias("is_train"))
+_LOADED = f"""SELECT fixture_id, CASE result WHEN 'H' THEN CAST(0 AS DOUBLE) WHEN 'D' THEN 1 WHEN 'A' THEN 2 END AS label,
+  result IS NOT NULL AS is_train, {", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in FEATURES)} FROM ({FEATURES_SQL})"""
 
 
-@query(
-    "feature_load_all",
-    f"""SELECT fixture_id, CASE result WHEN 'H' THEN CAST(0 AS DOUBLE) WHEN 'D' THEN 1 WHEN 'A' THEN 2 END AS label,
-  result IS NOT NULL AS is_train, {", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in FEATURES)} FROM ({FEATURES_SQL})""",
-)
-def feature_load_all(spark, sf):
-    """All features of the stored mart."""
+@query("feature_load", _LOADED)
+@query("feature_load_all", _LOADED)
+def feature_load(spark, sf):
+    """All features of the stored mart; registered under an earlier name too."""
     rows = model.feature_rows(stored(feature_mart(spark, sf), "features"))
     averages = [n for n in FEATURES if n.endswith(("_avg", "_avg_5"))]
     return rounded(rows, *averages).select("fixture_id", "label", c("result").isNotNull().alias("is_train"), *FEATURES)

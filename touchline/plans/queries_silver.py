@@ -197,21 +197,13 @@ def stg_statistics(spark, sf):
     return silver.stg_statistics(silver.statistics(testbed.raw_statistics(spark, sf)))
 
 
-@query(
-    "silver_statistics",
-    with_(TEAMS, body="SELECT fixture_id, team_id, match_date, CAST((fixture_id*3+team_id*7)%20 AS INTEGER) AS shots_on_goal FROM pr"),
-)
-def silver_statistics(spark, sf):
-    typed = silver.with_match_date(silver.statistics(testbed.raw_statistics(spark, sf)), testbed.fixtures(spark, sf))
-    return typed.select("fixture_id", "team_id", "match_date", "shots_on_goal")
+_STATISTICS = with_(TEAMS, body=f"SELECT s.*, pr.match_date FROM ({_statistics_sql(False)}) s JOIN pr USING (fixture_id, team_id)")
 
 
-@query(
-    "silver_statistics_all",
-    with_(TEAMS, body=f"SELECT s.*, pr.match_date FROM ({_statistics_sql(False)}) s JOIN pr USING (fixture_id, team_id)"),
-)
-def silver_statistics_all(spark, sf):
-    """All statistics of the table, with the match date."""
+@query("silver_statistics", _STATISTICS)
+@query("silver_statistics_all", _STATISTICS)
+def silver_statistics(spark, sf):
+    """All statistics of the table, with the match date; registered under an earlier name too."""
     typed = silver.with_match_date(silver.statistics(testbed.raw_statistics(spark, sf)), testbed.fixtures(spark, sf))
     return typed.select("fixture_id", "team_id", "match_date", *[column for column, _ in STATISTIC_COLUMNS.values()])
 

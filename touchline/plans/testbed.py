@@ -53,6 +53,12 @@ def fixtures(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt over as many tasks as shuffles have: one small file of tables becomes many payloads."""
+    spark = rows.sparkSession
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _landed(payload: Column, feed: str, day: Column, params: Column | None = None, batch: str = "b1") -> list[Column]:
     return [
         payload.alias("payload"),
@@ -97,7 +103,7 @@ def fixture_record(goals_home: Column, goals_away: Column, status: Column) -> Co
 
 def raw_fixtures(spark: SparkSession, sf: str) -> DataFrame:
     """Every fixture landed twice: announced, then with its final state."""
-    rows = matches(spark, sf).withColumn("version", F.explode(F.array(F.lit(1), F.lit(2))))
+    rows = _spread(matches(spark, sf)).withColumn("version", F.explode(F.array(F.lit(1), F.lit(2))))
     final = c("version") == 2
     record = fixture_record(
         F.when(final, c("goals_home")), F.when(final, c("goals_away")), F.when(final, c("status")).otherwise("NS")
@@ -120,7 +126,7 @@ def statistic_value(j: int) -> Column:
 
 def raw_statistics(spark: SparkSession, sf: str) -> DataFrame:
     """One record per finished match and team; ``Offsides`` is missing in every fifth match."""
-    rows = to_team_rows(fixtures(spark, sf).filter(c("status") == "FT"))
+    rows = to_team_rows(_spread(fixtures(spark, sf).filter(c("status") == "FT")))
     entries = F.array(
         *[
             F.struct(F.lit(name).alias("type"), statistic_value(j).alias("value"))
@@ -136,7 +142,7 @@ def raw_events(spark: SparkSession, sf: str) -> DataFrame:
     """Up to three events per finished match; every second match landed twice."""
     key = c("fixture_id")
     rows = (
-        matches(spark, sf)
+        _spread(matches(spark, sf))
         .filter((c("status") == "FT") & (key % 4 > 0))
         .withColumn("i", F.explode(F.sequence(F.lit(1), (key % 4).cast("int"))))
         .withColumn("copy", F.explode(F.sequence(F.lit(1), (key % 2 + 1).cast("int"))))
@@ -178,7 +184,7 @@ def quotes(spark: SparkSession, sf: str) -> DataFrame:
 def raw_odds(spark: SparkSession, sf: str) -> DataFrame:
     """One four-level record per line item: its match-winner price, an over/under pair, and a first-half price under the
     match-winner's outcome names."""
-    rows = quotes(spark, sf)
+    rows = _spread(quotes(spark, sf))
     text = c("odd").cast("decimal(6,2)").cast("string")
     other = ((c("l_suppkey") % 200 + 110) / F.lit(100.0)).cast("decimal(6,2)").cast("string")
 
@@ -286,7 +292,7 @@ def player_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_player_stats(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _line_rows(spark, sf)
+    rows = _spread(_line_rows(spark, sf))
     statistics = F.struct(
         F.struct((c("quantity") + 40).alias("minutes"), ((c("l_suppkey") % 50 + 50) / F.lit(10.0)).cast("string").alias("rating")).alias(
             "games"
@@ -320,7 +326,7 @@ def injuries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_injuries(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _line_rows(spark, sf).filter(c("l_returnflag") == "R")
+    rows = _spread(_line_rows(spark, sf).filter(c("l_returnflag") == "R"))
     record = F.struct(
         F.struct(
             c("player_id").alias("id"),
@@ -339,7 +345,7 @@ def raw_injuries(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_lineups(spark: SparkSession, sf: str) -> DataFrame:
     """Eleven starters and three substitutes per team of a finished match."""
-    rows = to_team_rows(fixtures(spark, sf).filter(c("status") == "FT"))
+    rows = to_team_rows(_spread(fixtures(spark, sf).filter(c("status") == "FT")))
 
     def player(i: Column) -> Column:
         key = c("team_id") * 100 + (c("fixture_id") + i) % 25
