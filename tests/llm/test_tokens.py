@@ -138,6 +138,23 @@ def test_samples_follow_the_path_weights(lattice):
     assert sum(seen.values()) == n
 
 
+def test_alias_tables_keep_the_shares():
+    rng = np.random.default_rng(4)
+    counts = rng.integers(0, 9, 200)
+    shares = np.concatenate([rng.dirichlet(np.full(n, 0.3)) for n in counts if n])
+    threshold, alias = piece_sampling.alias_tables(shares, counts)
+    owner, stays = np.repeat(np.arange(200), counts), (threshold + 1.0) * 2.0**-32
+    assert (owner[alias] == owner).all()
+    got = (stays + np.bincount(alias, 1.0 - stays, len(shares))) / counts[owner]
+    assert np.allclose(got, shares, atol=1e-8)
+
+
+def test_parts_hold_whole_pieces(lattice):
+    """No piece of the model crosses a cut between parts."""
+    for piece in lattice.pieces:
+        assert lattice.part.findall(piece) == [piece]
+
+
 def test_sampled_rows(odd, no_docs, lattice):
     rows = piece_sampling.sample_pieces(odd, tokenizer(PIECES)).collect()
     assert len(rows) == odd.count() and all(r.lossless for r in rows)
