@@ -10,7 +10,7 @@ from touchline.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables absent")
-SLOW = {"stacking_predict", "feature_importance", "match_features", "land_feeds", "load_and_build_tables", "load_late_rows", "load_rejects"}
+SLOW = {"stacking_predict", "feature_importance", "model_evaluation", "model_facts", "match_features", "land_feeds", "load_and_build_tables", "load_late_rows", "load_rejects"}
 SAMPLE = sorted(set(catalog.ORACLES) - SLOW)[::6]
 
 

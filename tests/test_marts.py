@@ -183,7 +183,7 @@ def test_stack_learns_and_probabilities_sum_to_one(spark):
     total = F.col("prob_home_win") + F.col("prob_draw") + F.col("prob_away_win")
     assert scored.count() == 40 and scored.filter(F.abs(total - 1) > 1e-9).isEmpty()
     assert scored.filter("predicted_result = result").count() > 25
-    importance = {r.feature: r.importance for r in model.feature_importance(stack).collect()}
+    importance = {r.feature: r.importance for r in model.feature_importance(spark, stack).collect()}
     assert importance["a"] > importance["b"]
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.aggregates import head_to_head, league_summary
 from touchline.operators.elo import elo_ratings
 from touchline.operators.flatten import stamp
-from touchline.plans import marts, silver
+from touchline.plans import marts, serving, silver
 from touchline.schemas import FEEDS, RAW, TABLES
 from touchline.session import stored
 from touchline.sources.landing import scan_since, split_raw
@@ -20,6 +20,7 @@ from touchline.sources.tables import (
     expire_partitions,
     layout_job,
     overwrite_partitions,
+    publish,
     run_step,
     table_exists,
     upsert_table,
@@ -35,6 +36,13 @@ LOADS: dict[str, tuple[str, Transform]] = {
     "odds_long": ("odds", silver.odds_long),
     "standings": ("standings", silver.standings),
     "injuries": ("injuries", silver.injuries),
+    "lineups": ("lineups", silver.lineups),
+    "player_stats": ("players_stats", silver.player_stats),
+    "api_predictions": ("predictions", silver.api_predictions),
+    "teams": ("teams", silver.teams),
+    "leagues": ("leagues", silver.leagues),
+    "players": ("players", silver.players),
+    "transfers": ("transfers", silver.transfers),
 }
 
 
@@ -83,7 +91,7 @@ def load_table(
         good, bad = split_raw(rows, feed)
         append_table(bad.withColumn("_run_id", F.lit(run_id)), f"{root}/rejects/{feed}")
         out = transform(good)
-        if spec.partition_by and "match_date" not in out.columns:
+        if "match_date" in spec.partition_by and "match_date" not in out.columns:
             out = silver.with_match_date(out, spark.read.parquet(f"{root}/silver/fixtures"))
         return stamp(out, run_id)
 
@@ -117,6 +125,39 @@ def build_marts(spark: SparkSession, root: str, run_id: str) -> None:
     upsert_table(stamp(head_to_head(fixtures), run_id), f"{root}/gold/head_to_head", TABLES["head_to_head"].keys)
 
 
+def publish_all(spark: SparkSession, root: str, standings: DataFrame, predictions: DataFrame, as_of: Column) -> None:
+    """The four served tables, upserted by key, and the history of predictions, appended.
+
+    A served row replaces the one before it; the history keeps every version with its time.
+    """
+    fixtures = spark.read.parquet(f"{root}/silver/fixtures")
+    form = marts.team_form(fixtures)
+    newest = F.max(F.struct("match_date", "fixture_id", F.struct(*form.columns).alias("row"))).alias("m")
+    served = {
+        "match_predictions": (predictions, ["fixture_id"]),
+        "league_standings": (standings, ["league_id", "season", "team_id"]),
+        "team_form": (form.groupBy("team_id").agg(newest).select("m.row.*"), ["team_id"]),
+        "upcoming_fixtures": (serving.upcoming(fixtures, predictions, as_of), ["fixture_id"]),
+    }
+    for name, (rows, keys) in served.items():
+        publish(rows, f"{root}/serving", name, keys)
+    append_table(predictions, f"{root}/serving/historical_predictions")
+
+
+def expire_tables(spark: SparkSession, root: str, today: dt.date) -> dict[str, int]:
+    """Drop partitions of typed and mart tables older than each spec's ``retention_days``; returns how many went.
+
+    A season ends with its year. Tables without a date or season partition are kept whole.
+    """
+    gone = {}
+    for name, spec in TABLES.items():
+        path = f"{root}/{spec.layer}/{name}"
+        if spec.partition_by in (("match_date",), ("season",)) and table_exists(spark, path):
+            last_day = F.make_date("season", F.lit(12), F.lit(31)) if spec.partition_by == ("season",) else F.col("match_date")
+            gone[name] = expire_partitions(spark, path, spec.partition_by[0], spec.retention_days, today, last_day)
+    return gone
+
+
 def layout_all(spark: SparkSession, root: str, out_root: str, file_bytes: int = 512 << 20) -> DataFrame:
     """Cluster every registered table that exists; the list comes from the table specs."""
     listed = {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from touchline.operators import aggregates, metrics
@@ -12,7 +14,8 @@ from touchline.plans.queries_marts import _rounded as rounded
 from touchline.plans.queries_marts import feature_mart
 from touchline.plans.sqltext import FX, PREDS, QUOTES, SEASONS, TEAMS, with_
 from touchline.schemas import FEATURES
-from touchline.session import scratch_path, stored
+from touchline.session import shared_root, stored
+from touchline.sources.tables import table_exists
 
 c = F.col
 
@@ -182,46 +185,111 @@ def expanding_folds(spark, sf):
     return model.with_fold(known, 3).groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.min("match_date").alias("first_day"))
 
 
-# The planned full-size run: all base models, trees and rounds, three expanding folds.
+# The planned full-size run: all base models, most trees and rounds, three expanding folds.
 _SIZES = model.StackSizes()
 
 
-def _trained(spark, sf):
-    """The feature mart is stored once: training reads it many times."""
-    path = scratch_path(spark, "features")
-    feature_mart(spark, sf).write.parquet(path)
-    known, unknown = model.split_by_target(model.feature_rows(spark.read.parquet(path)))
-    return model.train_stack(known, _SIZES), unknown
+def _stack(spark, sf):
+    """The stack trained on the older four fifths of the matches, the feature rows, and its scores of all other matches.
+
+    Saved under the shared folder: whichever query comes first fits it, the others load it.
+    """
+    path = f"{shared_root(spark)}/models/{zlib.crc32(sf.encode()):08x}-{model.sizes_key(_SIZES)}"
+    if not table_exists(spark, f"{path}/parts"):
+        feature_mart(spark, sf).write.mode("overwrite").parquet(f"{path}/features")
+        known, unknown = model.split_by_target(model.feature_rows(spark.read.parquet(f"{path}/features")))
+        split = model.time_split(known, 0.2).unionByName(unknown.withColumn("part", F.lit("open")))
+        split.write.mode("overwrite").parquet(f"{path}/rows")
+        rows = spark.read.parquet(f"{path}/rows")
+        fitted = model.train_stack(rows.filter("part = 'train'").drop("part"), _SIZES)
+        scored = model.score(fitted, rows.filter("part <> 'train'").drop("part"))
+        marts.prediction_rows(scored, "v1", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/scores")
+        model.save_stack(spark, fitted, path)
+    rows, scores = spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/scores")
+    return model.load_stack(spark, path), rows, scores
+
+
+def _measured(resolved):
+    return metrics.model_performance(
+        resolved.withColumn("actual_result", c("result")).withColumn("was_correct", c("predicted_result") == c("result"))
+    )
+
+
+def _evaluated(rows, scores):
+    """The stack against the shares of the results in its training rows, both on the newest fifth."""
+    newest = scores.filter("result IS NOT NULL")
+    shares = rows.filter("part = 'train'").agg(*[F.avg((c("result") == r).cast("double")).alias(n) for r, n in zip("HDA", model.PROB_COLUMNS)])
+    # One row, so that each of its columns is a scalar.
+    base = newest.withColumns({n: shares.select(n).scalar() for n in model.PROB_COLUMNS})
+    incumbent = marts.prediction_rows(base.drop("predicted_result", "confidence", "model_version", "generated_at"), "v0", F.current_timestamp())
+    return metrics.compare_models(_measured(newest), _measured(incumbent))
 
 
 @query("stacking_predict")
 def stacking_predict(spark, sf):
-    stack, unknown = _trained(spark, sf)
-    return marts.prediction_rows(model.score(stack, unknown), "v1", F.current_timestamp()).drop("generated_at", "result")
+    """Open fixtures scored by the stored stack, loaded again."""
+    stack, rows, _ = _stack(spark, sf)
+    scored = model.score(stack, rows.filter("part = 'open'").drop("part"))
+    return marts.prediction_rows(scored, "v1", F.current_timestamp()).drop("generated_at", "result")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    stack, _ = _trained(spark, sf)
-    return model.feature_importance(stack)
+    stack, _, _ = _stack(spark, sf)
+    return model.feature_importance(spark, stack)
 
 
 @query("model_evaluation")
 def model_evaluation(spark, sf):
-    """Trained on the older matches, measured on the newest fifth, compared with no incumbent."""
-    path = scratch_path(spark, "features")
-    feature_mart(spark, sf).write.parquet(path)
-    known, _ = model.split_by_target(model.feature_rows(spark.read.parquet(path)))
-    parts = stored(model.time_split(known, 0.2), "split")
-    stack = model.train_stack(parts.filter("part = 'train'").drop("part"), _SIZES)
-    scored = marts.prediction_rows(
-        model.score(stack, parts.filter("part = 'validation'").drop("part")), "v1", F.current_timestamp()
+    """Measured on the newest fifth, compared with the incumbent that always answers the shares of the past."""
+    _, rows, scores = _stack(spark, sf)
+    return _evaluated(rows, scores)
+
+
+@query(
+    "model_facts",
+    with_(FX, """
+k AS (SELECT *, (rank() OVER (ORDER BY match_date)-1)/count(*) OVER ()>=0.8 AS newest FROM fx WHERE result IS NOT NULL),
+s AS (SELECT result, count(*)::DOUBLE/sum(count(*)) OVER () AS share FROM k WHERE NOT newest GROUP BY result)""",
+    body="""SELECT (SELECT count(*) FROM fx WHERE result IS NULL) AS open_scored, (SELECT count(*) FROM k WHERE newest) AS newest_scored,
+  CAST(0 AS BIGINT) AS sums_off, CAST(0 AS BIGINT) AS labels_off, CAST(0 AS BIGINT) AS loaded_differs, CAST(30 AS BIGINT) AS importances,
+  CAST(1 AS DOUBLE) AS importance_sum, true AS log_loss_equal, true AS accuracy_equal, true AS promotion_right,
+  round((SELECT -avg(ln(share)) FROM k JOIN s USING (result) WHERE newest), 6) AS incumbent_log_loss""",
+    ),
+)
+def model_facts(spark, sf):
+    """What can be checked of the stored stack: one row per open match, probabilities that sum to one, the label of the
+    largest, the same scores after loading, metrics recomputed in SQL from the stored scores, the promotion decision."""
+    stack, rows, scores = _stack(spark, sf)
+    probs = [c(n) for n in model.PROB_COLUMNS]
+    largest = F.greatest(*probs)
+    label = F.when(probs[0] == largest, "H").when(probs[1] == largest, "D").otherwise("A")
+    counted = scores.agg(
+        F.count_if(c("result").isNull()).alias("open_scored"), F.count_if(c("result").isNotNull()).alias("newest_scored"),
+        F.count_if(F.abs(probs[0] + probs[1] + probs[2] - 1.0) > 1e-9).alias("sums_off"),
+        F.count_if(c("predicted_result") != label).alias("labels_off"),
+    )
+    again = model.score(stack, rows.filter("part <> 'train'").drop("part")).select("fixture_id", probs[0].alias("_p"))
+    loaded = scores.join(again, "fixture_id", "left").agg(
+        F.count_if(c("_p").isNull() | (F.abs(c("_p") - probs[0]) > 1e-9)).alias("loaded_differs")
+    )
+    weights = model.feature_importance(spark, stack).agg(
+        F.count_distinct("feature").alias("importances"), F.round(F.sum("importance"), 6).alias("importance_sum")
     )
-    resolved = scored.withColumn("actual_result", c("result")).withColumn(
-        "was_correct", c("predicted_result") == c("actual_result")
+    scores.filter("result IS NOT NULL").createOrReplaceTempView("stored_scores")
+    by_sql = spark.sql("""SELECT avg(-ln(greatest(CASE result WHEN 'H' THEN prob_home_win WHEN 'D' THEN prob_draw ELSE prob_away_win END, 1e-15))) AS _loss,
+      avg(CAST(predicted_result = result AS DOUBLE)) AS _hits FROM stored_scores""")
+    decided = _evaluated(rows, scores).select(
+        "log_loss", "accuracy", c("current_log_loss").alias("_incumbent"), "should_promote"
     )
-    measured = metrics.model_performance(resolved)
-    return metrics.compare_models(measured, measured.limit(0))
+    one = counted.withColumn("_one", F.lit(1))
+    for part in (loaded, weights, by_sql, decided):
+        one = one.join(part.withColumn("_one", F.lit(1)), "_one")  # one row each
+    return one.select(
+        "open_scored", "newest_scored", "sums_off", "labels_off", "loaded_differs", "importances", "importance_sum",
+        (F.abs(c("log_loss") - c("_loss")) < 1e-6).alias("log_loss_equal"), (F.abs(c("accuracy") - c("_hits")) < 1e-6).alias("accuracy_equal"),
+        (c("should_promote") == (c("_loss") < c("_incumbent"))).alias("promotion_right"), F.round("_incumbent", 6).alias("incumbent_log_loss"),
+    )
 
 
 _LOADED = f"""SELECT fixture_id, CASE result WHEN 'H' THEN CAST(0 AS DOUBLE) WHEN 'D' THEN 1 WHEN 'A' THEN 2 END AS label,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from touchline.operators import elo, form, history, joins, quality
 from touchline.plans import marts, testbed
 from touchline.plans.catalog import query
+from touchline.plans.queries_marts import feature_mart
 from touchline.plans.sqltext import FX, PREDS, QUOTES, TEAMS, with_
 from touchline.session import stored
 
@@ -80,15 +81,20 @@ def dq_leakage(spark, sf):
     return quality.leaking_rows(leaky, ["max_source_date"]).select("fixture_id", "team_id")
 
 
-@query("dq_leakage_features", with_(FX, body="SELECT fixture_id FROM fx WHERE false"))
+_SOURCES = (
+    "home_form_source_date", "away_form_source_date", "h2h_source_date", "home_standing_source_date", "away_standing_source_date",
+)
+
+
+@query("dq_leakage_features", with_(FX, body="SELECT fixture_id, CAST(fixture_id%13 AS INTEGER) AS leak FROM fx WHERE fixture_id%13<5"))
 def dq_leakage_features(spark, sf):
-    """The feature mart must not leak: no rows."""
-    fixtures = testbed.fixtures(spark, sf)
-    state = stored(marts.team_form(fixtures, elo.elo_ratings(fixtures)), "team-form")
-    features = marts.team_state_features(fixtures, state).join(
-        fixtures.select("fixture_id", "match_date"), "fixture_id"
+    """Each source date of the feature mart is planted as the match's own day for a thirteenth of the matches; all others
+    must be earlier, so exactly the planted ones leak."""
+    mart = feature_mart(spark, sf).select("fixture_id", "match_date", *_SOURCES)
+    planted = mart.withColumns(
+        {n: F.when(c("fixture_id") % 13 == i, c("match_date")).otherwise(c(n)) for i, n in enumerate(_SOURCES)}
     )
-    return quality.leaking_rows(features, ["home_form_source_date", "away_form_source_date"]).select("fixture_id")
+    return quality.leaking_rows(planted, _SOURCES).select("fixture_id", (c("fixture_id") % 13).cast("int").alias("leak"))
 
 
 @query(
@@ -151,12 +157,26 @@ def schema_drift(spark, sf):
     return quality.schema_drift(testbed.table(spark, sf, "orders"), expected)
 
 
-@query("dq_scd2", with_(TEAMS, body="SELECT team_id, CAST(0 AS BIGINT) AS current_rows, CAST(0 AS BIGINT) AS reversed_rows FROM tr WHERE false"))
+@query(
+    "dq_scd2",
+    with_(
+        TEAMS,
+        """
+lg AS (SELECT team_id, outcome, lag(outcome) OVER w AS before FROM pr WINDOW w AS (PARTITION BY team_id ORDER BY match_date, fixture_id)),
+iv AS (SELECT team_id, count(*) AS n FROM lg WHERE before IS NULL OR before<>outcome GROUP BY team_id)""",
+        body="""SELECT team_id, CASE WHEN team_id%4=0 THEN n ELSE 1 END AS current_rows, CASE WHEN team_id%4=1 THEN n-1 ELSE 0 END AS reversed_rows
+FROM iv WHERE n>1 AND team_id%4<2""",
+    ),
+)
 def dq_scd2(spark, sf):
+    """Planted by team: all intervals current, or closed the day before they open."""
     log = marts.played_rows(testbed.fixtures(spark, sf)).select("team_id", "match_date", "fixture_id", "outcome")
-    return history.scd2_violations(
-        history.scd2_from_log(log, ["team_id"], ["outcome"], ["match_date", "fixture_id"]), ["team_id"]
-    )
+    kept = history.scd2_from_log(log, ["team_id"], ["outcome"], ["match_date", "fixture_id"])
+    broken = kept.withColumns({
+        "is_current": c("is_current") | (c("team_id") % 4 == 0),
+        "valid_to": F.when((c("team_id") % 4 == 1) & c("valid_to").isNotNull(), F.date_sub("valid_from", 1)).otherwise(c("valid_to")),
+    })
+    return history.scd2_violations(broken, ["team_id"])
 
 
 @query(

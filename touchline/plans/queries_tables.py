@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from touchline.operators import ordered, quality
-from touchline.plans import lifecycle, silver, testbed
-from touchline.plans.catalog import query
-from touchline.plans.sqltext import FX, PREDS, QUOTES, TEAMS, with_
+from touchline.plans import lifecycle, queries_silver, silver, testbed  # noqa: F401  their SQL counts the typed rows
+from touchline.plans.catalog import ORACLES, query
+from touchline.plans.sqltext import FX, PREDS, QUOTES, SEASONS, TEAMS, with_
 from touchline.schemas import FEEDS
 from touchline.session import scratch_path
 from touchline.sources import landing, tables
@@ -421,6 +422,19 @@ _RAW = {
 }
 
 
+_BUILT = ("fixtures", "match_statistics", "match_events", "odds_long", "standings", "injuries")
+
+_OTHER = {
+    "lineups": ("lineups", testbed.raw_lineups),
+    "player_stats": ("players_stats", testbed.raw_player_stats),
+    "api_predictions": ("predictions", testbed.raw_api_predictions),
+    "teams": ("teams", testbed.raw_teams),
+    "leagues": ("leagues", testbed.raw_leagues),
+    "players": ("players", testbed.raw_players),
+    "transfers": ("transfers", testbed.raw_transfers),
+}
+
+
 @query(
     "load_and_build_tables",
     with_(
@@ -451,7 +465,7 @@ def load_and_build_tables(spark, sf):
     lifecycle.load_table(spark, root, "match_events", "r2", dt.date(1990, 1, 1), partitioned=False)
     lifecycle.build_marts(spark, root, "r2")
     out = None
-    for layer, name in [*[("silver", n) for n in lifecycle.LOADS], *[("gold", n) for n in ("league_summary", "team_form", "head_to_head")]]:
+    for layer, name in [*[("silver", n) for n in _BUILT], *[("gold", n) for n in ("league_summary", "team_form", "head_to_head")]]:
         counts = spark.read.parquet(f"{root}/{layer}/{name}").agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")
         )
@@ -459,6 +473,101 @@ def load_and_build_tables(spark, sf):
     return out
 
 
+def _typed_rows(name: str, typed: str) -> str:
+    """Rows of a typed table, counted by the SQL of its own query."""
+    return f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM ({ORACLES[typed]})"
+
+
+@query(
+    "load_other_feeds",
+    " UNION ALL ".join(_typed_rows(n, f"silver_{n}") for n in ("lineups", "player_stats", "api_predictions", "teams", "leagues", "players", "transfers")),
+)
+def load_other_feeds(spark, sf):
+    """Lineups, player statistics, predictions and the four reference feeds, landed and loaded twice; rows per table.
+
+    Unpartitioned like ``load_and_build_tables``: the test data has a handful of rows for each of 2,400 days."""
+    root = scratch_path(spark, "feeds")
+    testbed.fixtures(spark, sf).select("fixture_id", "match_date").write.parquet(f"{root}/silver/fixtures")
+    out = None
+    for name, (feed, make) in _OTHER.items():
+        tables.append_table(make(spark, sf), f"{root}/bronze/{feed}")
+        for run in ("r1", "r2"):  # the second finds no unread batch
+            lifecycle.load_table(spark, root, name, run, partitioned=False)
+        counts = spark.read.parquet(f"{root}/silver/{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+@query(
+    "publish_serving",
+    with_(TEAMS, SEASONS, PREDS, body="""SELECT 'match_predictions' AS table_name, count(*) AS n_rows, CAST(sum(fixture_id) AS BIGINT) AS key_sum FROM p
+UNION ALL SELECT 'historical_predictions', 2*count(*), CAST(2*sum(fixture_id) AS BIGINT) FROM p
+UNION ALL SELECT 'league_standings', count(*), CAST(sum(team_id*1000+position*10+season%10) AS BIGINT) FROM st
+UNION ALL SELECT 'team_form', count(*), CAST(sum(fixture_id) AS BIGINT) FROM (SELECT * FROM pr QUALIFY row_number() OVER (PARTITION BY team_id ORDER BY match_date DESC, fixture_id DESC)=1)
+UNION ALL SELECT 'upcoming_fixtures', count(*), CAST(sum(fixture_id) AS BIGINT) FROM fx WHERE match_date>=DATE '1998-06-15' AND result IS NULL"""),
+)
+def publish_serving(spark, sf):
+    """Published twice: served tables hold one row per key, the history both versions."""
+    root, day = scratch_path(spark, "serving"), F.make_date(F.lit(1998), F.lit(6), F.lit(15))
+    testbed.fixtures(spark, sf).write.parquet(f"{root}/silver/fixtures")
+    standings = testbed.season_standings(spark, sf)
+    for version in ("v1", "v2"):
+        lifecycle.publish_all(spark, root, standings, testbed.predictions(spark, sf).withColumn("model_version", F.lit(version)), day)
+    keys = {
+        "match_predictions": c("fixture_id"), "historical_predictions": c("fixture_id"), "team_form": c("fixture_id"),
+        "upcoming_fixtures": c("fixture_id"), "league_standings": c("team_id") * 1000 + c("position") * 10 + c("season") % 10,
+    }
+    out = None
+    for name, key in keys.items():
+        row = spark.read.parquet(f"{root}/serving/{name}").agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.sum(key.cast("bigint")).alias("key_sum")
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query(
+    "expire_tables",
+    with_(FX, body="""SELECT 'fixtures' AS table_name, count(*) AS left_rows FROM fx WHERE match_date >= DATE '1998-03-31' - 60
+UNION ALL SELECT 'league_summary', count(*) FROM (SELECT DISTINCT league_id, season FROM fx WHERE make_date(season, 12, 31) >= DATE '1998-03-31' - 90)"""),
+)
+def expire_tables(spark, sf):
+    """Typed tables keep 60 days and marts 90, by their specs: days older go, and seasons that ended before that."""
+    root = scratch_path(spark, "expiry")
+    fixtures = testbed.fixtures(spark, sf)
+    tables.append_table(fixtures.select("fixture_id", "match_date"), f"{root}/silver/fixtures", ["match_date"])
+    tables.append_table(fixtures.select("league_id", "season").distinct(), f"{root}/gold/league_summary", ["season"])
+    lifecycle.expire_tables(spark, root, dt.date(1998, 3, 31))
+    out = None
+    for layer, name in (("silver", "fixtures"), ("gold", "league_summary")):
+        row = spark.read.parquet(f"{root}/{layer}/{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("left_rows"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query(
+    "table_statistics",
+    """SELECT 'o_orderkey' AS column_name, count(*) AS n_rows, count(*)-count(o_orderkey) AS n_nulls, true AS distinct_close, CAST(min(o_orderkey) AS VARCHAR) AS min, CAST(max(o_orderkey) AS VARCHAR) AS max FROM orders
+UNION ALL SELECT 'o_custkey', count(*), count(*)-count(o_custkey), true, CAST(min(o_custkey) AS VARCHAR), CAST(max(o_custkey) AS VARCHAR) FROM orders
+UNION ALL SELECT 'o_orderstatus', count(*), count(*)-count(o_orderstatus), true, NULL, NULL FROM orders""",
+)
+def table_statistics(spark, sf):
+    """A stored table analysed, its statistics read back from the catalog; distinct counts are sketches, so they are only
+    held to a tenth of the exact ones."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    rows = testbed.table(spark, sf, "orders").select(*columns)
+    name = f"statistics_{uuid.uuid4().hex[:8]}"
+    rows.write.option("path", scratch_path(spark, "statistics")).saveAsTable(name)
+    tables.analyze_table(spark, name, columns)
+    found = tables.table_statistics(spark, name, columns)
+    spark.sql(f"DROP TABLE {name}")
+    exact = rows.select(*[F.count_distinct(n).alias(n) for n in columns])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column_name"), c(n).alias("exact")) for n in columns])))
+    return found.join(exact, "column_name").select(
+        "column_name", "n_rows", "n_nulls", (F.abs(c("n_distinct") - c("exact")) <= c("exact") * 0.1).alias("distinct_close"), "min", "max"
+    )
+
+
 @query("load_late_rows", with_(FX, body="SELECT fixture_id, status, season FROM fx"))
 def load_late_rows(spark, sf):
     """Even fixtures land after the odd ones were loaded, for the same days; the next load reads them."""
@@ -466,7 +575,7 @@ def load_late_rows(spark, sf):
     odd = F.get_json_object("payload", "$.fixture.id").cast("bigint") % 2
     for number, batch in ((1, "b1"), (0, "b2")):
         tables.append_table(raw.filter(odd == number).withColumn("_batch_id", F.lit(batch)), f"{root}/bronze/fixtures")
-        lifecycle.load_table(spark, root, "fixtures", batch, partitioned=False)
+        lifecycle.load_table(spark, root, "fixtures", batch)
     return spark.read.parquet(f"{root}/silver/fixtures").select("fixture_id", "status", "season")
 
 
@@ -487,7 +596,7 @@ def load_rejects(spark, sf):
         .otherwise(c("payload"))
     )
     tables.append_table(raw.withColumn("payload", broken).drop("k"), f"{root}/bronze/fixtures")
-    lifecycle.load_table(spark, root, "fixtures", "r1", partitioned=False)
+    lifecycle.load_table(spark, root, "fixtures", "r1")
     rejects = spark.read.parquet(f"{root}/rejects/fixtures").groupBy(c("_reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
     loaded = spark.read.parquet(f"{root}/silver/fixtures").agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("n"))
     return rejects.unionByName(loaded)

@@ -195,6 +195,13 @@ TABLES = {
     "odds_wide": Table("silver", ("fixture_id", "bookmaker_id"), ("match_date",), ("fixture_id", "bookmaker_id")),
     "standings": Table("silver", ("league_id", "season", "team_id"), (), ("league_id", "season")),
     "injuries": Table("silver", ("player_id", "fixture_id"), ("match_date",), ("team_id", "player_id")),
+    "lineups": Table("silver", ("fixture_id", "team_id", "player_id"), ("match_date",), ("fixture_id", "team_id")),
+    "player_stats": Table("silver", ("fixture_id", "player_id", "team_id"), ("match_date",), ("player_id", "fixture_id")),
+    "api_predictions": Table("silver", ("fixture_id",), ("match_date",), ("fixture_id",)),
+    "teams": Table("silver", ("team_id",), (), ("team_id",)),
+    "leagues": Table("silver", ("league_id", "season"), (), ("league_id",)),
+    "players": Table("silver", ("player_id", "season"), (), ("player_id",)),
+    "transfers": Table("silver", ("player_id", "transfer_date", "to_team_id"), (), ("player_id",)),
     "match_features": Table("gold", ("fixture_id",), ("season",), ("fixture_id", "league_id"), 90),
     "match_predictions": Table("gold", ("fixture_id",), ("match_date",), ("fixture_id", "model_version"), 90),
     "team_form": Table("gold", ("team_id", "league_id", "season", "reference_date"), ("season",), ("team_id",), 90),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -177,10 +178,15 @@ def expired(df: DataFrame, column: str, days: int, today: dt.date) -> DataFrame:
     return df.filter(F.col(column) < F.lit(today - dt.timedelta(days=days)))
 
 
-def expire_partitions(spark: SparkSession, path: str, column: str, days: int, today: dt.date) -> int:
-    """Drop whole date partitions older than ``days``; returns how many went. Reads no data columns."""
-    table = spark.read.parquet(path)
-    old = expired(table.withColumn("_file", F.col("_metadata.file_path")), column, days, today)
+def expire_partitions(
+    spark: SparkSession, path: str, column: str, days: int, today: dt.date, last_day: Column | None = None
+) -> int:
+    """Drop whole partitions older than ``days``; returns how many went. Reads no data columns.
+
+    ``last_day`` is the last day of a partition where ``column`` is no date itself.
+    """
+    table = spark.read.parquet(path).withColumn("_day", F.col(column) if last_day is None else last_day)
+    old = expired(table.withColumn("_file", F.col("_metadata.file_path")), "_day", days, today)
     return _delete(spark, [directory for _, directory in _directories(old, [column])])
 
 
@@ -241,6 +247,25 @@ def analyze_table(spark: SparkSession, name: str, cols: Sequence[str]) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(map(quoted, cols))}")
 
 
+STATISTICS = "column_name STRING, n_rows BIGINT, n_nulls BIGINT, n_distinct BIGINT, min STRING, max STRING"
+
+
+def table_statistics(spark: SparkSession, name: str, cols: Sequence[str]) -> DataFrame:
+    """What the catalog knows of each column after :func:`analyze_table`: one row per column.
+
+    The cost-based optimiser reads the same figures. Minimum and maximum are as the catalog prints them; text has none.
+    """
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Statistics'").first()
+    found = re.search(r"(\d+) rows", described.data_type if described else "")
+    rows = []
+    for column in cols:
+        facts = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name} `{column}`").collect()}
+        facts = {k: None if v in (None, "NULL") else v for k, v in facts.items()}
+        number = lambda k: None if facts.get(k) is None else int(facts[k])  # noqa: B023, E731
+        rows.append((column, int(found[1]) if found else None, number("num_nulls"), number("distinct_count"), facts.get("min"), facts.get("max")))
+    return spark.createDataFrame(rows, STATISTICS)
+
+
 AUDIT = (
     "run_id STRING, step STRING, version STRING, status STRING, rows_affected BIGINT, duration_ms BIGINT,"
     " error_message STRING, started_at TIMESTAMP, finished_at TIMESTAMP, metadata STRING"
