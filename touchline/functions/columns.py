@@ -76,8 +76,9 @@ def pair_key(a: Column, b: Column) -> tuple[Column, Column]:
 
 
 def record_text(wins: Column, draws: Column, losses: Column) -> Column:
-    """Record as text, e.g. ``2W 1D 2L``."""
-    return F.format_string("%dW %dD %dL", wins, draws, losses)
+    """Record as text, e.g. ``2W 1D 2L``; NULL without one."""
+    known = wins.isNotNull() & draws.isNotNull() & losses.isNotNull()
+    return F.when(known, F.format_string("%dW %dD %dL", wins, draws, losses))
 
 
 def points(label: Column, win: str = "W", draw: str = "D") -> Column:

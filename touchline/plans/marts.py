@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import argmax_label, confidence_band, pair_key
-from touchline.operators.aggregates import injury_features, odds_consensus, pair_rows
+from touchline.operators.aggregates import head_to_head, injury_features, odds_consensus, pair_rows
 from touchline.operators.elo import EloRule, current_ratings, elo_ratings, team_ratings
 from touchline.operators.flatten import to_team_rows
 from touchline.operators.form import rolling_form
@@ -228,6 +228,29 @@ def prediction_rows(scored: DataFrame, version: str | Column, at: Column) -> Dat
     )
 
 
+def document_rows(predictions: DataFrame, fixtures: DataFrame, rated: DataFrame, odds: DataFrame) -> DataFrame:
+    """What a prediction's document tells: newest form and rating of both teams, their last five meetings, mean prices."""
+    form = team_form(fixtures).groupBy("team_id").agg(F.max(F.struct("match_date", "fixture_id", "form_string")).alias("m"))
+    state = form.select("team_id", F.col("m.form_string").alias("form")).join(
+        current_ratings(rated).select("team_id", F.round("rating").cast("int").alias("elo")), "team_id", "full"
+    )
+    rows = predictions
+    for side in ("home", "away"):
+        named = state.select(F.col("team_id").alias(f"{side}_team_id"), *[F.col(n).alias(f"{side}_{n}") for n in ("form", "elo")])
+        rows = rows.join(named, f"{side}_team_id", "left")
+    meetings = head_to_head(fixtures, 5).select(
+        "league_id", "home_team_id", "away_team_id", F.col("home_wins").alias("h2h_wins"),
+        F.col("draws").alias("h2h_draws"), F.col("away_wins").alias("h2h_losses"),
+    )
+    prices = odds_consensus(odds).select("fixture_id", *[F.col(f"odd_{o}_avg").alias(f"odd_{o}") for o in ("home", "draw", "away")])
+    named = {f"{side}_team_name": F.concat(F.lit("Team "), f"{side}_team_id") for side in ("home", "away")}
+    return (
+        rows.join(meetings, ["league_id", "home_team_id", "away_team_id"], "left")
+        .join(prices, "fixture_id", "left")
+        .withColumns({"league_name": F.concat(F.lit("League "), "league_id"), **named})
+    )
+
+
 def dim_teams(teams: DataFrame) -> DataFrame:
     return teams.select(
         "team_id", "team_name", "team_code", "country", "founded", "logo_url", "venue_name", "venue_city", "venue_capacity"

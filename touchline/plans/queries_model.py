@@ -6,10 +6,13 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from touchline.operators import aggregates, metrics
+from touchline.operators import aggregates, elo, metrics
 from touchline.plans import marts, model, serving, testbed
 from touchline.plans.catalog import query
+from touchline.plans.queries_marts import _CURRENT as CURRENT
+from touchline.plans.queries_marts import _ELO as ELO
 from touchline.plans.queries_marts import _FEATURES_SQL as FEATURES_SQL
+from touchline.plans.queries_marts import _PAIRS as PAIRS
 from touchline.plans.queries_marts import _rounded as rounded
 from touchline.plans.queries_marts import feature_mart
 from touchline.plans.sqltext import FX, PREDS, QUOTES, SEASONS, TEAMS, with_
@@ -399,38 +402,27 @@ lf AS (SELECT * FROM fs QUALIFY row_number() OVER (PARTITION BY team_id ORDER BY
 
 @query(
     "prediction_document",
-    with_(TEAMS, PREDS, _DOCUMENT, body="""SELECT p.fixture_id, p.confidence, p.prob_home_win AS home_win, h.form AS home_form, a.form AS away_form,
-  'League ' || p.league_id AS league, CAST(p.match_date AS VARCHAR) AS match_date FROM p
-LEFT JOIN lf h ON h.team_id=p.home_team_id LEFT JOIN lf a ON a.team_id=p.away_team_id"""),
+    with_(TEAMS, PREDS, QUOTES, ELO, CURRENT, PAIRS, _DOCUMENT, """
+hh AS (SELECT league_id, team_a, team_b, sum(a_win) AS aw, sum(draw) AS d, sum(b_win) AS bw FROM (SELECT * FROM m
+  QUALIFY row_number() OVER (PARTITION BY league_id, team_a, team_b ORDER BY match_date DESC, fixture_id DESC)<=5) GROUP BY ALL),
+oc AS (SELECT fixture_id, avg(odd_home) AS oh FROM ow GROUP BY 1)""",
+    body="""SELECT p.fixture_id, p.confidence, p.prob_home_win AS home_win, h.form AS home_form, a.form AS away_form,
+  'League ' || p.league_id AS league, CAST(p.match_date AS VARCHAR) AS match_date, CAST(round(rh.rating) AS INTEGER) AS home_elo,
+  CAST(round(ra.rating) AS INTEGER) AS away_elo, CASE WHEN p.home_team_id<=p.away_team_id THEN aw ELSE bw END || 'W ' || d || 'D ' ||
+  CASE WHEN p.home_team_id<=p.away_team_id THEN bw ELSE aw END || 'L' AS record, round(oh, 4) AS odd_home FROM p
+LEFT JOIN lf h ON h.team_id=p.home_team_id LEFT JOIN lf a ON a.team_id=p.away_team_id
+LEFT JOIN cr rh ON rh.team_id=p.home_team_id LEFT JOIN cr ra ON ra.team_id=p.away_team_id
+LEFT JOIN hh ON hh.league_id=p.league_id AND hh.team_a=least(p.home_team_id, p.away_team_id) AND hh.team_b=greatest(p.home_team_id, p.away_team_id)
+LEFT JOIN oc ON oc.fixture_id=p.fixture_id""",
+    ),
 )
 def prediction_document(spark, sf):
-    """Documents for every prediction, read back by path."""
-    fixtures = testbed.fixtures(spark, sf)
-    form = marts.team_form(fixtures)
-    newest = form.groupBy("team_id").agg(F.max(F.struct("match_date", "fixture_id", "form_string")).alias("m")).select(
-        "team_id", c("m.form_string").alias("form")
-    )
-    rows = testbed.predictions(spark, sf)
-    for side in ("home", "away"):
-        rows = rows.join(
-            newest.select(c("team_id").alias(f"{side}_team_id"), c("form").alias(f"{side}_form")), f"{side}_team_id", "left"
-        )
-    ready = rows.withColumns(
-        {
-            "league_name": F.concat(F.lit("League "), c("league_id")),
-            "home_team_name": F.concat(F.lit("Team "), c("home_team_id")),
-            "away_team_name": F.concat(F.lit("Team "), c("away_team_id")),
-            "home_elo": F.lit(1500),
-            "away_elo": F.lit(1500),
-            "h2h_wins": F.lit(2),
-            "h2h_draws": F.lit(1),
-            "h2h_losses": F.lit(2),
-            "odd_home": F.lit(2.35),
-            "odd_draw": F.lit(3.4),
-            "odd_away": F.lit(2.9),
-        }
+    """Documents for every prediction with form, current ratings, last five meetings and mean prices, read back by path."""
+    fixtures = stored(testbed.fixtures(spark, sf), "fixtures")
+    rated = elo.elo_ratings(fixtures)
+    documents = serving.prediction_document(
+        marts.document_rows(testbed.predictions(spark, sf), fixtures, rated, testbed.odds_wide(spark, sf))
     )
-    documents = serving.prediction_document(ready)
 
     def field(path: str):
         return F.get_json_object("document", path)
@@ -443,6 +435,10 @@ def prediction_document(spark, sf):
         field("$.context.away_form").alias("away_form"),
         field("$.league").alias("league"),
         field("$.match_date").alias("match_date"),
+        field("$.context.home_elo").cast("int").alias("home_elo"),
+        field("$.context.away_elo").cast("int").alias("away_elo"),
+        field("$.context.h2h_last_5").alias("record"),
+        F.round(field("$.context.market_odds.home").cast("double"), 4).alias("odd_home"),
     )
 
 
