@@ -103,11 +103,14 @@ ORACLES: dict[str, str] = {
     "op1_line_dedup": """
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS s, generate_subscripts(ls, 1) AS ln FROM d),
-f AS (SELECT doc_id, s, ln, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS i FROM l WHERE regexp_matches(s, '\\S')),
-w AS (SELECT doc_id, i, s, lead(s) OVER (PARTITION BY doc_id ORDER BY i) AS t FROM f),
-o AS (SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY s, t) AS o FROM w WHERE t IS NOT NULL),
-c AS (SELECT doc_id, i, o FROM o WHERE (doc_id, i) > o UNION ALL SELECT doc_id, i + 1, o FROM o WHERE (doc_id, i) > o),
-r AS (SELECT DISTINCT doc_id, i FROM c WHERE NOT (o[1] = doc_id AND i < o[2] + 2)),
+f AS (SELECT doc_id, s, ln, row_number() OVER w AS i, len(regexp_extract_all(s, '\\S+')) AS n, sum(len(regexp_extract_all(s, '\\S+'))) OVER w AS c
+  FROM l WHERE regexp_matches(s, '\\S') WINDOW w AS (PARTITION BY doc_id ORDER BY ln)),
+p AS (SELECT a.doc_id, a.i, b.i AS j FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i AND a.i + 9 AND b.c - a.c + a.n >= 10),
+w AS (SELECT doc_id, i, min(j) AS j FROM p GROUP BY doc_id, i UNION SELECT doc_id, max(i), j FROM p GROUP BY doc_id, j),
+t AS (SELECT w.doc_id, w.i, w.j, list(f.s ORDER BY f.i) AS t FROM w JOIN f ON f.doc_id = w.doc_id AND f.i BETWEEN w.i AND w.j GROUP BY ALL),
+o AS (SELECT doc_id, i, j, min((doc_id, i)) OVER (PARTITION BY t) AS o FROM t),
+r AS (SELECT DISTINCT doc_id, x AS i FROM (SELECT doc_id, i, j, o, unnest(range(i, j + 1)) AS x FROM o WHERE (doc_id, i) > o)
+  WHERE NOT (o[1] = doc_id AND x < o[2] + (j - i + 1))),
 n AS (SELECT doc_id, count(*) AS n_removed, sum(CAST(p IS DISTINCT FROM i - 1 AS BIGINT)) AS n_runs
   FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM r) GROUP BY doc_id),
 k AS (SELECT l.doc_id, string_agg(l.s, chr(10) ORDER BY l.ln) AS text FROM l LEFT JOIN f USING (doc_id, ln)
