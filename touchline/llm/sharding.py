@@ -11,7 +11,8 @@ a bucket are ordered by hash before they are shuffled and the generator is seede
 partition count give one result.
 
 Defined cases: a null text has no bytes and stays null; null ids and repeated rows are placed like others; rows equal in
-every column share a bucket; an empty table gives no rows; extra columns are written with the texts.
+every column share a bucket; an empty table gives no rows; extra columns are written with the texts, but for those named
+``shard`` and ``slot``, which the result has itself.
 """
 
 from __future__ import annotations
@@ -52,14 +53,15 @@ def shard_documents(
         sizes.select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")), "bucket-offsets"
     )
     row = F.struct(_hash(docs, seed + 1).alias("__order"), *[F.col(f"`{n}`") for n in docs.columns])
-    scattered = docs.select(bucket.alias("__bucket"), row.alias("__row")).repartition(int(n_buckets), "__bucket")
+    # The bucket is the partition: hashing its number again would put several buckets into one task.
+    scattered = docs.select(bucket.alias("__bucket"), row.alias("__row")).repartitionById(int(n_buckets), "__bucket")
     held = scattered.sortWithinPartitions("__bucket", "__row.__order").groupBy("__bucket").agg(F.collect_list("__row").alias("__rows"))
     dealt = held.join(offsets, "__bucket").select("__offset", F.posexplode(F.shuffle("__rows", F.lit(seed))).alias("__place", "__row"))
     rows = max(1, sizes.agg(F.sum("__n")).first()[0] or 0)
     dealt = dealt.withColumn("__at", F.col("__offset") + F.col("__place"))
     dealt = dealt.withColumn("shard", F.expr(f"CAST(__at * {n_shards} DIV {rows} AS INT)"))
     out = dealt.select(
-        *[F.col(f"__row.`{n}`") for n in docs.columns],
+        *[F.col(f"__row.`{n}`").alias(n) for n in docs.columns if n not in ("shard", "slot")],
         "shard",
         F.expr(f"__at - (CAST(shard AS BIGINT) * {rows} + {n_shards - 1}) DIV {n_shards}").alias("slot"),
     )
