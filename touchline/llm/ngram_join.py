@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,16 @@ from touchline.llm.common import staged, text_or_empty
 
 MEMO_WORDS = 300_000
 BLOCK_ROWS, BLOCK_GRAMS = 1024, 1_500_000
-_MULTIPLIERS = np.random.default_rng(20240601).integers(0, 1 << 63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+@lru_cache(4)
+def _multipliers(count: int) -> np.ndarray:
+    """Odd seeded multipliers; a longer table begins like a shorter one."""
+    drawn = np.random.default_rng(20240601).integers(0, 1 << 63, max(1024, count), dtype=np.uint64)
+    return drawn * np.uint64(2) + np.uint64(1)
+
+
+_MULTIPLIERS = _multipliers(1024)
 
 
 def choose_bands(threshold: float, recall: float, rows: int = 5) -> tuple[int, int]:
@@ -84,7 +94,8 @@ def signature(grams: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """Band hashes of a set of n-grams."""
     count = bands * rows
     least = np.full(count, np.iinfo(np.uint64).max, np.uint64)
-    a, c = _MULTIPLIERS[16 : 16 + count, None], _MULTIPLIERS[16 + count : 16 + 2 * count, None]
+    table = _multipliers(16 + 2 * count)  # as long as the bands need
+    a, c = table[16 : 16 + count, None], table[16 + count : 16 + 2 * count, None]
     for i in range(0, len(grams), 1024):
         np.minimum(least, ((grams[None, i : i + 1024] ^ c) * a).min(axis=1), out=least)
     folded = (least.reshape(bands, rows) * _MULTIPLIERS[None, :rows]).sum(axis=1, dtype=np.uint64)
