@@ -131,16 +131,18 @@ def test_shuffle_moves_rows_evenly(spark, make):
 # --- line dedup ------------------------------------------------------------------------------------------------------
 
 
-def line_brute(rows, m):
-    """Kept text per (id, text), by looking at every window of m lines in order."""
+def line_brute(rows, w):
+    """Kept text per (id, text), by looking at every run of lines of every length with at least w words, in order."""
     order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))
     first, gone = {}, collections.defaultdict(set)
     for d, (_, text) in enumerate(order):
         lines = [x for x in (text or "").split("\n") if re.search(r"\S", x)]
-        for i in range(len(lines) - m + 1):
-            o = first.setdefault(tuple(lines[i : i + m]), (d, i))
-            if o != (d, i):
-                gone[d] |= {j for j in range(i, i + m) if not (o[0] == d and j < o[1] + m)}
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                if sum(len(x.split()) for x in lines[i:j]) >= w:
+                    o = first.setdefault(tuple(lines[i:j]), (d, i))
+                    if o != (d, i):
+                        gone[d] |= {k for k in range(i, j) if not (o[0] == d and k < o[1] + j - i)}
     out = {}
     for d, (doc_id, text) in enumerate(order):
         kept, at = [], 0
@@ -154,22 +156,45 @@ def line_brute(rows, m):
     return out
 
 
-@pytest.mark.parametrize("m", [1, 2, 3, 5])
-def test_line_dedup(make, m):
-    rnd = random.Random(m)
-    texts = ["\n".join(rnd.choices(["a", "b", "c", "long line", "", " "], k=rnd.randint(0, 14))) for _ in range(60)]
+@pytest.mark.parametrize("w", [1, 2, 3, 5, 9, 17])
+def test_line_dedup(make, w):
+    rnd = random.Random(w)
+    texts = ["\n".join(rnd.choices(["a", "b", "c", "a long line", " six words are in this one ", "", " "], k=rnd.randint(0, 14))) for _ in range(60)]
     texts += [texts[0], None, "", "a\na\na\na\na\na", "x\ny", "x\ny", "unique\nlines\nonly", (70, "p\nq\np\nq"), (70, "p\nq\np\nq"), (None, "p\nq")]
     docs = make(texts)
-    want = line_brute([(r.doc_id, r.text) for r in docs.collect()], m)
-    rows = line_dedup.drop_repeated_lines(docs.withColumn("before", F.col("text")), m).collect()
+    want = line_brute([(r.doc_id, r.text) for r in docs.collect()], w)
+    rows = line_dedup.drop_repeated_lines(docs.withColumn("before", F.col("text")), w).collect()
     assert len(rows) == docs.count()
     for r in rows:
         assert (r.text, len(r.removed_lines or [])) == want[r.doc_id, r.before], (r, want[r.doc_id, r.before])
 
 
+def test_one_long_line_is_a_run(make):
+    passage, short = " ".join(f"word{i}" for i in range(60)), "short line"
+    docs = make([f"one\n{passage}\n{short}", f"two other\n{passage}", f"{short}\nthree", f"{passage}\n{passage}"])
+    left = {r.doc_id: r.text for r in line_dedup.line_report(docs).collect()}
+    assert left == {0: f"one\n{passage}\n{short}", 1: "two other", 2: f"{short}\nthree", 3: ""}
+
+
+def test_extra_columns_keep_their_values(odd, labels):
+    """Columns with the operators' own names pass through."""
+    names = ["text_sha256", "removed", "n_words", "kept", "rule", "base_failed", "f_words", "shard", "slot", "__id", "word_chars", "keep_id", "bucket"]
+    docs = odd.select("doc_id", "text", "lang", *[F.concat_ws("/", F.lit(n), "lang").alias(n) for n in names])
+    results = {
+        "exact": exact_dedup.distinct_documents(docs), "quality": quality_rules.keep_good(docs, labels),
+        "lines": line_dedup.drop_repeated_lines(docs).drop("removed_lines"),
+        "shards": sharding.shard_documents(docs, scratch_path(odd.sparkSession, "clash"), 3),
+    }
+    for kind, out in results.items():
+        own = {"shard", "slot"} if kind == "shards" else set()
+        assert sorted(out.columns) == sorted(docs.columns), kind
+        wrong = [out[n] != F.concat_ws("/", F.lit(n), "lang") for n in names if n not in own]
+        assert out.count() > 0 and all(out.where(w).isEmpty() for w in wrong), kind
+
+
 def test_line_dedup_edges(odd, no_docs):
     assert line_dedup.line_report(odd).count() == odd.count()
-    assert line_dedup.drop_repeated_lines(odd).drop("removed_lines").columns.sort() == list(odd.columns).sort()
+    assert sorted(line_dedup.drop_repeated_lines(odd).drop("removed_lines").columns) == sorted(odd.columns)
     assert line_dedup.line_report(no_docs).count() == 0
 
 

@@ -88,10 +88,12 @@ def distinct_documents(docs: DataFrame, index: DigestIndex | None = None) -> Dat
     decisions = staged(decide(docs, index), "decisions").withColumnRenamed("doc_id", "__id")
     counts = decisions.groupBy("text_sha256", "__id", "kept").agg(F.count(F.lit(1)).alias("__n"))
     removed = staged(counts.where("NOT kept OR __n > 1").withColumnRenamed("kept", "__kept"), "removed")
-    rows = docs.withColumn("__sha", F.lower(F.hex(text_digest())))
-    same = (F.col("__sha") == F.col("text_sha256")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    # The caller's columns travel in one struct, so that no name of theirs meets one of the operator's.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    rows = docs.select(row, F.lower(F.hex(text_digest())).alias("__sha"), F.col("doc_id").alias("__doc"))
+    same = (F.col("__sha") == F.col("text_sha256")) & F.col("__doc").eqNullSafe(F.col("__id"))
     # One plan at every size: the texts are shuffled once, whether few or many rows go.
     marked = rows.join(removed.hint("merge"), same, "left")
     once = marked.where("__kept IS NULL")
     repeated = marked.where("__kept").dropDuplicates(["__sha"])
-    return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return once.unionByName(repeated).select("__row.*")

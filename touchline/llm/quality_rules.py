@@ -268,5 +268,7 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    rows, _ = judge(docs, labels, keep=tuple(docs.columns))
-    return rows.where("kept").select(*[F.col(f"`{n}`") for n in docs.columns])
+    # The caller's columns travel in one struct, so that no name of theirs meets one of the operator's.
+    whole = F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("__row")
+    rows, _ = judge(docs.select("doc_id", "text", whole), labels, keep=("__row",))
+    return rows.where("kept").select("__row.*")
