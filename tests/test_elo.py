@@ -132,3 +132,27 @@ def test_violations(spark, rows):
     assert elo.elo_violations(rated).isEmpty()
     broken = rated.withColumn("home_after", F.when(F.col("fixture_id") == min(plain(rows)[0]), 3000.0).otherwise(F.col("home_after")))
     assert elo.elo_violations(broken).first().reason == "out_of_range"
+
+
+def test_stream_resumes_and_marks_late_matches(spark):
+    """Landings in order equal the batch; a match of an earlier day is rated as it comes."""
+    from touchline.session import scratch_path
+    from touchline.streaming import live
+
+    schema = (
+        "league_id BIGINT, fixture_id BIGINT, match_date DATE, season INT, home_team_id BIGINT, away_team_id BIGINT,"
+        " goals_home INT, goals_away INT, result STRING"
+    )
+    days = [dt.date(2024, 8, 1) + dt.timedelta(days=i) for i in range(6)]
+    played = [(pool, 10 * i + pool, days[i], 2024, i % 3, (i + 1) % 3, i % 4, (i * pool) % 3, "x") for i in range(6) for pool in (1, 2)]
+    root = scratch_path(spark, "rate")
+    landings = [played[4:8], played[8:], played[:2]]
+    for rows in landings:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{root}/in")
+        live.run_to_table(elo.elo_stream(live.raw_stream(spark, f"{root}/in", schema)), f"{root}/out", f"{root}/checkpoint")
+    columns = ["fixture_id", "home_before", "away_before", "home_after", "away_after"]
+    found = spark.read.parquet(f"{root}/out")
+    on_time = {tuple(r) for r in found.filter("NOT late").select(columns).collect()}
+    batch = elo.elo_ratings(spark.createDataFrame(played[4:], schema)).select(columns)
+    assert on_time == {tuple(r) for r in batch.collect()}
+    assert {r.fixture_id for r in found.filter("late").collect()} == {1, 2}

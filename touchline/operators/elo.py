@@ -10,6 +10,7 @@ is everything that shares no team:
 * :func:`elo_by_level` rates all matches of one day and level in one distributed join, over all pools and inside them. A
   match's level is the longest chain of that day's matches before it through its two teams. It is for pools with so many
   teams that one task should not even hold a slab of them.
+* :func:`elo_stream` keeps the ratings as state of a stream, so matches are rated as they land.
 * ``init`` resumes from stored ratings, so a daily run folds only the new matches; :func:`elo_by_period` takes calendar
   periods for slabs.
 """
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from touchline.operators.ordered import global_row_number
 from touchline.session import scratch_path, stored
@@ -165,6 +167,42 @@ def elo_ratings(
     return fixtures.sparkSession.read.schema(RATINGS).parquet(path)
 
 
+STREAM_STATE = "teams ARRAY<BIGINT>, ratings ARRAY<DOUBLE>, seasons ARRAY<INT>, last_day INT, last_fixture BIGINT"
+
+
+def elo_stream(fixtures: DataFrame, pool: str = "league_id", rule: EloRule = EloRule(), k: str | None = None) -> DataFrame:
+    """The same ratings over a stream of fixtures, with ``late``; each pool's ratings are state kept in the checkpoint.
+
+    A trigger's matches of a pool are folded in (match_date, fixture_id) order, so landings in order of time give the
+    ratings of :func:`elo_ratings`, however often the stream is stopped. A match that arrives after a later one of its pool
+    was rated is rated as it comes and marked ``late``. State holds one rating per team; what a trigger reads bounds the rows
+    of a task.
+    """
+
+    def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        teams, ratings, seasons, *last = state.get if state.exists else ([], [], [], -1, -1)
+        known = pd.DataFrame({c: [0] * len(teams) for c in MATCH_COLUMNS}).assign(
+            pool=key[0], home_team_id=list(teams), rating=list(ratings), season=list(seasons), is_state=True
+        )
+        rows = pd.concat(frames).sort_values(["match_date", "fixture_id"]).assign(pool=key[0], is_state=False, rating=0.0)
+        *_, rated = _fold(rule, [known, rows])
+        newest = dict(zip(teams, zip(ratings, seasons, strict=True), strict=True))
+        for home, away, after_home, after_away, season in zip(
+            *(rated[c].tolist() for c in ("home_team_id", "away_team_id", "home_after", "away_after", "season")), strict=True
+        ):
+            newest[home], newest[away] = (after_home, season), (after_away, season)
+        places = [(day.toordinal(), fixture) for day, fixture in zip(rated["match_date"], rated["fixture_id"].tolist(), strict=True)]
+        day, fixture = max(tuple(last), places[-1])
+        values = list(newest.values())
+        state.update((list(newest), [v[0] for v in values], [v[1] for v in values], day, fixture))
+        yield rated.assign(late=[place < tuple(last) for place in places])
+
+    matches = _matches(fixtures, pool, rule, k).filter("match_date IS NOT NULL")
+    return matches.groupBy("pool").applyInPandasWithState(
+        fold, f"{RATINGS}, late BOOLEAN", STREAM_STATE, "append", GroupStateTimeout.NoTimeout
+    )
+
+
 def team_ratings(rated: DataFrame) -> DataFrame:
     """Two rows per rated match: ``team_id, elo_before, elo_after``."""
     sides = F.array(

@@ -14,6 +14,7 @@ from touchline.operators.flatten import stamp
 from touchline.plans import marts, serving, silver
 from touchline.schemas import FEEDS, RAW, TABLES
 from touchline.session import stored
+from touchline.sources.histories import load_history
 from touchline.sources.landing import scan_since, split_raw
 from touchline.sources.tables import (
     append_table,
@@ -144,6 +145,23 @@ def publish_all(spark: SparkSession, root: str, standings: DataFrame, prediction
     append_table(predictions, f"{root}/serving/historical_predictions")
 
 
+def keep_history(
+    spark: SparkSession, root: str, as_of: dt.date, standings: DataFrame | None = None, strength: DataFrame | None = None
+) -> dict[str, bool]:
+    """Load the day's standings and ratings into their history tables; returns which of them changed."""
+    given = {
+        "standings": (standings, ["league_id", "season", "team_id"], ["position", "points", "form"]),
+        "team_strength": (strength, ["pool", "team_id"], ["elo_rating"]),
+    }
+    if strength is not None:
+        given["team_strength"] = (strength.withColumn("elo_rating", F.round("rating").cast("int")), *given["team_strength"][1:])
+    return {
+        name: load_history(rows, f"{root}/history/{name}", keys, checked, as_of)
+        for name, (rows, keys, checked) in given.items()
+        if rows is not None
+    }
+
+
 def expire_tables(spark: SparkSession, root: str, today: dt.date) -> dict[str, int]:
     """Drop partitions of typed and mart tables older than each spec's ``retention_days``; returns how many went.
 

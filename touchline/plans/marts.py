@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import argmax_label, confidence_band, pair_key
-from touchline.operators.aggregates import head_to_head, injury_features, odds_consensus, pair_rows
+from touchline.operators.aggregates import (
+    head_to_head,
+    injury_features,
+    odds_consensus,
+    pair_rows,
+    standings_table,
+    team_season_stats,
+)
 from touchline.operators.elo import EloRule, current_ratings, elo_ratings, team_ratings
 from touchline.operators.flatten import to_team_rows
 from touchline.operators.form import rolling_form
@@ -40,6 +48,18 @@ def team_strength(fixtures: DataFrame, rule: EloRule = EloRule()) -> DataFrame:
     return current_ratings(elo_ratings(fixtures, rule=rule))
 
 
+def standings_on(played: DataFrame, day: dt.date) -> DataFrame:
+    """Every season's table after the matches up to ``day``: position, points and the form of the last match.
+
+    ``played`` is :func:`team_form`, one row per team and played match.
+    """
+    known = played.filter(F.col("match_date") <= F.lit(day))
+    last = F.max(F.struct("match_date", "fixture_id", "form_string")).getField("form_string").alias("form")
+    form = known.groupBy("league_id", "season", "team_id").agg(last)
+    table = standings_table(team_season_stats(known))
+    return table.join(form, ["league_id", "season", "team_id"]).select("league_id", "season", "team_id", "position", "points", "form")
+
+
 def meeting_features(fixtures: DataFrame, n: int = 10) -> DataFrame:
     """Record of the pair over its last ``n`` meetings strictly before each fixture, seen from its home side."""
     sums = ("a_win", "draw", "b_win", "a_goals", "b_goals")

@@ -6,18 +6,23 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from touchline.operators import ordered, quality
-from touchline.plans import lifecycle, queries_silver, silver, testbed  # noqa: F401  their SQL counts the typed rows
+from touchline.operators import elo, ordered, quality
+from touchline.plans import lifecycle, marts, queries_marts, queries_silver, silver, testbed  # noqa: F401  their SQL counts the typed rows
 from touchline.plans.catalog import ORACLES, query
 from touchline.plans.sqltext import FX, PREDS, QUOTES, SEASONS, TEAMS, with_
 from touchline.schemas import FEEDS
-from touchline.session import scratch_path
-from touchline.sources import landing, tables
+from touchline.session import scratch_path, stored
+from touchline.sources import histories, landing, tables
 from touchline.streaming import live
 
 c = F.col
 
+_STANDING_COLUMNS = (
+    "fixture_id", "league_id", "season", "team_id", "match_date", "outcome", "goals_for", "goals_against", "form_string",
+)
+
 
 @query(
     "scan_since",
@@ -602,6 +607,68 @@ def load_rejects(spark, sf):
     return rejects.unionByName(loaded)
 
 
+# --- kept histories -------------------------------------------------------------------------------
+
+_SNAPSHOT_DAYS = (dt.date(1993, 6, 30), dt.date(1993, 9, 30), dt.date(1996, 12, 31), dt.date(1998, 7, 31))
+_STANDINGS_KEPT = "league_id BIGINT, season INT, team_id BIGINT, position INT, points INT, form STRING"
+_DAYS = "dy AS (SELECT unnest([" + ", ".join(f"DATE '{d}'" for d in _SNAPSHOT_DAYS) + "]) AS day)"
+
+
+def _versions(keys: str, checked: str) -> str:
+    """Intervals of the snapshots in ``sd``: a version begins where a checked column differs from the snapshot before."""
+    differs = " OR ".join(f"{n} IS DISTINCT FROM lag({n}) OVER w" for n in checked.split(", "))
+    return f"""SELECT {keys}, {checked}, day AS valid_from, lead(day) OVER w AS valid_to, lead(day) OVER w IS NULL AS is_current
+FROM (SELECT * FROM sd WINDOW w AS (PARTITION BY {keys} ORDER BY day) QUALIFY row_number() OVER w = 1 OR {differs})
+WINDOW w AS (PARTITION BY {keys} ORDER BY day)"""
+
+
+@query(
+    "standings_history",
+    with_(
+        TEAMS,
+        _DAYS,
+        """
+fo AS (SELECT *, string_agg(outcome, '') OVER (PARTITION BY team_id ORDER BY match_date, fixture_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS f FROM pr),
+sn AS (SELECT day, league_id, season, team_id, arg_max(f, (match_date, fixture_id)) AS form, sum(goals_for) AS gf, sum(goals_for)-sum(goals_against) AS gd,
+  CAST(sum(CASE outcome WHEN 'W' THEN 3 WHEN 'D' THEN 1 ELSE 0 END) AS INTEGER) AS points FROM fo JOIN dy ON match_date<=day GROUP BY ALL),
+sd AS (SELECT *, CAST(row_number() OVER (PARTITION BY day, league_id, season ORDER BY points DESC, gd DESC, gf DESC, team_id) AS INTEGER) AS position FROM sn)""",
+        body=_versions("league_id, season, team_id", "position, points, form"),
+    ),
+)
+def standings_history(spark, sf):
+    """Tables of every season as known on four days, kept in the history table; the last day is loaded twice."""
+    root, rows = scratch_path(spark, "history"), marts.team_form(testbed.fixtures(spark, sf))
+    rows = stored(rows.select(*_STANDING_COLUMNS), "played")
+    for day in (*_SNAPSHOT_DAYS, _SNAPSHOT_DAYS[-1]):
+        lifecycle.keep_history(spark, root, day, standings=marts.standings_on(rows, day))
+    return histories.read_history(spark, f"{root}/history/standings", T.StructType.fromDDL(_STANDINGS_KEPT))
+
+
+@query(
+    "strength_history",
+    with_(
+        FX,
+        queries_marts._ELO,
+        _DAYS,
+        """
+tg AS (SELECT pool*100+x AS team_id, fixture_id, rating FROM (
+    SELECT e.pool, e.fixture_id, n.h AS x, round(hb+g) AS rating FROM e JOIN n ON n.pool=e.pool AND n.i=e.i WHERE e.i>0
+    UNION ALL SELECT e.pool, e.fixture_id, n.a, round(ab-g) FROM e JOIN n ON n.pool=e.pool AND n.i=e.i WHERE e.i>0)),
+sd AS (SELECT day, team_id, CAST(arg_max(rating, (match_date, fixture_id)) AS INTEGER) AS elo_rating
+  FROM tg JOIN fx USING (fixture_id) JOIN dy ON match_date<=day GROUP BY ALL)""",
+        body=_versions("team_id", "elo_rating"),
+    ),
+)
+def strength_history(spark, sf):
+    """Ratings as known on four days, kept in the history table."""
+    root, rated = scratch_path(spark, "history"), elo.elo_ratings(testbed.fixtures(spark, sf))
+    for day in _SNAPSHOT_DAYS:
+        strength = elo.current_ratings(rated.filter(c("match_date") <= F.lit(day)))
+        lifecycle.keep_history(spark, root, day, strength=strength)
+    kept = T.StructType.fromDDL("pool BIGINT, team_id BIGINT, elo_rating INT")
+    return histories.read_history(spark, f"{root}/history/team_strength", kept).drop("pool")
+
+
 # --- streams --------------------------------------------------------------------------------------
 
 
@@ -624,6 +691,18 @@ def stream_upsert(spark, sf):
     return spark.read.parquet(f"{root}/fixtures").select("fixture_id", "status", "result", "season")
 
 
+@query("stream_ratings", queries_marts._RATED)
+def stream_ratings(spark, sf):
+    """Matches arrive in three landings; the stream is stopped after each and goes on from its checkpoint."""
+    root, fixtures = scratch_path(spark, "stream-ratings"), testbed.fixtures(spark, sf)
+    cuts = [dt.date(1900, 1, 1), dt.date(1994, 7, 1), dt.date(1996, 7, 1), dt.date(2100, 1, 1)]
+    for begin, end in zip(cuts, cuts[1:], strict=False):
+        fixtures.filter((c("match_date") >= F.lit(begin)) & (c("match_date") < F.lit(end))).write.mode("append").parquet(f"{root}/landed")
+        stream = live.raw_stream(spark, f"{root}/landed", fixtures.schema)
+        live.run_to_table(elo.elo_stream(stream), f"{root}/rated", f"{root}/checkpoint")
+    return queries_marts._rated(spark.read.parquet(f"{root}/rated").filter(~c("late")))
+
+
 def _event_stream(spark, sf, root):
     rows = testbed.table(spark, sf, "events").select("event_id", "user_id", c("ts").cast("timestamp").alias("ts"), "event_type", "value")
     rows.write.parquet(f"{root}/events")

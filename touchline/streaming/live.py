@@ -7,13 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from touchline.operators.ordered import dedup_latest
 from touchline.schemas import RAW
 from touchline.sources.tables import upsert_table
 
 
-def raw_stream(spark: SparkSession, path: str, schema: str = RAW, files_per_trigger: int | None = None) -> DataFrame:
+def raw_stream(spark: SparkSession, path: str, schema: str | StructType = RAW, files_per_trigger: int | None = None) -> DataFrame:
     """A raw table directory as a stream."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
