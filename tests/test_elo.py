@@ -97,6 +97,14 @@ def test_slabs_of_any_size_give_the_same(spark, rows, rows_per_task):
     assert most == -(-max(played) // rows_per_task)
 
 
+def test_long_histories_have_a_bounded_number_of_slabs(spark, rows):
+    """Slabs run one after another: with one match each, their number followed the length of the history."""
+    long = [(r[0], 0, *r[2:]) for r in rows if r[8] is not None][:200]
+    rated = elo.elo_ratings(spark.createDataFrame(long, SCHEMA), rows_per_task=1)
+    assert close(values(rated), plain(long)[0])
+    assert len({r.rsplit("/", 2)[1] for r in rated.inputFiles()}) == 50  # four matches each
+
+
 def test_no_matches(spark):
     assert elo.elo_ratings(spark.createDataFrame([], SCHEMA)).isEmpty()
 
