@@ -248,3 +248,27 @@ def test_quality_checks(spark):
     assert fresh.status == "error"
     report = quality.run_checks({"a": df.limit(0), "b": df})
     assert {r.check_name: r.status for r in report.collect()} == {"a": "pass", "b": "fail"}
+
+
+def test_usable_raw_rows_are_parsed_once(spark):
+    """They were turned back into text, and searched for their id, before the load read them."""
+    good = '{"fixture": {"id": 1, "date": "2024-08-01"}}'
+    payloads = [
+        good, good[:30], good + "}", '{"other": 1}', '{"fixture": {"id": null}}', '{"fixture": {"id": "abc"}}', '{"fixture": {"id": NaN}}',
+        "", None, "[1]", '{"fixture": 5}',
+    ]
+    raw = spark.createDataFrame([(p, str(i)) for i, p in enumerate(payloads)], "payload STRING, _batch_id STRING")
+    usable, rejected = landing.split_raw(raw, "fixtures")
+    assert {r._batch_id for r in usable.collect()} == {"0", "2", "5"}
+    reasons = {r._batch_id: r._reject_reason for r in rejected.collect()}
+    no_fields, malformed = dict.fromkeys("3 10 9".split(), "no_fields"), dict.fromkeys("1 6 7 8".split(), "malformed")
+    assert reasons == {**no_fields, **malformed, "4": "null_key"}
+    assert "structstojson" not in usable._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_keys_whose_hashes_agree_are_compared(spark):
+    """A hash skips NULL, so these two keys share one."""
+    rows = spark.createDataFrame([(None, "x"), ("x", None)], "a STRING, b STRING")
+    tables.reject_duplicates(rows, ["a", "b"])
+    with pytest.raises(ValueError, match="several rows"):
+        tables.reject_duplicates(rows.unionByName(rows), ["a", "b"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,14 +52,25 @@ def land_raw(
 
 def split_raw(raw: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     """Raw rows that a load can use, and the others with ``_reject_reason``: malformed JSON, a record with none of the
-    feed's fields, or one without the feed's id."""
+    feed's fields, or one without the feed's id.
+
+    A usable row is parsed once: only where that parse failed, or found no id, is the text searched again.
+    """
     spec = FEEDS[feed]
-    parsed = raw.withColumn("_rec", F.explode(F.array(F.from_json("payload", spec.schema))))
+    strict = {"columnNameOfCorruptRecord": "_unparsed", "allowNonNumericNumbers": "false"}
+    record = F.from_json("payload", f"{spec.schema}, _unparsed STRING", strict)
+    parsed = raw.withColumn("_rec", F.explode(F.array(record)))
+    fields = [f.name for f in parsed.schema["_rec"].dataType if f.name != "_unparsed"]
+    empty = reduce(lambda a, b: a & b, [F.col("_rec").getField(f).isNull() for f in fields])
+    failed = F.col("_rec").isNull() | F.col("_rec._unparsed").isNotNull()
     id_path = RECORD_IDS.get(feed)
-    missing = F.get_json_object("payload", id_path).isNull() if id_path else F.lit(False)
+    missing = F.lit(False)
+    if id_path:
+        # An id of another type than the schema's is no missing one.
+        missing = F.col(f"_rec{id_path[1:]}").isNull() & F.get_json_object("payload", id_path).isNull()
     reason = (
-        F.when(F.get_json_object("payload", "$").isNull(), "malformed")
-        .when(F.to_json("_rec") == "{}", "no_fields")
+        F.when(failed & F.get_json_object("payload", "$").isNull(), "malformed")
+        .when(F.col("_rec").isNotNull() & empty, "no_fields")
         .when(missing, "null_key")
     )
     marked = parsed.withColumn("_reject_reason", reason).drop("_rec")
