@@ -81,3 +81,15 @@ def test_scan_reads_only_the_needed_columns(spark):
 def test_form_without_hot_keys_is_one_window_shuffle(spark):
     plan = plan_of(entry.queries()["form_string"](spark, SF))
     assert plan.count("Exchange hashpartitioning(team_id") == 1 and plan.count("Window [") == 1
+
+
+@needs_data
+def test_a_landing_of_the_stream_is_many_files(spark):
+    """Each was one file, written by one task."""
+    import glob
+
+    root = spark.conf.get("spark.checkpoint.dir")
+    known = set(glob.glob(f"{root}/stream-*/raw"))
+    assert entry.queries()["stream_upsert"](spark, SF).count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+    (raw,) = set(glob.glob(f"{root}/stream-*/raw")) - known
+    assert len(glob.glob(f"{raw}/*.parquet")) > 2

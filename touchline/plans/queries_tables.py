@@ -674,20 +674,22 @@ def strength_history(spark, sf):
 
 @query("stream_upsert", with_(FX, body="SELECT fixture_id, status, result, season FROM fx"))
 def stream_upsert(spark, sf):
-    """Each landing of every fixture arrives in a micro-batch of its own, the newest first; the final state remains."""
+    """Each landing of every fixture arrives in a micro-batch of its own, the newest first; the final state remains.
+
+    The stream is stopped after each landing and goes on from its checkpoint, so a landing may be any number of files."""
     root = scratch_path(spark, "stream")
     raw = testbed.raw_fixtures(spark, sf)
     landing_no = F.date_diff("_ingestion_date", F.to_date(F.get_json_object("payload", "$.fixture.date")))
-    for number in (2, 1):
-        raw.filter(landing_no == number).coalesce(1).write.mode("append").parquet(f"{root}/raw")
 
     def transform(batch):
         return silver.fixtures(batch).select("fixture_id", "status", "result", "season", "match_ts", "_ingestion_ts")
 
-    live.stream_upsert(
-        live.raw_stream(spark, f"{root}/raw", files_per_trigger=1), transform, f"{root}/fixtures", ["fixture_id"],
-        f"{root}/checkpoint", ["season"], "_ingestion_ts",
-    ).awaitTermination()
+    for number in (2, 1):
+        raw.filter(landing_no == number).write.mode("append").parquet(f"{root}/raw")
+        live.stream_upsert(
+            live.raw_stream(spark, f"{root}/raw"), transform, f"{root}/fixtures", ["fixture_id"], f"{root}/checkpoint",
+            ["season"], "_ingestion_ts",
+        ).awaitTermination()
     return spark.read.parquet(f"{root}/fixtures").select("fixture_id", "status", "result", "season")
 
 
