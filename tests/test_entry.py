@@ -93,3 +93,9 @@ def test_a_landing_of_the_stream_is_many_files(spark):
     assert entry.queries()["stream_upsert"](spark, SF).count() == spark.read.parquet(f"{SF}/orders.parquet").count()
     (raw,) = set(glob.glob(f"{root}/stream-*/raw")) - known
     assert len(glob.glob(f"{raw}/*.parquet")) > 2
+
+
+@needs_data
+def test_land_feeds_writes_no_text_to_count(spark):
+    """Each parsed record was turned back into text to see whether it has fields."""
+    assert "= {})" not in plan_of(entry.queries()["land_feeds"](spark, SF))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.operators import elo, ordered, quality
+from touchline.operators.flatten import parse_payload
 from touchline.plans import lifecycle, marts, queries_marts, queries_silver, silver, testbed  # noqa: F401  their SQL counts the typed rows
 from touchline.plans.catalog import ORACLES, query
 from touchline.plans.sqltext import FX, PREDS, QUOTES, SEASONS, TEAMS, with_
@@ -142,9 +144,9 @@ def land_feeds(spark, sf):
     }
     out = None
     for feed, make in sources.items():
-        parsed = make(spark, sf).select("endpoint", F.from_json("payload", FEEDS[feed].schema).alias("r"))
-        usable = F.to_json("r") != "{}"
-        counts = parsed.filter(usable).groupBy("endpoint").agg(F.count(F.lit(1)).alias("n"))
+        parsed = parse_payload(make(spark, sf).select("endpoint", "payload"), FEEDS[feed].schema)
+        usable = [c("rec").getField(f.name).isNotNull() for f in parsed.schema["rec"].dataType]
+        counts = parsed.filter(reduce(lambda a, b: a | b, usable)).groupBy("endpoint").agg(F.count(F.lit(1)).alias("n"))
         out = counts if out is None else out.unionByName(counts)
     return out
 
