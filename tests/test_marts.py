@@ -195,3 +195,53 @@ def test_serving(spark):
     assert serving.next_round(preds, 7, F.lit(day(1))).isEmpty()
     form = marts.team_form(df)
     assert serving.team_form(form, 1).first().form_string == "W" and serving.team_form(form, 99).isEmpty()
+
+
+def _crowded(spark, n=240):
+    """Several matches of a team on one day, some of them open."""
+    rng, rows = random.Random(11), []
+    for i in range(n):
+        home, away = rng.sample(range(1, 6), 2)
+        played = i % 5 > 0
+        rows.append(game(i, i // 12, home, away, rng.randrange(4) if played else None, rng.randrange(4) if played else None))
+    return spark.createDataFrame(rows, FIXTURES)
+
+
+def test_newest_form_is_the_last_row_of_each_team_and_day(spark):
+    df = _crowded(spark)
+    whole = marts.team_form(df).toPandas().sort_values(["match_date", "fixture_id"])
+    for within, keys in (((), ["team_id"]), (("match_date",), ["team_id", "match_date"])):
+        newest = marts.newest_form(df, within=within).toPandas()
+        want = whole.groupby(keys).tail(1)
+        by = ["team_id", "fixture_id"]
+        assert newest[whole.columns].sort_values(by).values.tolist() == want.sort_values(by).values.tolist()
+
+
+def test_side_features_have_one_row_per_team_and_day(spark):
+    """Matches of one team on one day have one past, looked up once and strictly before the day."""
+    df = _crowded(spark)
+    state = marts.newest_form(df, within=("match_date",)).withColumn("elo_after", F.lit(1500.0))
+    standings = spark.createDataFrame([(1, 3, 2025, 4, 7, day(4))], "league_id BIGINT, team_id BIGINT, season INT, position INT, points INT, _snapshot_date DATE")
+    sides = marts.side_features(df, state, standings)
+    assert sides.groupBy("team_id", "is_home", "match_date").count().filter("count > 1").isEmpty()
+    assert sides.filter("form_source_date >= match_date OR standing_source_date >= match_date").isEmpty()
+    base = df.select("fixture_id", "league_id", "match_date", "home_team_id", "away_team_id")
+    got = {r.fixture_id: r for r in marts.with_sides(base, sides).collect()}
+    played = [r for r in to_team_rows(df).collect() if r.outcome is not None]
+    assert len(got) == 240
+    for row in got.values():
+        for side in ("home", "away"):
+            team = row[f"{side}_team_id"]
+            past = sorted((r.match_date, r.fixture_id, r.outcome) for r in played if r.team_id == team and r.match_date < row.match_date)[-5:]
+            assert row[f"{side}_wins_last_5"] == [p[2] for p in past].count("W")
+            own = sorted((r.match_date, r.fixture_id, r.outcome) for r in played if r.team_id == team and r.match_date < row.match_date and r.is_home == (side == "home"))[-5:]
+            assert row[f"{side}_{side}_wins_last_5"] == [p[2] for p in own].count("W")
+            assert row[f"{side}_position"] == (4 if team == 3 and row.match_date > day(4) else None)
+
+
+def test_injury_counts_send_each_row_once(spark):
+    key = spark.createDataFrame([(2025, 1, 7)], "season INT, team_id INT, player_id INT")
+    hurt = spark.createDataFrame([(1, 2025, 1, 7), (1, 2025, 1, 7), (1, 2025, 1, 8), (1, 2025, 1, None), (2, 2025, 1, None)], "fixture_id INT, season INT, team_id INT, player_id INT")
+    rows = aggregates.injury_features(hurt, key)
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, 1, 2, 1), (2, 1, 0, 0)]
+    assert "Expand" not in rows._jdf.queryExecution().executedPlan().toString()

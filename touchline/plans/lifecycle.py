@@ -132,12 +132,10 @@ def publish_all(spark: SparkSession, root: str, standings: DataFrame, prediction
     A served row replaces the one before it; the history keeps every version with its time.
     """
     fixtures = spark.read.parquet(f"{root}/silver/fixtures")
-    form = marts.team_form(fixtures)
-    newest = F.max(F.struct("match_date", "fixture_id", F.struct(*form.columns).alias("row"))).alias("m")
     served = {
         "match_predictions": (predictions, ["fixture_id"]),
         "league_standings": (standings, ["league_id", "season", "team_id"]),
-        "team_form": (form.groupBy("team_id").agg(newest).select("m.row.*"), ["team_id"]),
+        "team_form": (marts.newest_form(fixtures), ["team_id"]),
         "upcoming_fixtures": (serving.upcoming(fixtures, predictions, as_of), ["fixture_id"]),
     }
     for name, (rows, keys) in served.items():
