@@ -168,3 +168,18 @@ def test_global_row_number_with_one_hot_first_key(spark, hot):
 def test_latest_snapshot_keeps_all_rows(spark):
     df = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (1, 2, 7), (2, 1, 8)], "k INT, ts INT, v INT")
     assert sorted(r.v for r in latest_snapshot(df, ["k"], "ts").collect()) == [6, 7, 8]
+
+
+def test_typed_loads_shuffle_records_and_not_their_unfolded_rows(spark):
+    """Records of a key meet before their arrays are unfolded, so every unfolding is above the only shuffle."""
+    from touchline.plans import silver
+
+    raw = spark.createDataFrame(
+        [], "payload STRING, params STRING, _ingestion_ts TIMESTAMP, _batch_id STRING"
+    )
+    for load, unfolded in ((silver.odds_long, ("_bet", "_price")), (silver.lineups, ("e",))):
+        plan = load(raw)._jdf.queryExecution().sparkPlan().toString()
+        prepared = load(raw)._jdf.queryExecution().executedPlan().toString()
+        assert prepared.count("Exchange ") == 1, (load.__name__, plan)
+        below = prepared[prepared.index("Exchange ") :]
+        assert not [name for name in unfolded if f"[{name}#" in below.replace(", [", "[")], load.__name__

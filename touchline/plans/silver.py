@@ -38,6 +38,15 @@ def _latest(
     return dedup_latest(require_keys(df, keys[:required]), keys, LANDED, tiebreak).drop("_batch_id")
 
 
+def _gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Records of one key in one task, before their arrays are unfolded; those with a NULL key are dropped.
+
+    The key is part of the table's key, so the unfolded rows are compared without another shuffle and sorted once. It is
+    for records of which a key has few versions.
+    """
+    return require_keys(df, keys).repartition(*keys)
+
+
 def fixtures(raw: DataFrame, finished: Iterable[str] = ("FT",)) -> DataFrame:
     flat = flatten_json(
         raw,
@@ -100,12 +109,22 @@ def events(raw: DataFrame) -> DataFrame:
 
 def odds_long(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """One row per fixture, bookmaker, market and outcome: the latest quote."""
-    rows = explode_path(
+    books = explode_path(
         parse_payload(raw, schemas.ODDS),
-        [("rec.bookmakers", "_book"), ("_book.bets", "_bet"), ("_bet.values", "_price")],
+        [("rec.bookmakers", "_book")],
         {
             "fixture_id": "rec.fixture.id",
             "bookmaker_id": "_book.id",
+            "_book": "_book",
+            **{c: c for c in LANDED},
+        },
+    )
+    rows = explode_path(
+        _gathered(books, ["fixture_id", "bookmaker_id"]),
+        [("_book.bets", "_bet"), ("_bet.values", "_price")],
+        {
+            "fixture_id": "fixture_id",
+            "bookmaker_id": "bookmaker_id",
             "bookmaker_name": "_book.name",
             "bet_id": "_bet.id",
             "bet_name": "_bet.name",
@@ -190,9 +209,12 @@ def lineups(raw: DataFrame) -> DataFrame:
             lambda e: F.struct(e["player"].alias("p"), F.lit(is_starter).alias("is_starter")),
         )
 
-    listed = parse_payload(raw, schemas.LINEUPS).select(
-        request_fixture().alias("fixture_id"),
-        F.col("rec.team.id").alias("team_id"),
+    records = parse_payload(raw, schemas.LINEUPS).select(
+        request_fixture().alias("fixture_id"), F.col("rec.team.id").alias("team_id"), "rec", *LANDED
+    )
+    listed = _gathered(records, ["fixture_id", "team_id"]).select(
+        "fixture_id",
+        "team_id",
         F.col("rec.formation").alias("formation"),
         F.explode(F.concat(tagged("rec.startXI", True), tagged("rec.substitutes", False))).alias("e"),
         *LANDED,
