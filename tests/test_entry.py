@@ -99,3 +99,20 @@ def test_a_landing_of_the_stream_is_many_files(spark):
 def test_land_feeds_writes_no_text_to_count(spark):
     """Each parsed record was turned back into text to see whether it has fields."""
     assert "= {})" not in plan_of(entry.queries()["land_feeds"](spark, SF))
+
+
+def test_a_query_of_the_stack_scores_only_the_parts_it_reads(spark, monkeypatch):
+    """Importances score no match, the evaluation the newest fifth, the facts all that are not trained on."""
+    from touchline.plans import queries_model
+
+    asked = []
+
+    def stack(spark, sf, parts=()):
+        asked.append(list(parts))
+        raise LookupError
+
+    monkeypatch.setattr(queries_model, "_stack", stack)
+    for name in ("feature_importance", "stacking_predict", "model_evaluation", "model_facts"):
+        with pytest.raises(LookupError):
+            getattr(queries_model, name)(spark, SF)
+    assert asked == [[], [], ["validation"], ["validation", "open"]]
