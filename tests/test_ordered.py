@@ -183,3 +183,26 @@ def test_typed_loads_shuffle_records_and_not_their_unfolded_rows(spark):
         assert prepared.count("Exchange ") == 1, (load.__name__, plan)
         below = prepared[prepared.index("Exchange ") :]
         assert not [name for name in unfolded if f"[{name}#" in below.replace(", [", "[")], load.__name__
+
+
+def test_requests_are_read_once_and_player_rows_sorted_once(spark):
+    """The key filter does not read the request a second time; rows of a player meet before they are sorted."""
+    from touchline.plans import silver
+
+    when, player = dt.datetime(2024, 5, 1), '{"team":{"id":1},"players":[{"player":{"id":7},"statistics":[{"goals":{"total":%d}}]}]}'
+    landed = [
+        (player % 1, '{"fixture":"5"}', when, "b1"),
+        (player % 2, '{"fixture":"5"}', when + dt.timedelta(days=1), "b1"),
+        (player % 3, '{"fixture":"six"}', when, "b1"),
+        (player % 4, None, when, "b1"),
+        ("{", '{"fixture":"5"}', when, "b1"),
+        ('{"team":{"id":1},"players":[{"player":{"id":8}}]}', '{"fixture":5}', when, "b1"),
+    ]
+    raw = spark.createDataFrame(landed, "payload STRING, params STRING, _ingestion_ts TIMESTAMP, _batch_id STRING")
+    kept = silver.player_stats(raw).select("fixture_id", "team_id", "player_id", "goals").collect()
+    assert sorted(map(tuple, kept)) == [(5, 1, 7, 2), (5, 1, 8, None)]
+    for load in (silver.statistics, silver.events, silver.lineups, silver.player_stats, silver.api_predictions):
+        plan = load(raw)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("get_json_object(") == 1, load.__name__
+    plan = silver.player_stats(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange ") == 1

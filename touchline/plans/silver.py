@@ -28,6 +28,15 @@ def request_fixture() -> Column:
     return F.get_json_object("params", "$.fixture").try_cast("bigint")
 
 
+def _requested(raw: DataFrame, schema: str) -> DataFrame:
+    """Parsed records with the ``fixture_id`` of their request.
+
+    Read once, in a one-element explode like the record: the key filter would otherwise be pushed down to the raw rows and
+    read it there a second time.
+    """
+    return parse_payload(raw, schema).withColumn("fixture_id", F.explode(F.array(request_fixture())))
+
+
 def _latest(
     df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] | None = None, required: int | None = None
 ) -> DataFrame:
@@ -39,10 +48,10 @@ def _latest(
 
 
 def _gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Records of one key in one task, before their arrays are unfolded; those with a NULL key are dropped.
+    """Rows of one key in one task; those with a NULL key are dropped.
 
-    The key is part of the table's key, so the unfolded rows are compared without another shuffle and sorted once. It is
-    for records of which a key has few versions.
+    The key is the table's or part of it, so rows are compared without another shuffle and sorted once, after it. Records
+    are dealt before their arrays are unfolded where that moves less. It is for keys that have few versions.
     """
     return require_keys(df, keys).repartition(*keys)
 
@@ -81,8 +90,8 @@ def with_match_date(df: DataFrame, fixtures: DataFrame) -> DataFrame:
 
 
 def statistics(raw: DataFrame) -> DataFrame:
-    rows = parse_payload(raw, schemas.STATISTICS).select(
-        request_fixture().alias("fixture_id"),
+    rows = _requested(raw, schemas.STATISTICS).select(
+        "fixture_id",
         F.col("rec.team.id").alias("team_id"),
         *LANDED,
         F.col("rec.statistics").alias("stats"),
@@ -92,8 +101,8 @@ def statistics(raw: DataFrame) -> DataFrame:
 
 
 def events(raw: DataFrame) -> DataFrame:
-    rows = parse_payload(raw, schemas.EVENTS).select(
-        request_fixture().alias("fixture_id"),
+    rows = _requested(raw, schemas.EVENTS).select(
+        "fixture_id",
         F.col("rec.team.id").alias("team_id"),
         F.col("rec.player.id").alias("player_id"),
         F.col("rec.player.name").alias("player_name"),
@@ -209,8 +218,8 @@ def lineups(raw: DataFrame) -> DataFrame:
             lambda e: F.struct(e["player"].alias("p"), F.lit(is_starter).alias("is_starter")),
         )
 
-    records = parse_payload(raw, schemas.LINEUPS).select(
-        request_fixture().alias("fixture_id"), F.col("rec.team.id").alias("team_id"), "rec", *LANDED
+    records = _requested(raw, schemas.LINEUPS).select(
+        "fixture_id", F.col("rec.team.id").alias("team_id"), "rec", *LANDED
     )
     listed = _gathered(records, ["fixture_id", "team_id"]).select(
         "fixture_id",
@@ -253,7 +262,7 @@ def player_stats(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataF
         "red_cards": "cards.red",
     }
     rows = explode_path(
-        parse_payload(raw, schemas.PLAYER_STATS).withColumn("fixture_id", request_fixture()),
+        _requested(raw, schemas.PLAYER_STATS),
         [("rec.players", "_p"), ("_p.statistics", "_s")],
         {
             "fixture_id": "fixture_id",
@@ -271,7 +280,8 @@ def player_stats(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataF
             "passes_accuracy": percent_number(F.col("passes_accuracy")),
         }
     )
-    return _latest(rows, ("fixture_id", "player_id", "team_id"), tiebreak)
+    keys = TABLES["player_stats"].keys
+    return _latest(_gathered(rows, keys), keys, tiebreak)
 
 
 def teams(raw: DataFrame) -> DataFrame:
@@ -371,8 +381,8 @@ def transfers(raw: DataFrame) -> DataFrame:
 
 
 def api_predictions(raw: DataFrame) -> DataFrame:
-    rows = parse_payload(raw, schemas.API_PREDICTIONS).select(
-        request_fixture().alias("fixture_id"),
+    rows = _requested(raw, schemas.API_PREDICTIONS).select(
+        "fixture_id",
         F.col("rec.predictions.winner.id").alias("pred_winner_id"),
         F.col("rec.predictions.winner.name").alias("pred_winner_name"),
         F.col("rec.predictions.winner.comment").alias("pred_winner_comment"),
