@@ -2,10 +2,13 @@
 
 import datetime as dt
 import json
+import os
 
+from touchline.operators import flatten
 from touchline.plans import lifecycle
-from touchline.schemas import RAW
+from touchline.schemas import FEEDS, RAW
 from touchline.session import scratch_path
+from touchline.sources import landing, tables
 
 
 def raw(spark, records, at):
@@ -74,3 +77,64 @@ def test_two_increments(spark):
     assert lifecycle.expire_raw(spark, root, now.date()) == {"fixtures": 0, "events": 0}
     gone = lifecycle.expire_raw(spark, root, now.date() + dt.timedelta(days=40))
     assert gone["events"] == 1 and gone["fixtures"] >= 1
+
+
+def test_a_load_parses_a_record_once(spark, monkeypatch):
+    """For its reject reason and for the typed row; a load without rejects reads no raw row for them."""
+    root, plans = scratch_path(spark, "once"), []
+    at = dt.datetime(2025, 4, 2)
+    store, reject = tables.stored, lifecycle.append_table
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString().lower()))
+        return store(df, name)
+
+    def rejects(df, path, *rest):
+        plans.append(("rejects", df._jdf.queryExecution().optimizedPlan().toString().lower()))
+        reject(df, path, *rest)
+
+    monkeypatch.setattr(tables, "stored", seen)
+    monkeypatch.setattr(lifecycle, "append_table", rejects)
+    reject(raw(spark, [fixture(1, "2025-04-01", 1, 2, (2, 0)), fixture(2, "2025-04-08", 2, 1)], at), f"{root}/bronze/fixtures")
+    assert lifecycle.load_table(spark, root, "fixtures", "r1", partitioned=False)["rows_affected"] == 2
+    assert [plan.count("from_json") for name, plan in plans if name == "upsert-source"] == [1]
+    assert [plan.count("from_json") for name, plan in plans if name == "rejects"] == [0]
+    assert spark.read.parquet(f"{root}/rejects/fixtures").count() == 0
+
+    good = json.dumps(fixture(3, "2025-04-09", 1, 2, (1, 1))[0])
+    lists = {"r2": [good[:30], good], "r3": [good[:40], '{"other": 1}']}  # the last load has no usable row
+    for run, payloads in lists.items():
+        later = at + dt.timedelta(seconds=int(run[1]))
+        rows = [(p, "/e", None, later.date(), later, run, "/e") for p in payloads]
+        reject(spark.createDataFrame(rows, RAW), f"{root}/bronze/fixtures")
+        done = lifecycle.load_table(spark, root, "fixtures", run, partitioned=False)
+        assert done == {"rows_affected": int(run == "r2"), "status": "success"}
+    found = {(r._run_id, r._reject_reason) for r in spark.read.parquet(f"{root}/rejects/fixtures").collect()}
+    assert found == {("r2", "malformed"), ("r3", "malformed"), ("r3", "no_fields")}
+    assert {r.fixture_id for r in spark.read.parquet(f"{root}/silver/fixtures").collect()} == {1, 2, 3}
+
+
+def test_first_load_of_an_unpartitioned_table_moves_the_staged_files(spark, monkeypatch):
+    """Also where an empty directory is in the way; rows and a second load are as before."""
+    path = scratch_path(spark, "first")
+    os.makedirs(path)
+    monkeypatch.setattr(tables, "_write", None)
+    tables.upsert_table(spark.createDataFrame([(1, "a"), (2, "b")], "k INT, v STRING"), path, ["k"])
+    monkeypatch.undo()
+    assert not [n for n in os.listdir(path) if os.path.isdir(f"{path}/{n}")]
+    tables.upsert_table(spark.createDataFrame([(2, "c"), (3, "d")], "k INT, v STRING"), path, ["k"])
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(1, "a"), (2, "c"), (3, "d")}
+
+
+def test_records_marked_and_parsed_again_are_the_same(spark):
+    """A usable record has the same fields whichever way it is parsed, cut or of other types."""
+    good = json.dumps(fixture(1, "2025-04-01", 1, 2, (2, 0))[0])
+    odd = [good, good + "}", '{"fixture": {"id": "abc"}}', '{"fixture": {"id": 7, "date": 5}, "goals": {"home": "x", "away": 1}}',
+           '{"fixture": {"id": 8}, "league": [1]}', '{"fixture": {"id": 9}, "teams": "none", "league": {"id": 1.5}}']
+    rows = spark.createDataFrame([(p, i) for i, p in enumerate(odd)], "payload STRING, i INT")
+    marked = landing.mark_raw(rows, "fixtures").filter("_reject_reason IS NULL")
+    again = flatten.parse_payload(rows, FEEDS["fixtures"].schema)
+    names = [f.name for f in again.schema["rec"].dataType]
+    expected = {r.i: r.asDict(True) for r in again.select("i", "rec.*").collect()}
+    found = {r.i: r.asDict(True) for r in marked.select("i", *[f"rec.{n}" for n in names]).collect()}
+    assert len(found) >= 4 and found == {i: expected[i] for i in found}

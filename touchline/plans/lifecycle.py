@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.aggregates import head_to_head, league_summary
@@ -15,7 +15,7 @@ from touchline.plans import marts, serving, silver
 from touchline.schemas import FEEDS, RAW, TABLES
 from touchline.session import stored
 from touchline.sources.histories import load_history
-from touchline.sources.landing import scan_since, split_raw
+from touchline.sources.landing import mark_raw, scan_since, split_raw
 from touchline.sources.tables import (
     append_table,
     expire_partitions,
@@ -79,6 +79,9 @@ def load_table(
 
     Reads the batches not loaded before, or every raw row from ``since`` on. Rows that cannot be used go to
     ``rejects/<feed>`` with a reason. The batches are noted after the write, so a failed load reads them again.
+
+    A record is parsed once, for its reject reason and for the typed row; rejects are counted on the way, and only where
+    there are some are the raw rows read for them again.
     """
     feed, transform = LOADS[name]
     spec, path = TABLES[name], f"{root}/silver/{name}"
@@ -88,16 +91,22 @@ def load_table(
     else:
         raw = scan_since(raw, since)
 
+    rejected, kept = Observation(), Observation()
+
     def typed(rows: DataFrame) -> DataFrame:
-        good, bad = split_raw(rows, feed)
-        append_table(bad.withColumn("_run_id", F.lit(run_id)), f"{root}/rejects/{feed}")
-        out = transform(good)
+        marked = mark_raw(rows, feed).observe(rejected, F.count("_reject_reason").alias("n"))
+        out = transform(marked.filter("_reject_reason IS NULL").drop("_reject_reason"))
         if "match_date" in spec.partition_by and "match_date" not in out.columns:
             out = silver.with_match_date(out, spark.read.parquet(f"{root}/silver/fixtures"))
         return stamp(out, run_id)
 
     def write(rows: DataFrame) -> None:
+        rows = rows.observe(kept, F.count(F.lit(1)).alias("n"))
         upsert_table(rows, path, spec.keys, spec.partition_by if partitioned else (), version="_ingestion_ts")
+        # Where no row is typed the planner may leave out the part that counts rejects.
+        some = not kept.get["n"] or rejected.get["n"]
+        bad = split_raw(raw if some else raw.limit(0), feed)[1]
+        append_table(bad.withColumn("_run_id", F.lit(run_id)), f"{root}/rejects/{feed}")
 
     done = run_step(spark, f"load_{name}", run_id, raw, typed, write, f"{root}/audit")
     if batches is not None:

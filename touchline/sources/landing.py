@@ -50,30 +50,35 @@ def land_raw(
     )
 
 
-def split_raw(raw: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
-    """Raw rows that a load can use, and the others with ``_reject_reason``: malformed JSON, a record with none of the
-    feed's fields, or one without the feed's id.
+def mark_raw(raw: DataFrame, feed: str) -> DataFrame:
+    """Raw rows with their parsed ``rec`` and ``_reject_reason``, NULL where a load can use the row: malformed JSON, a record
+    with none of the feed's fields, or one without the feed's id.
 
     A usable row is parsed once: only where that parse failed, or found no id, is the text searched again.
     """
     spec = FEEDS[feed]
     strict = {"columnNameOfCorruptRecord": "_unparsed", "allowNonNumericNumbers": "false"}
     record = F.from_json("payload", f"{spec.schema}, _unparsed STRING", strict)
-    parsed = raw.withColumn("_rec", F.explode(F.array(record)))
-    fields = [f.name for f in parsed.schema["_rec"].dataType if f.name != "_unparsed"]
-    empty = reduce(lambda a, b: a & b, [F.col("_rec").getField(f).isNull() for f in fields])
-    failed = F.col("_rec").isNull() | F.col("_rec._unparsed").isNotNull()
+    parsed = raw.withColumn("rec", F.explode(F.array(record)))
+    fields = [f.name for f in parsed.schema["rec"].dataType if f.name != "_unparsed"]
+    empty = reduce(lambda a, b: a & b, [F.col("rec").getField(f).isNull() for f in fields])
+    failed = F.col("rec").isNull() | F.col("rec._unparsed").isNotNull()
     id_path = RECORD_IDS.get(feed)
     missing = F.lit(False)
     if id_path:
         # An id of another type than the schema's is no missing one.
-        missing = F.col(f"_rec{id_path[1:]}").isNull() & F.get_json_object("payload", id_path).isNull()
+        missing = F.col(f"rec{id_path[1:]}").isNull() & F.get_json_object("payload", id_path).isNull()
     reason = (
         F.when(failed & F.get_json_object("payload", "$").isNull(), "malformed")
-        .when(F.col("_rec").isNotNull() & empty, "no_fields")
+        .when(F.col("rec").isNotNull() & empty, "no_fields")
         .when(missing, "null_key")
     )
-    marked = parsed.withColumn("_reject_reason", reason).drop("_rec")
+    return parsed.withColumn("_reject_reason", reason)
+
+
+def split_raw(raw: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
+    """Raw rows that a load can use, and the others with ``_reject_reason``, see :func:`mark_raw`."""
+    marked = mark_raw(raw, feed).drop("rec")
     return marked.filter("_reject_reason IS NULL").drop("_reject_reason"), marked.filter("_reject_reason IS NOT NULL")
 
 

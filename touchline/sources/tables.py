@@ -106,8 +106,9 @@ def upsert_table(
     source = stored(source, "upsert-source")
     reject_duplicates(source, keys)
     if not table_exists(spark, path):
-        _write(source, path, partition_by, "overwrite")
-        drop_stored(source)
+        if partition_by or not _moved(spark, source, path):
+            _write(source, path, partition_by, "overwrite")
+            drop_stored(source)
         return
     target = _read_as(path, source, partition_by)
     near = target if within is None else target.filter(within)
@@ -140,6 +141,20 @@ def upsert_table(
         drop_stored(copy)
 
 
+def _moved(spark: SparkSession, staged: DataFrame, path: str) -> bool:
+    """Whether the files of a stored frame became the table ``path``, which has none yet: a rename within one file system."""
+    files = staged.inputFiles()
+    if not files:
+        return False
+    source = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(files[0].rsplit("/", 1)[0]))
+    (fs, target), home = _path(spark, path), source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getUri().toString() != home.getUri().toString():
+        return False
+    fs.delete(target, True)  # an empty directory would take the files' directory in
+    fs.mkdirs(target.getParent())
+    return bool(fs.rename(source, target))
+
+
 def _directories(rows: DataFrame, partition_by: Sequence[str]) -> list[tuple[tuple, str]]:
     """Partition values and the directories that hold them, as the files say (``_file``)."""
     folder = F.regexp_replace("_file", "/[^/]*$", "").alias("_dir")
