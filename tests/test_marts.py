@@ -2,16 +2,21 @@
 
 import datetime as dt
 import random
+from dataclasses import replace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import implied_probs
 from touchline.operators import aggregates, history, joins, metrics
 from touchline.operators.flatten import to_team_rows
 from touchline.plans import marts, model, serving
+from touchline.session import scratch_path
 
 FIXTURES = (
     "fixture_id BIGINT, league_id BIGINT, season INT, round INT, match_date DATE, home_team_id BIGINT, away_team_id BIGINT,"
@@ -187,6 +192,56 @@ def test_stack_learns_and_probabilities_sum_to_one(spark):
     assert importance["a"] > importance["b"]
 
 
+def _forest_rows(spark, n=400):
+    rng = random.Random(9)
+    rows = [(float(rng.randrange(3)), [rng.gauss(0, 1), float(rng.randrange(4)), rng.random()], i % 5 == 0) for i in range(n)]
+    return spark.createDataFrame(rows, "label DOUBLE, x ARRAY<DOUBLE>, newest BOOLEAN").select(
+        "label", array_to_vector("x").alias("features"), "newest"
+    )
+
+
+def test_forest_is_scored_as_by_its_own_transform(spark):
+    """Blocks of trees over dense, sparse and missing values: the probabilities are equal bit by bit, also after loading."""
+    rows, nan = _forest_rows(spark).drop("newest"), float("nan")
+    odd = [Vectors.sparse(3, {0: 0.5}), Vectors.dense(0.0, nan, 0.25), Vectors.dense(nan, nan, nan), Vectors.dense(1e300, -1e300, 0.0)]
+    asked = rows.unionByName(spark.createDataFrame([(0.0, v) for v in odd], ["label", "features"]))
+    blocks = [RandomForestClassifier(numTrees=n, maxDepth=6, seed=n).fit(rows) for n in (7, 4)]
+    path = scratch_path(spark, "block")
+    blocks[1].write().save(path)
+    loaded = RandomForestClassificationModel.load(path)
+    for models in (blocks, [blocks[0], loaded], blocks[1:]):
+        out = asked
+        for i, m in enumerate(models):
+            out = m.setProbabilityCol(f"p{i}").setRawPredictionCol(f"r{i}").setPredictionCol(f"l{i}").transform(out)
+        for r in model._probabilities(models, out, "q").collect():
+            assert r.q == [sum(r[f"p{i}"][k] for i in range(len(models))) / len(models) for k in range(3)]
+
+
+def test_a_block_scores_the_held_out_rows_once_and_rows_keep_their_nodes(spark, monkeypatch):
+    """Each block alone was scored before with all blocks before it; what is grown is the same."""
+    scored, fitted, probabilities, fit = [], [], model._probabilities, RandomForestClassifier.fit
+
+    def seen(models, df, name):
+        scored.append(len(models))
+        return probabilities(models, df, name)
+
+    def grown(self, rows):
+        fitted.append(self.getCacheNodeIds())
+        return fit(self, rows)
+
+    monkeypatch.setattr(model, "_probabilities", seen)
+    monkeypatch.setattr(RandomForestClassifier, "fit", grown)
+    rows = _forest_rows(spark).coalesce(1)
+    sizes = model.StackSizes(trees=12, tree_depth=4, block=4, tolerance=-10.0)  # no block ends it
+    blocks = model.grow_forest(rows, sizes)
+    assert scored == [1, 1, 1] and fitted == [True] * 3 and [m.getNumTrees for m in blocks] == [4, 4, 4]
+    monkeypatch.undo()
+    plain = RandomForestClassifier(numTrees=4, maxDepth=4, seed=7).fit(rows.filter("NOT newest"))
+    assert plain.toDebugString.split("\n", 1)[1] == blocks[0].toDebugString.split("\n", 1)[1]
+    assert [m.getNumTrees for m in model.grow_forest(rows, replace(sizes, tolerance=0.9))] == [4, 4]
+    assert len(model.grow_forest(rows.filter("NOT newest"), sizes)) == 1  # nothing measures the loss
+
+
 def test_serving(spark):
     df = spark.createDataFrame([game(1, 0, 1, 2, 2, 0), game(2, 5, 1, 2), game(3, 6, 3, 4), game(4, 9, 5, 6)], FIXTURES)
     preds = df.filter("fixture_id <> 4").drop("result")
