@@ -116,3 +116,24 @@ def test_a_query_of_the_stack_scores_only_the_parts_it_reads(spark, monkeypatch)
         with pytest.raises(LookupError):
             getattr(queries_model, name)(spark, SF)
     assert asked == [[], [], ["validation"], ["validation", "open"]]
+
+
+def test_feeds_of_one_file_are_dealt_over_tasks(spark, tmp_path):
+    """A small file of matches or players was one task, here and in every load of its payloads."""
+    from touchline.plans import testbed
+
+    orders = spark.range(1, 41).selectExpr(
+        "id AS o_orderkey", "id % 5 AS o_custkey", "'F' AS o_orderstatus", "DATE '1996-01-02' + CAST(id AS INT) AS o_orderdate"
+    )
+    given = {
+        "orders": orders.unionByName(orders.limit(1)),
+        "customer": spark.range(5).selectExpr("id AS c_custkey", "CAST(id AS INT) AS c_nationkey"),
+        "nation": spark.range(5).selectExpr("CAST(id AS INT) AS n_nationkey", "CAST(id AS INT) AS n_regionkey"),
+        "part": spark.range(1, 41).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'t' AS p_type", "1 AS p_size"),
+    }
+    for name, rows in given.items():
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    for make in (testbed.raw_teams, testbed.raw_leagues, testbed.raw_api_predictions, testbed.raw_transfers, testbed.raw_players):
+        rows = make(spark, str(tmp_path))
+        filled = sum(n > 0 for n in rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+        assert filled >= 4 and rows.count() == (40 if make is testbed.raw_players else 41), make.__name__
